@@ -25,7 +25,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 # Fixed values of the synthetic roles (must equal the SQL twins in oracle.py)
 NAME_HISTORY_START = "1995-01-01"
 NAME_HISTORY_SPAN_DAYS = 2700
-N_ENTITIES = 10
+N_ENTITIES = 50
 LINK_DAYS = 120
 
 
@@ -52,7 +52,7 @@ def panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_totalprice") / 1000).alias("saleq"),
         (F.col("o_totalprice") / 1000 - 250).alias("ibq"),
         (F.lit(1) + F.col("o_orderkey") % 50).cast("double").alias("cshoq"),
-        (F.col("o_totalprice") / 20000).alias("prccq"),
+        (F.col("o_totalprice") / 10000).alias("prccq"),
     )
 
 
