@@ -108,18 +108,15 @@ def freq_by_decade(df: DataFrame, year: str, flag: str) -> DataFrame:
 
 
 def crosstab(df: DataFrame, row: str, col: str, values: list) -> DataFrame:
-    """Counts by row x col with row percentages and totals (A10): row, n_<v>..., total, pct_<v>...
-
-    ``values`` lists the column categories (a pivot needs them to stay one pass).
-    """
-    piv = df.rollup(row).pivot(col, values).agg(F.count(F.lit(1)))
-    piv = piv.fillna(0, subset=[str(v) for v in values])
-    total = sum(F.col(str(v)) for v in values)
-    sel = [F.coalesce(F.col(row).cast("string"), F.lit("Total")).alias(row)]
-    sel += [F.col(str(v)).cast("long").alias(f"n_{v}") for v in values]
-    sel += [total.cast("long").alias("total")]
-    sel += [(F.col(str(v)) * 100.0 / total).alias(f"pct_{v}") for v in values]
-    return piv.select(*sel)
+    """Counts by row x col with row percentages and a total row (A10):
+    row, n_<v>..., total, pct_<v>... . Conditional counts inside one rollup keep it one pass
+    (a pivot cannot follow a rollup)."""
+    cnt = [F.count(F.when(F.col(col) == F.lit(v), 1)).alias(f"n_{v}") for v in values]
+    agg = df.rollup(row).agg(*cnt, F.count(F.lit(1)).alias("total"), F.grouping(row).alias("_g"))
+    sel = [F.when(F.col("_g") == 1, F.lit("Total")).otherwise(F.col(row).cast("string")).alias(row)]
+    sel += [f"n_{v}" for v in values] + ["total"]
+    sel += [(F.col(f"n_{v}") * 100.0 / F.col("total")).alias(f"pct_{v}") for v in values]
+    return agg.select(*sel)
 
 
 def group_rate(df: DataFrame, group: str | list[str], flag: str, out: str = "rate") -> DataFrame:

@@ -120,7 +120,10 @@ def reg_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(
         F.col("l_orderkey").alias("obs_id"),
         F.col("l_linenumber").alias("obs_line"),
+        F.col("l_partkey").alias("obs_part"),
+        F.col("l_suppkey").alias("obs_supp"),
         F.col("l_suppkey").cast("int").alias("permno"),
+        (F.lit(100) + (F.col("l_partkey") * 37) % 9900).cast("int").alias("siccd"),
         F.year("l_shipdate").cast("int").alias("fyearq"),
         (F.lit(1) + F.col("l_partkey") % 12).cast("double").alias("ff12num"),
         sue.alias("sue"),

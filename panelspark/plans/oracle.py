@@ -53,7 +53,8 @@ BINDINGS: dict[str, str] = {
         SELECT DISTINCT CAST(o_custkey % 50 AS INTEGER) AS permno, CAST(o_orderdate AS DATE) AS rdq
         FROM orders WHERE o_orderpriority = '1-URGENT'""",
     "reg_panel": """
-        SELECT l_orderkey AS obs_id, l_linenumber AS obs_line, CAST(l_suppkey AS INTEGER) AS permno,
+        SELECT l_orderkey AS obs_id, l_linenumber AS obs_line, l_partkey AS obs_part, l_suppkey AS obs_supp, CAST(l_suppkey AS INTEGER) AS permno,
+               CAST(100 + (l_partkey * 37) % 9900 AS INTEGER) AS siccd,
                CAST(year(l_shipdate) AS INTEGER) AS fyearq,
                CAST(1 + l_partkey % 12 AS DOUBLE) AS ff12num,
                l_discount - 0.05 AS sue, CAST(l_linenumber % 2 AS INTEGER) AS same_sign,

@@ -52,3 +52,31 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable (shared-folder) checkpoint; survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``panelspark`` importable in Python workers (for the few pandas UDFs).
+
+    On a cluster the package is normally installed on every node; shipping it with
+    ``addPyFile`` covers sessions where it is only on the driver's path. Once per context.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="panelspark-pkg-"), "panelspark.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
