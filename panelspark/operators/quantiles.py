@@ -78,6 +78,13 @@ def _positions(rule: str, n: Column, q: float) -> tuple[Column, Column, Column]:
     raise ValueError(f"unknown quantile rule {rule!r}; use one of {RULES}")
 
 
+def _and(conds: list[Column]) -> Column:
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
+
+
 def _gmax(cols: list[Column]) -> Column:
     return cols[0] if len(cols) == 1 else F.greatest(*cols)
 
@@ -101,12 +108,17 @@ def quantiles(df: DataFrame, specs: list[QSpec], by: list[str] | None = None,
     data = df.select(*by, *[F.col(c).cast("double").alias(f"_x{ci[c]}") for c in cols])
     fracs = [i / grid for i in range(grid + 1)]
 
-    # pass 1: sizes and a grid per column over all rows
-    aggs = []
-    for c in cols:
-        x = F.col(f"_x{ci[c]}")
-        aggs += [F.count(x).alias(f"_n{ci[c]}"), F.percentile_approx(x, fracs, accuracy).alias(f"_g{ci[c]}")]
-    base = data.groupBy(*by).agg(*aggs) if by else data.agg(*aggs)
+    # pass 1: sizes; an approximate grid per column only when some group is too big to finish directly
+    counts = [F.count(F.col(f"_x{ci[c]}")).alias(f"_n{ci[c]}") for c in cols]
+    sizes = reliable_checkpoint(data.groupBy(*by).agg(*counts) if by else data.agg(*counts))
+    largest = sizes.agg(_gmax([F.max(f"_n{i}") for i in range(len(cols))]).alias("m")).first()["m"] or 0
+    direct = largest <= exact_rows
+    if direct:
+        base = sizes.select("*", *[F.lit(None).cast("array<double>").alias(f"_g{i}") for i in range(len(cols))])
+    else:
+        aggs = [F.count(F.col(f"_x{ci[c]}")).alias(f"_n{ci[c]}") for c in cols]
+        aggs += [F.percentile_approx(F.col(f"_x{ci[c]}"), fracs, accuracy).alias(f"_g{ci[c]}") for c in cols]
+        base = data.groupBy(*by).agg(*aggs) if by else data.agg(*aggs)
 
     # targets: every distinct (column, rank expression)
     targets: list[tuple[int, Column]] = []  # (column index, k column)
@@ -132,6 +144,8 @@ def quantiles(df: DataFrame, specs: list[QSpec], by: list[str] | None = None,
     state = reliable_checkpoint(base.select(*sel))
     n_groups = state.count() if by else 1
     small = n_groups <= BROADCAST_STATE_ROWS
+    if direct:
+        return _finish_direct(data, state, targets, combos, specs, cols, by, small)
 
     def in_bracket(x: Column, lo: Column, hi: Column) -> Column:
         return (lo.isNull() | (x >= lo)) & (hi.isNull() | (x <= hi))
@@ -222,6 +236,46 @@ def quantiles(df: DataFrame, specs: list[QSpec], by: list[str] | None = None,
     return res.select(*by, *outs)
 
 
+def _combine(res: DataFrame, specs: list[QSpec], combos, by: list[str]) -> DataFrame:
+    outs = []
+    for s, (t_lo, t_hi, wcol, n) in zip(specs, combos):
+        vlo, vhi = F.col(f"_v{t_lo}"), F.col(f"_v{t_hi}")
+        val = F.when(wcol == 0.0, vlo).otherwise(vlo + wcol * (vhi - vlo))
+        if s.rule in ("midpoint", "type2"):
+            val = F.when(wcol == 0.0, vlo).otherwise((vlo + vhi) / 2.0)
+        outs.append(F.when(n > 0, val).alias(s.out))
+    return res.select(*by, *outs)
+
+
+def _finish_direct(data: DataFrame, state: DataFrame, targets, combos, specs, cols, by, small) -> DataFrame:
+    """Every group has at most ``exact_rows`` values per column: count rows per distinct value
+    (ties collapse map-side), run a cumulative count per (group, column) and let each target
+    pick the value whose count range holds its rank. Rows are never copied per target."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"_x{i}").alias("x"))
+                                for i in range(len(cols))])).alias("_p")
+    cells = (data.select(*by, pairs).select(*by, F.col("_p.c").alias("_c"), F.col("_p.x").alias("_v"))
+             .filter(F.col("_v").isNotNull())
+             .groupBy(*by, "_c", "_v").agg(F.count(F.lit(1)).alias("_cnt")))
+    # bounded: each (group, column) window holds at most exact_rows distinct values
+    w = Window.partitionBy(*by, "_c").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = cells.withColumn("_cum", F.sum("_cnt").over(w)).withColumn("_prev", F.col("_cum") - F.col("_cnt"))
+    tk = state.select(*by, F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(c).alias("c"),
+                                                          F.col(f"_k{t}").alias("k"))
+                                               for t, (c, _) in enumerate(targets)])).alias("_s"))
+    # distinct names on the target side: both sides share lineage, so bare names would be ambiguous
+    tk = tk.select(*[F.col(b).alias(f"_tb{i}") for i, b in enumerate(by)], F.col("_s.t").alias("_t"),
+                   F.col("_s.c").alias("_tc"), F.col("_s.k").alias("_k"))
+    cond = ([F.col(b) == F.col(f"_tb{i}") for i, b in enumerate(by)]
+            + [F.col("_c") == F.col("_tc"), F.col("_prev") <= F.col("_k"), F.col("_k") < F.col("_cum")])
+    joined = cum.join(F.broadcast(tk) if small else tk, on=_and(cond), how="inner")
+    hit = joined.select(*by, "_t", "_v")
+    aggs = [F.max(F.when(F.col("_t") == t, F.col("_v"))).alias(f"_v{t}") for t in range(len(targets))]
+    wide = hit.groupBy(*by).agg(*aggs) if by else hit.agg(*aggs)
+    res_base = state.select(*by, *[f"_n{i}" for i in range(len(cols))])
+    res = res_base.join(wide, on=by, how="left") if by else res_base.crossJoin(wide)
+    return _combine(res, specs, combos, by)
+
+
 def quantile(df: DataFrame, col: str, q: float | list[float], rule: str = "linear",
              by: list[str] | None = None, prefix: str | None = None) -> DataFrame:
     qs = q if isinstance(q, list) else [q]
