@@ -36,11 +36,11 @@ def funnel_from_counts(spark: SparkSession, rows: list[tuple[int, str, int]]) ->
 
 
 def funnel_table(sel: DataFrame) -> DataFrame:
-    """Adds diff = previous obs - obs, and the formatted Obs / (Diff) strings.
+    """Adds diff = previous obs - obs and the formatted "12,345" / "(1,234)" strings.
 
     The funnel has one row per step (a handful), so the ordered window is tiny.
     """
     w = Window.orderBy("step")
     out = sel.withColumn("diff", F.lag("obs").over(w) - F.col("obs"))
     return out.select("step", "description", "obs", "diff",
-                      thousands("obs").alias("Obs"), paren_thousands("diff").alias("Diff"))
+                      thousands("obs").alias("obs_text"), paren_thousands("diff").alias("diff_text"))

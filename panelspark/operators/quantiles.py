@@ -145,7 +145,7 @@ def quantiles(df: DataFrame, specs: list[QSpec], by: list[str] | None = None,
     n_groups = state.count() if by else 1
     small = n_groups <= BROADCAST_STATE_ROWS
     if direct:
-        return _finish_direct(data, state, targets, combos, specs, cols, by, small)
+        return reliable_checkpoint(_finish_direct(data, state, targets, combos, specs, cols, by, small))
 
     def in_bracket(x: Column, lo: Column, hi: Column) -> Column:
         return (lo.isNull() | (x >= lo)) & (hi.isNull() | (x <= hi))
@@ -232,8 +232,8 @@ def quantiles(df: DataFrame, specs: list[QSpec], by: list[str] | None = None,
         if s.rule in ("midpoint", "type2"):
             val = F.when(wcol == 0.0, vlo).otherwise((vlo + vhi) / 2.0)
         outs.append(F.when(n > 0, val).alias(s.out))
-    # weights depend on n only: recompute them on the result frame
-    return res.select(*by, *outs)
+    # the cut table is one row per group: pin it so later joins and counts do not redo the selection
+    return reliable_checkpoint(res.select(*by, *outs))
 
 
 def _combine(res: DataFrame, specs: list[QSpec], combos, by: list[str]) -> DataFrame:

@@ -41,7 +41,7 @@ class Fit:
     dropped: list[str] = field(default_factory=list)
 
     def coef_frame(self, spark: SparkSession, model: str | None = None) -> DataFrame:
-        pdf = self.coef.copy()
+        pdf = self.coef.copy().astype(object).where(self.coef.notna(), None)
         if model is not None:
             pdf.insert(0, "model", model)
         return spark.createDataFrame(pdf)
@@ -216,11 +216,10 @@ def ols(df: DataFrame, y: str, terms: list, absorb: list[str] | None = None,
                  *[F.sum(F.col(vars_[a]) * F.col(vars_[b])).alias(f"_p{a}_{b}") for a, b in prods]]
     fes = [f"_fe{i}" for i in range(len(absorb))]
     cells_df = cen.groupBy(*fes).agg(*cell_aggs) if fes else cen.agg(*cell_aggs)
-    if fes:
-        n_cells = cells_df.count()
-        if n_cells > MAX_CELLS:
-            raise ValueError(f"{n_cells} fixed-effect cells exceed {MAX_CELLS}; use iterative demeaning")
-    cells = cells_df.toPandas()
+    # one action; the cap proves the collected cell table is small
+    cells = cells_df.limit(MAX_CELLS + 1).toPandas()
+    if len(cells) > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS} fixed-effect cells; use iterative demeaning")
     full = np.zeros((p, p))
     for a, b in prods:
         full[a, b] = full[b, a] = cells[f"_p{a}_{b}"].sum()
@@ -305,26 +304,31 @@ def ols(df: DataFrame, y: str, terms: list, absorb: list[str] | None = None,
         inter = scores.groupBy(*cl).agg(*[F.sum(f"_sc{q}").alias(f"_sc{q}") for q in range(kk)])
         inter = inter.persist()
 
-        def meat_of(tab: DataFrame) -> tuple[np.ndarray, int]:
-            aggs = [F.count(F.lit(1)).alias("_G")] + [F.sum(F.col(f"_sc{a}") * F.col(f"_sc{b}")).alias(f"_m{a}_{b}")
-                                                      for a in range(kk) for b in range(a, kk)]
-            r = tab.agg(*aggs).first()
-            mt = np.zeros((kk, kk))
-            for a in range(kk):
-                for b in range(a, kk):
-                    mt[a, b] = mt[b, a] = r[f"_m{a}_{b}"] or 0.0
-            return mt, int(r["_G"])
+        sc = [f"_sc{q}" for q in range(kk)]
+        prods = [(a, b) for a in range(kk) for b in range(a, kk)]
 
-        parts = []
-        if len(cl) == 1:
-            parts.append((1.0, *meat_of(inter)))
-        elif len(cl) == 2:
-            for c in cl:
-                t = inter.groupBy(c).agg(*[F.sum(f"_sc{q}").alias(f"_sc{q}") for q in range(kk)])
-                parts.append((1.0, *meat_of(t)))
-            parts.append((-1.0, *meat_of(inter)))
-        else:
+        def meat_row(tab: DataFrame, tag: int) -> DataFrame:
+            return tab.agg(F.lit(tag).alias("_tag"), F.count(F.lit(1)).alias("_G"),
+                           *[F.sum(F.col(f"_sc{a}") * F.col(f"_sc{b}")).alias(f"_m{a}_{b}") for a, b in prods])
+
+        # the intersection table is summed per dimension; all meats come back in one action
+        tabs = [meat_row(inter, 0)] if len(cl) == 1 else [
+            meat_row(inter.groupBy(cl[0]).agg(*[F.sum(c).alias(c) for c in sc]), 0),
+            meat_row(inter.groupBy(cl[1]).agg(*[F.sum(c).alias(c) for c in sc]), 1),
+            meat_row(inter, 2)]
+        if len(cl) > 2:
             raise ValueError("one or two cluster dimensions")
+        allm = tabs[0]
+        for t in tabs[1:]:
+            allm = allm.unionByName(t)
+        got = {r["_tag"]: r for r in allm.collect()}
+        parts = []
+        for tag in sorted(got):
+            r = got[tag]
+            mt = np.zeros((kk, kk))
+            for a, b in prods:
+                mt[a, b] = mt[b, a] = r[f"_m{a}_{b}"] or 0.0
+            parts.append((-1.0 if tag == 2 else 1.0, mt, int(r["_G"])))
         inter.unpersist()
         gs = [g for _, _, g in parts[: len(cl)]]
         gmin = min(gs)
@@ -346,7 +350,9 @@ def ols(df: DataFrame, y: str, terms: list, absorb: list[str] | None = None,
         T = np.eye(kk)
         T[0, 1:] = -mu[1:][keep]
         V = T @ V @ T.T
-    se = np.sqrt(np.clip(np.diag(V), 0, None))
+    # a two-way covariance can be indefinite: a negative variance gives no standard error (NULL)
+    dv = np.diag(V)
+    se = np.where(dv >= 0, np.sqrt(np.abs(dv)), np.nan)
     tstat = np.divide(est, se, out=np.full_like(est, np.nan), where=se > 0)
     pval = [t_sf2(float(t), df_t) for t in tstat]
     coef = pd.DataFrame({"term": term_names, "estimate": est, "std_error": se, "t_stat": tstat, "p_value": pval})

@@ -279,8 +279,7 @@ def q_decile_means(spark, sf_dir):
 # ---- regressions -----------------------------------------------------------------------------
 
 def _coef_frame(spark, fit, cols=("term", "estimate", "std_error")):
-    pdf = fit.coef[list(cols)]
-    return spark.createDataFrame(pdf)
+    return fit.coef_frame(spark).select(*cols)
 
 
 _SIMPLE_SQL = """WITH s AS (SELECT regr_slope(bhar, sue) AS b, regr_intercept(bhar, sue) AS a, count(*) AS n,
@@ -328,16 +327,16 @@ def _cluster_sql(clusters: list[str]) -> str:
                 "(m1.a11 + m2.a11 - m12.a11) AS a11, least(m1.g, m2.g) AS g FROM m1, m2, m12")
     else:
         msum = "m1.a00, m1.a01, m1.a11, m1.g FROM m1"
-    return f"""WITH s AS (SELECT regr_slope(bhar, sue) AS b, regr_intercept(bhar, sue) AS a, count(*) AS n,
+    return f"""SELECT term, estimate, CASE WHEN var >= 0 THEN sqrt(var) END AS std_error FROM (
+WITH s AS (SELECT regr_slope(bhar, sue) AS b, regr_intercept(bhar, sue) AS a, count(*) AS n,
   sum(sue) AS sx, sum(sue * sue) AS sxx FROM reg_panel),
 r AS (SELECT p.*, bhar - s.a - s.b * sue AS e FROM reg_panel p, s),
 {', '.join(meats)},
 m AS (SELECT {msum}),
 v AS (SELECT (m.g / (m.g - 1.0)) * ((s.n - 1.0) / (s.n - 2.0)) / power(s.n * s.sxx - s.sx * s.sx, 2) AS c,
         s.*, m.a00, m.a01, m.a11 FROM s, m)
-SELECT 'Intercept' AS term, a AS estimate,
-       sqrt(c * (sxx * sxx * a00 - 2 * sxx * sx * a01 + sx * sx * a11)) AS std_error FROM v
-UNION ALL SELECT 'sue', b, sqrt(c * (sx * sx * a00 - 2 * sx * n * a01 + n * n * a11)) FROM v"""
+SELECT 'Intercept' AS term, a AS estimate, c * (sxx * sxx * a00 - 2 * sxx * sx * a01 + sx * sx * a11) AS var FROM v
+UNION ALL SELECT 'sue', b, c * (sx * sx * a00 - 2 * sx * n * a01 + n * n * a11) FROM v)"""
 
 
 @register("cluster_oneway", _cluster_sql(["permno"]), ["estimate", "std_error"])
@@ -354,7 +353,7 @@ def q_cluster_twoway(spark, sf_dir):
 def q_ols_two_fe(spark, sf_dir):
     fit = R.ols(_panel(spark, sf_dir), "bhar", ["sue*same_sign"], absorb=["fyearq", "ff12num"],
                 cluster=["permno", "fyearq"])
-    return spark.createDataFrame(fit.coef)
+    return fit.coef_frame(spark)
 
 
 MODELS = {
@@ -367,8 +366,14 @@ MODELS = {
 
 
 def regression_models(spark, df, cluster=("permno", "fyearq")):
-    df = W.standardize(df, "log_mve", suffix="_std")
-    return {name: R.ols(df, "bhar", cluster=list(cluster), **spec) for name, spec in MODELS.items()}
+    cols = ["bhar", "sue", "same_sign", "loss", "log_mve", "fyearq", "ff12num", *cluster]
+    df = W.standardize(df.select(*dict.fromkeys(cols)), "log_mve", suffix="_std")
+    # five models read the same narrow panel: keep it once (recomputed from lineage if lost)
+    df = df.persist()
+    try:
+        return {name: R.ols(df, "bhar", cluster=list(cluster), **spec) for name, spec in MODELS.items()}
+    finally:
+        df.unpersist()
 
 
 @register("regression_table", None)
