@@ -25,10 +25,13 @@ def trading_calendar(returns: DataFrame, date_col: str = "dlycaldt", date: str =
 def _dense_day_map(calendar: DataFrame, date: str, td: str) -> DataFrame:
     """day -> (next trading date on or after day, its td), for every day inside the span.
 
-    Built from the calendar only (bounded), with ``lag`` + ``sequence``.
+    Built from the calendar only (bounded): the previous trading day comes from a
+    broadcast self-join on ``td - 1`` rather than a second window, so both uses of the
+    calendar share one plan fragment (Spark reuses its exchange).
     """
-    prev = F.lag(date).over(Window.orderBy(date))
-    return (calendar.select(date, td, prev.alias("_prev"))
+    prev = calendar.select((F.col(td) + 1).alias("_ptd"), F.col(date).alias("_prev"))
+    cur = calendar.select(date, td)
+    return (cur.join(F.broadcast(prev), on=cur[td] == prev["_ptd"], how="left")
             .select(F.explode(F.sequence(F.coalesce(F.date_add("_prev", 1), F.col(date)), F.col(date)))
                     .alias("_day"), date, td))
 
