@@ -17,6 +17,7 @@ from panelspark.plans import bindings as B
 from panelspark.plans.oracle import with_bindings
 
 DIGITS = 6
+NUDGE = 1.0 + 1e-12
 
 
 @dataclass
@@ -29,8 +30,10 @@ class Query:
     def spark(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         df = self.build(spark, sf_dir)
         if self.floats:
-            # "+ 0.0" folds -0.0 into 0.0 so both engines print zeros alike
-            df = df.withColumns({c: F.round(F.col(c), DIGITS) + F.lit(0.0) for c in self.floats})
+            # x * (1 + 1e-12) moves values that sit exactly on a rounding half (means of
+            # 2-decimal data) off the boundary by more than any summation-order noise, so
+            # both engines round them alike; "+ 0.0" folds -0.0 into 0.0
+            df = df.withColumns({c: F.round(F.col(c) * F.lit(NUDGE), DIGITS) + F.lit(0.0) for c in self.floats})
         return df
 
     def oracle(self) -> str | None:
@@ -39,7 +42,7 @@ class Query:
         body = with_bindings(self.sql)
         if not self.floats:
             return body
-        repl = ", ".join(f"round({c}, {DIGITS}) + 0.0 AS {c}" for c in self.floats)
+        repl = ", ".join(f"round({c} * CAST({NUDGE!r} AS DOUBLE), {DIGITS}) + 0.0 AS {c}" for c in self.floats)
         return f"SELECT * REPLACE ({repl}) FROM (\n{body}\n) q"
 
 
