@@ -81,3 +81,16 @@ def duplicate_summary(df: DataFrame, keys: list[str]) -> DataFrame:
 def distinct_rows(df: DataFrame, cols: list[str]) -> DataFrame:
     """Distinct rows over selected columns (Q6)."""
     return df.select(*cols).distinct()
+
+
+def encode_alphabetical(df: DataFrame, col: str, out: str) -> DataFrame:
+    """Integer code 1..k of a string key in alphabetical order, e.g. for a fixed-effect id.
+
+    The distinct keys are ranked with the distributed ``rank_rows`` (no single partition),
+    then joined back on the key.
+    """
+    from panelspark.operators.quantiles import rank_rows
+
+    keys = df.select(col).distinct().filter(F.col(col).isNotNull())
+    codes = rank_rows(keys, [col], rank=out).select(col, F.col(out).cast("long").alias(out))
+    return df.join(codes, on=col, how="left")

@@ -37,13 +37,20 @@ def descriptives(df: DataFrame, variables: list[str], labels: dict[str, str] | N
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*").orderBy("_order").drop("_order")
 
 
+def safe_corr(a: str, b: str):
+    """Pairwise-complete Pearson correlation that is NULL (not an ANSI error) for a constant column."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x, y = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+
+
 def pearson_matrix(df: DataFrame, cols: list[str], names: dict[str, str] | None = None) -> DataFrame:
     """Pairwise-complete Pearson matrix: one row per variable, one column per variable.
 
     One ``agg`` with k(k-1)/2 ``corr`` columns (``corr`` skips rows where either side is NULL).
     """
     names = names or {}
-    pairs = {(a, b): F.corr(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]}
+    pairs = {(a, b): safe_corr(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]}
     one = df.agg(*[c.alias(f"{a}__{b}") for (a, b), c in pairs.items()]) if pairs else df.agg(F.count(F.lit(1)))
     return _square(one, cols, names, lambda a, b: f"{a}__{b}" if (a, b) in pairs else f"{b}__{a}")
 
@@ -89,8 +96,8 @@ def pearson_spearman(df: DataFrame, cols: list[str], row_key: list[str],
     ranked = complete.select(*row_key, *cols)
     for c in cols:
         ranked = average_ranks(ranked, c, f"{c}__rk", row_key)
-    pear = {(a, b): F.corr(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]}
-    spear = {(a, b): F.corr(f"{a}__rk", f"{b}__rk") for i, a in enumerate(cols) for b in cols[i + 1:]}
+    pear = {(a, b): safe_corr(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]}
+    spear = {(a, b): safe_corr(f"{a}__rk", f"{b}__rk") for i, a in enumerate(cols) for b in cols[i + 1:]}
     p = df.agg(*[c.alias(f"p__{a}__{b}") for (a, b), c in pear.items()])
     s = ranked.agg(*[c.alias(f"s__{a}__{b}") for (a, b), c in spear.items()])
     return _square(p.crossJoin(s), cols, names, lambda a, b: f"p__{a}__{b}",

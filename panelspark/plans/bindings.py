@@ -50,7 +50,8 @@ def panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.quarter(d).cast("int").alias("fqtr"),
         F.date_add(datadate, (F.lit(20) + F.col("o_orderkey") % 30).cast("int")).alias("rdq"),
         (F.col("o_totalprice") / 1000).alias("saleq"),
-        (F.col("o_totalprice") / 1000 - 250).alias("ibq"),
+        # earnings move with sales plus an order-specific part, so their changes can disagree in sign
+        (F.col("o_totalprice") / 1000 - 250 + ((F.col("o_orderkey") % 7) - 3).cast("double") * 20.0).alias("ibq"),
         (F.lit(1) + F.col("o_orderkey") % 50).cast("double").alias("cshoq"),
         (F.col("o_totalprice") / 10000).alias("prccq"),
     )

@@ -19,7 +19,7 @@ BINDINGS: dict[str, str] = {
                      CAST(quarter(o_orderdate) AS INTEGER) AS fqtr,
                      o_orderkey,
                      o_totalprice / 1000 AS saleq,
-                     o_totalprice / 1000 - 250 AS ibq,
+                     o_totalprice / 1000 - 250 + CAST(o_orderkey % 7 - 3 AS DOUBLE) * CAST(20 AS DOUBLE) AS ibq,
                      CAST(1 + o_orderkey % 50 AS DOUBLE) AS cshoq,
                      o_totalprice / 10000 AS prccq
               FROM orders) o""",
