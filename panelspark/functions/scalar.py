@@ -69,3 +69,8 @@ def decade_label(year: str | Column) -> Column:
     for start in (2010, 2000, 1990, 1980, 1970):
         lab = F.when(y.between(start, start + 9), F.lit(f"{start} - {start + 9}")).otherwise(lab)
     return F.when(y >= 2020, F.lit("2020+")).otherwise(lab)
+
+
+def group_label(*cols: str | Column, sep: str = " / ") -> Column:
+    """Join labels into one group name, e.g. "Positive SUE / Same Sign" (X16)."""
+    return F.concat_ws(sep, *[col(c) for c in cols])

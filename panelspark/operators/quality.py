@@ -94,3 +94,15 @@ def encode_alphabetical(df: DataFrame, col: str, out: str) -> DataFrame:
     keys = df.select(col).distinct().filter(F.col(col).isNotNull())
     codes = rank_rows(keys, [col], rank=out).select(col, F.col(out).cast("long").alias(out))
     return df.join(codes, on=col, how="left")
+
+
+def top_groups(df: DataFrame, keys: list[str], k: int = 10) -> DataFrame:
+    """The k largest key groups (O3): a top-k report, so the limit is the feature. Ties are
+    broken by the keys; Spark plans it as TakeOrderedAndProject (per-task top k, then merge)."""
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+            .orderBy(F.col("n").desc(), *[F.col(c).asc_nulls_first() for c in keys]).limit(k))
+
+
+def sort_all(df: DataFrame) -> DataFrame:
+    """Sort by every column left to right (O2), a range-partitioned global sort."""
+    return df.orderBy(*df.columns)

@@ -107,3 +107,15 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     """Expose a DataFrame to SQL."""
     df.createOrReplaceTempView(name)
     return df
+
+
+def attach_labels(df: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """Store human-readable variable labels in the column metadata (P6); Parquet keeps them."""
+    for c, lab in labels.items():
+        if c in df.columns:
+            df = df.withMetadata(c, {**df.schema[c].metadata, "label": lab})
+    return df
+
+
+def labels_of(df: DataFrame) -> dict[str, str]:
+    return {f.name: f.metadata["label"] for f in df.schema.fields if "label" in f.metadata}

@@ -46,3 +46,19 @@ def test_file_inventory_sha256(spark):
     assert [r.name for r in got] == ["a.bin", "b.txt"]
     assert got[1].sha256 == hashlib.sha256(b"hello").hexdigest() and got[1].size_mb == 5 / 1e6
     assert file_inventory(spark, os.path.join(d, "missing")).count() == 0
+
+
+def test_labels_roundtrip(spark):
+    from panelspark.sources.extract import attach_labels, labels_of, write_parquet
+    df = attach_labels(spark.range(3).withColumnRenamed("id", "sue"), {"sue": "SUE", "missing": "x"})
+    out = os.path.join(tempfile.mkdtemp(prefix="ps-lab-"), "l.parquet")
+    write_parquet(df, out)
+    assert labels_of(spark.read.parquet(out)) == {"sue": "SUE"}
+
+
+def test_top_groups_and_group_label(spark):
+    from panelspark.functions.scalar import group_label
+    from panelspark.operators.quality import top_groups
+    df = spark.createDataFrame([("a",), ("a",), ("b",), ("c",), ("c",), ("c",)], "g string")
+    assert [(r.g, r.n) for r in top_groups(df, ["g"], 2).collect()] == [("c", 3), ("a", 2)]
+    assert df.select(group_label("g", "g").alias("l")).first().l == "a / a"
