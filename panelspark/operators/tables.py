@@ -7,12 +7,13 @@ quantiles from ``quantiles``); only the finished small table is ever collected.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.scalar import decade_label
-from panelspark.operators.quantiles import BROADCAST_STATE_ROWS, QSpec, quantiles, rank_rows
+from panelspark.operators.quantiles import BROADCAST_STATE_ROWS, EXACT_ROWS, QSpec, quantiles, rank_rows
 from panelspark.operators.transforms import qcut
+from panelspark.session import reliable_checkpoint
 
 
 def descriptives(df: DataFrame, variables: list[str], labels: dict[str, str] | None = None,
@@ -85,6 +86,37 @@ def average_ranks(df: DataFrame, col: str, out: str, row_key: list[str]) -> Data
     return df.join(t, on=col, how="left")
 
 
+def average_ranks_many(df: DataFrame, cols: list[str], row_key: list[str],
+                       max_distinct: int = EXACT_ROWS) -> DataFrame:
+    """Adds ``{c}__rk`` (average rank, 1-based, NULL stays NULL) for every column in one pass.
+
+    Rows are reduced to (column, value, count) by one aggregation (ties collapse map-side);
+    a running count over each column's distinct values gives
+    rank(v) = #(x < v) + (#(x = v) + 1) / 2. That window holds at most ``max_distinct``
+    values (checked); a column with more distinct values uses the distributed ``rank_rows``.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("x"))
+                                for i, c in enumerate(cols)])).alias("_p")
+    cells = (df.select(pairs).select(F.col("_p.c").alias("_c"), F.col("_p.x").alias("_x"))
+             .filter(F.col("_x").isNotNull()).groupBy("_c", "_x").agg(F.count(F.lit(1)).alias("_cnt")))
+    cells = reliable_checkpoint(cells)
+    distinct = {r["_c"]: r["n"] for r in cells.groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    w = Window.partitionBy("_c").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    small_cols = [i for i in range(len(cols)) if distinct.get(i, 0) <= max_distinct]
+    ranks = (cells.filter(F.col("_c").isin(small_cols))
+             .withColumn("_rk", F.sum("_cnt").over(w) - F.col("_cnt") + (F.col("_cnt") + 1) / 2.0))
+    ranks = reliable_checkpoint(ranks)
+    out = df
+    for i, c in enumerate(cols):
+        if i not in small_cols:
+            out = average_ranks(out, c, f"{c}__rk", row_key)
+            continue
+        r = ranks.filter(F.col("_c") == i).select(F.col("_x").alias(f"_x{i}"), F.col("_rk").alias(f"{c}__rk"))
+        r = F.broadcast(r) if distinct.get(i, 0) <= BROADCAST_STATE_ROWS else r
+        out = out.join(r, on=F.col(c).cast("double") == F.col(f"_x{i}"), how="left").drop(f"_x{i}")
+    return out
+
+
 def pearson_spearman(df: DataFrame, cols: list[str], row_key: list[str],
                      names: dict[str, str] | None = None) -> DataFrame:
     """Pearson above the diagonal, Spearman below (A17). Spearman uses rows complete in all
@@ -93,9 +125,7 @@ def pearson_spearman(df: DataFrame, cols: list[str], row_key: list[str],
     complete = df
     for c in cols:
         complete = complete.filter(F.col(c).isNotNull())
-    ranked = complete.select(*row_key, *cols)
-    for c in cols:
-        ranked = average_ranks(ranked, c, f"{c}__rk", row_key)
+    ranked = average_ranks_many(complete.select(*row_key, *cols), cols, row_key)
     pear = {(a, b): safe_corr(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]}
     spear = {(a, b): safe_corr(f"{a}__rk", f"{b}__rk") for i, a in enumerate(cols) for b in cols[i + 1:]}
     p = df.agg(*[c.alias(f"p__{a}__{b}") for (a, b), c in pear.items()])
