@@ -20,7 +20,7 @@ FAR_FUTURE = _dt.date(2099, 12, 31)
 def range_join(left: DataFrame, right: DataFrame, keys: list[str] | dict[str, str], date: str,
                start: str, end: str, how: str = "inner", open_end: _dt.date | None = FAR_FUTURE,
                null_start_matches: bool = False, unmatched: str = "keep",
-               right_cols: list[str] | None = None) -> DataFrame:
+               right_cols: list[str] | None = None, bucket_days: int | None = None) -> DataFrame:
     """Join ``left`` rows to ``right`` ranges with ``start <= left.date <= end`` on equal keys.
 
     - ``open_end``: a NULL ``end`` is read as this date (J1: 2099-12-31); ``None`` keeps
@@ -29,6 +29,12 @@ def range_join(left: DataFrame, right: DataFrame, keys: list[str] | dict[str, st
     - ``how="left"`` keeps unmatched rows with NULLs; ``unmatched="drop"`` instead joins on
       the key and then filters, so a key present but out of range is dropped (J2b, R).
     - several matching ranges fan out (kept, as in the reference).
+    - ``bucket_days``: when keys carry many ranges, explode each range into the time buckets
+      it overlaps and join on (keys, bucket) with the exact range as residual, so a row is
+      compared only with ranges near its date (a binned range join). Each row has exactly one
+      bucket, so inner and left results are identical to the unbucketed join; NULL dates and
+      NULL-start ranges go to a shared sentinel bucket. Open ends are capped at the row dates'
+      maximum (one scalar aggregate).
     """
     pairs = keys.items() if isinstance(keys, dict) else [(k, k) for k in keys]
     r_keep = right_cols if right_cols is not None else [c for c in right.columns
@@ -39,6 +45,8 @@ def range_join(left: DataFrame, right: DataFrame, keys: list[str] | dict[str, st
     for i, (lk, _) in enumerate(pairs):
         c = left[lk] == r[f"_rk{i}"]
         cond = c if cond is None else cond & c
+    if bucket_days is not None:
+        return _bucketed(left, r, pairs, date, how, open_end, null_start_matches, unmatched, bucket_days)
     d = left[date]
     end_c = F.coalesce(r["_rend"], F.lit(open_end)) if open_end is not None else r["_rend"]
     in_range = (d >= r["_rstart"]) & (d <= end_c)
@@ -51,3 +59,44 @@ def range_join(left: DataFrame, right: DataFrame, keys: list[str] | dict[str, st
     else:
         joined = left.join(r, on=cond & in_range, how=how)
     return joined.drop(*[f"_rk{i}" for i in range(len(pairs))], "_rstart", "_rend")
+
+
+_EPOCH = _dt.date(1970, 1, 1)
+_NULL_BUCKET = -(1 << 30)
+
+
+def _bucket(c, days: int):
+    return F.floor(F.datediff(c, F.lit(_EPOCH)) / days).cast("long")
+
+
+def _bucketed(left: DataFrame, r: DataFrame, pairs, date: str, how: str, open_end, null_start_matches: bool,
+              unmatched: str, days: int) -> DataFrame:
+    if how == "left" and unmatched == "drop":
+        raise ValueError("bucket_days supports the J1/J2 forms (inner or left keeping unmatched rows)")
+    # the latest row date bounds how far an open or far-future end has to be exploded
+    last = left.agg(F.max(date).alias("_maxd"))
+    end_c = F.coalesce(F.col("_rend"), F.lit(open_end)) if open_end is not None else F.col("_rend")
+    span_end = F.least(end_c, F.col("_maxd"))
+    rb = r.crossJoin(F.broadcast(last))
+    buckets = F.when(F.col("_rstart").isNull(), F.array(F.lit(_NULL_BUCKET)) if null_start_matches else F.array()) \
+        .otherwise(F.when(span_end >= F.col("_rstart"),
+                          F.sequence(_bucket(F.col("_rstart"), days), _bucket(span_end, days)))
+                   .otherwise(F.array().cast("array<bigint>")))
+    rb = rb.withColumn("_rb", F.explode(buckets)).drop("_maxd")
+    lb = left.withColumn("_lb", F.coalesce(_bucket(F.col(date), days), F.lit(_NULL_BUCKET)))
+    if null_start_matches:
+        # NULL-start ranges match every date: give them to every bucket the rows use
+        used = lb.select("_lb").distinct()
+        anyr = r.filter(F.col("_rstart").isNull()).crossJoin(F.broadcast(used)).withColumnRenamed("_lb", "_rb")
+        rb = rb.filter(F.col("_rb") != _NULL_BUCKET).unionByName(anyr)
+    cond = None
+    for i, (lk, _) in enumerate(pairs):
+        c = lb[lk] == rb[f"_rk{i}"]
+        cond = c if cond is None else cond & c
+    d = lb[date]
+    in_range = (d >= rb["_rstart"]) & (d <= (F.coalesce(rb["_rend"], F.lit(open_end)) if open_end is not None
+                                             else rb["_rend"]))
+    if null_start_matches:
+        in_range = rb["_rstart"].isNull() | in_range
+    joined = lb.join(rb, on=cond & (lb["_lb"] == rb["_rb"]) & in_range, how=how)
+    return joined.drop(*[f"_rk{i}" for i in range(len(pairs))], "_rstart", "_rend", "_lb", "_rb")

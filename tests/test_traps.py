@@ -180,3 +180,31 @@ def test_w9_standardize(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (None,)], "x double")
     got = sorted((r.x_std for r in standardize(df, "x", suffix="_std").collect()), key=lambda v: (v is None, v))
     assert got[:3] == pytest.approx([-1.0, 0.0, 1.0]) and got[3] is None
+
+
+def test_bucketed_range_join_equals_plain(spark):
+    import random
+    rnd = random.Random(5)
+    base = D(2000, 1, 1)
+    rows = [(rnd.randint(0, 4), None if rnd.random() < 0.05 else base + dt.timedelta(days=rnd.randint(0, 3000)))
+            for _ in range(400)]
+    left = spark.createDataFrame([(i, k, d) for i, (k, d) in enumerate(rows)], "id int, k int, d date")
+    ranges = []
+    for j in range(120):
+        s = None if rnd.random() < 0.05 else base + dt.timedelta(days=rnd.randint(0, 3000))
+        e = None if rnd.random() < 0.1 else (s or base) + dt.timedelta(days=rnd.randint(0, 500))
+        ranges.append((rnd.randint(0, 5), s, e, j))
+    right = spark.createDataFrame(ranges, "k int, s date, e date, rid int")
+    for how, nsm, oe in (("inner", False, linking_far()), ("left", True, None), ("left", False, linking_far())):
+        plain = range_join(left, right, ["k"], "d", "s", "e", how=how, null_start_matches=nsm, open_end=oe,
+                           right_cols=["rid"])
+        binned = range_join(left, right, ["k"], "d", "s", "e", how=how, null_start_matches=nsm, open_end=oe,
+                            right_cols=["rid"], bucket_days=90)
+        a = sorted((r.id, r.rid if r.rid is not None else -1) for r in plain.collect())
+        b = sorted((r.id, r.rid if r.rid is not None else -1) for r in binned.collect())
+        assert a == b, (how, nsm)
+
+
+def linking_far():
+    from panelspark.operators.linking import FAR_FUTURE
+    return FAR_FUTURE
