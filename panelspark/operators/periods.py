@@ -1,9 +1,10 @@
 """Period-key lags (J3, J4) and gaps in months.
 
 Lags are looked up by explicit fiscal keys, not by position, so reporting gaps never
-shift a value onto the wrong quarter. The lookup side is repartitioned once on the
-lookup keys before ``distinct``; the distinct then needs no shuffle of its own and the
-join reuses that partitioning (one exchange per side instead of three in total).
+shift a value onto the wrong quarter. The lookup side is de-duplicated with ``distinct``,
+whose partial aggregation collapses repeated rows before any shuffle (a key holding a
+third of the rows never travels whole to one task); the join then shuffles only the
+de-duplicated lookup, and AQE splits a skewed key on the panel side.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ def period_lookup(df: DataFrame, lookup: DataFrame, entity: str, year: str, qtr:
     lk = [f"_lk_{entity}", f"_lk_{year}", f"_lk_{qtr}"]
     look = (lookup.select(F.col(entity).alias(lk[0]), F.col(year).alias(lk[1]), F.col(qtr).alias(lk[2]),
                           *[F.col(src).alias(dst) for src, dst in values.items()])
-            .repartition(*lk).distinct())
+            .distinct())
     lkeys = [entity, ky, kq]
     cond = None
     for a, b in zip(lkeys, lk):
