@@ -175,7 +175,8 @@ def ols(df: DataFrame, y: str, terms: list, absorb: list[str] | None = None,
 
     Small-sample factor (N-1)/(N-K) * G/(G-1); ``cluster_df="min"`` uses the smallest G
     for every term, ``"conventional"`` each term's own G. ``fixef_k="none"`` counts only the
-    slopes in K when FEs are absorbed (the intercept counts when none are).
+    slopes in K when FEs are absorbed (the intercept counts when none are); ``"full"`` also
+    counts every FE level less one per extra FE dimension.
     Rows with a NULL in any used column are dropped first.
     """
     absorb = list(absorb or [])
@@ -266,6 +267,8 @@ def ols(df: DataFrame, y: str, terms: list, absorb: list[str] | None = None,
     # design in the reported parametrisation
     if fes:
         bread_in = wxx[np.ix_(keep, keep)]
+        if fixef_k not in ("none", "full"):
+            raise ValueError("fixef_k must be 'none' or 'full'")
         K = kx if fixef_k == "none" else kx + sum(len(lv) for lv in levels) - (len(levels) - 1)
         term_names = [names[j] for j in keep]
     else:

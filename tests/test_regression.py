@@ -89,3 +89,12 @@ def test_group_slopes_ci(spark):
         assert got.loc[z, "estimate"] == pytest.approx(b[1], rel=1e-9)
         assert got.loc[z, "conf_high"] - got.loc[z, "estimate"] == pytest.approx(R.t_ppf(0.975, len(sub) - 2) * se,
                                                                                  rel=1e-7)
+
+
+def test_singletons_removed_iteratively(spark):
+    rows = [(1, "a", "x", 1.0, 0.5), (2, "a", "x", 2.0, 0.1), (3, "a", "y", 3.0, 0.9), (4, "b", "y", 4.0, 0.3),
+            (5, "c", "z", 5.0, 0.2), (6, "a", "x", 1.5, 0.7)]
+    df = spark.createDataFrame(rows, "id int, f1 string, f2 string, y double, x double")
+    kept = sorted(r.id for r in R.drop_singletons(df, ["f1", "f2"]).collect())
+    # c/z are singletons; dropping b leaves y with one row (id 3), which then goes too
+    assert kept == [1, 2, 6]
