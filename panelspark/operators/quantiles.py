@@ -151,7 +151,10 @@ def quantiles(df: DataFrame, specs: list[QSpec], by: list[str] | None = None,
         return (lo.isNull() | (x >= lo)) & (hi.isNull() | (x <= hi))
 
     for _ in range(MAX_PASSES):
-        big = state.agg(F.max(_gmax([F.col(f"_in{t}") for t in range(len(targets))]))).first()[0]
+        # a bracket collapsed to one value is decided, however many tied rows it holds
+        open_in = [F.when(F.col(f"_lo{t}").isNotNull() & (F.col(f"_lo{t}") == F.col(f"_hi{t}")), F.lit(0))
+                   .otherwise(F.col(f"_in{t}")) for t in range(len(targets))]
+        big = state.agg(F.max(_gmax(open_in))).first()[0]
         if big is None or big <= exact_rows:
             break
         # propose narrower brackets from each target's grid
@@ -161,7 +164,8 @@ def quantiles(df: DataFrame, specs: list[QSpec], by: list[str] | None = None,
             g, slack = F.col(f"_grid{t}"), F.col(f"_slack{t}")
             i_est = (k - below).cast("double") / F.greatest(inside - 1, F.lit(1)).cast("double") * grid
             i_lo, i_hi = F.floor(i_est) - slack, F.ceil(i_est) + slack
-            shrink = inside > exact_rows
+            decided = F.col(f"_lo{t}").isNotNull() & (F.col(f"_lo{t}") == F.col(f"_hi{t}"))
+            shrink = (inside > exact_rows) & ~decided
             new_lo = F.when(shrink & (i_lo >= 0), F.element_at(g, (i_lo + 1).cast("int"))).otherwise(F.col(f"_lo{t}"))
             new_hi = F.when(shrink & (i_hi <= grid), F.element_at(g, (i_hi + 1).cast("int"))).otherwise(F.col(f"_hi{t}"))
             prop += [new_lo.alias(f"_plo{t}"), new_hi.alias(f"_phi{t}")]
