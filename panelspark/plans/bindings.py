@@ -12,6 +12,8 @@ daily_returns        lineitem    (permno, trading day, return), weekdays only
 market_index         lineitem    value-weighted market return per trading day
 event_keys           orders      (permno, event date) of urgent orders, for the stand-alone windows
 reg_panel            lineitem    a large analysis panel for transforms, tables and regressions
+user_returns         events      a second daily series: (user, day, mean value / 1000), a cross-check
+user_events          events      (user, day) of error events, the second set of event dates
 """
 
 from __future__ import annotations
@@ -133,3 +135,20 @@ def reg_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.ln("l_extendedprice").alias("log_mve"),
         ((F.col("l_tax") - 0.04) + 0.5 * sue * (1 + same) + 0.001 * (F.col("l_quantity") - 25)).alias("bhar"),
     )
+
+
+def user_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return (e.groupBy(F.col("user_id").alias("permno"), F.to_date("ts").alias("dlycaldt"))
+            .agg((F.avg("value") / 1000).alias("dlyret")))
+
+
+def user_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return e.groupBy(F.to_date("ts").alias("dlycaldt")).agg((F.avg("value") / 1000).alias("dlytotret"))
+
+
+def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return (e.filter(F.col("event_type") == "error")
+            .select(F.col("user_id").alias("permno"), F.to_date("ts").alias("rdq")).distinct())

@@ -62,6 +62,16 @@ BINDINGS: dict[str, str] = {
                (l_tax - 0.04) + 0.5 * (l_discount - 0.05) * (1 + l_linenumber % 2)
                    + 0.001 * (l_quantity - 25) AS bhar
         FROM lineitem""",
+    "user_returns": """
+        SELECT user_id AS permno, CAST(ts AS DATE) AS dlycaldt, avg(value) / 1000 AS dlyret
+        FROM events GROUP BY 1, 2""",
+    "user_market": """
+        SELECT CAST(ts AS DATE) AS dlycaldt, avg(value) / 1000 AS dlytotret FROM events GROUP BY 1""",
+    "user_events": """
+        SELECT DISTINCT user_id AS permno, CAST(ts AS DATE) AS rdq FROM events WHERE event_type = 'error'""",
+    "user_calendar": """
+        SELECT CAST(row_number() OVER (ORDER BY dlycaldt) AS INTEGER) AS td, dlycaldt AS date
+        FROM (SELECT DISTINCT dlycaldt FROM user_returns)""",
     # derived roles
     "calendar": """
         SELECT CAST(row_number() OVER (ORDER BY dlycaldt) AS INTEGER) AS td, dlycaldt AS date

@@ -138,3 +138,17 @@ def q_car_summary(spark, sf_dir):
                         F.when(F.col("bhar") > 0, "Positive").when(F.col("bhar") < 0, "Negative").alias("sign_dir"),
                         F.when(F.col("permno") % 2 == 1, "Odd").otherwise("Even").alias("flag_lbl"))
     return car_summary(cum, labels, ["permno", "rdq"], "sign_dir", "flag_lbl")
+
+
+# The same operators on a second, independent series: users' daily mean event values.
+_USER_SQL = _EVENTS_SQL.replace("event_keys", "user_events").replace("calendar", "user_calendar").replace(
+    "daily_returns", "user_returns").replace("market_index", "user_market")
+
+
+@register("user_bhar_window", f"""WITH {_USER_SQL.strip()}
+SELECT permno, rdq, product(1 + ret) - product(1 + vwretd) AS bhar, count(*) AS n_days
+FROM window_rets WHERE "offset" BETWEEN -1 AND 1 GROUP BY permno, rdq""", floats=["bhar"])
+def q_user_bhar_window(spark, sf_dir):
+    returns = B.user_returns(spark, sf_dir)
+    return es.event_bhar(B.user_events(spark, sf_dir), cal.trading_calendar(returns), returns,
+                         B.user_market(spark, sf_dir), "permno", "rdq", window=(-1, 1), expand=(-5, 5))
