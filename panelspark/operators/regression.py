@@ -304,8 +304,9 @@ def ols(df: DataFrame, y: str, terms: list, absorb: list[str] | None = None,
                            *[(xt_cols[q] * resid).alias(f"_sc{q}") for q in range(kk)])
     if cluster:
         cl = [f"_cl{i}" for i in range(len(cluster))]
+        # one shuffle: the three meats below are one query over this table, and Spark reuses its
+        # exchange (no persist: a cached plan would keep all shuffle partitions, AQE could not coalesce)
         inter = scores.groupBy(*cl).agg(*[F.sum(f"_sc{q}").alias(f"_sc{q}") for q in range(kk)])
-        inter = inter.persist()
 
         sc = [f"_sc{q}" for q in range(kk)]
         prods = [(a, b) for a in range(kk) for b in range(a, kk)]
@@ -332,7 +333,6 @@ def ols(df: DataFrame, y: str, terms: list, absorb: list[str] | None = None,
             for a, b in prods:
                 mt[a, b] = mt[b, a] = r[f"_m{a}_{b}"] or 0.0
             parts.append((-1.0 if tag == 2 else 1.0, mt, int(r["_G"])))
-        inter.unpersist()
         gs = [g for _, _, g in parts[: len(cl)]]
         gmin = min(gs)
         adj = (n - 1) / (n - K) if n > K else float("nan")
