@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from panelspark.session import ship_package
 
 MAX_CELLS = 500_000
-MAX_LEVELS = 20_000
+MAX_LEVELS = 20_000          # levels outside the largest FE (dense Schur complement)
 
 
 @dataclass
@@ -155,6 +155,49 @@ def _sel_independent(xtx: np.ndarray, tol: float = 1e-10) -> list[int]:
     return keep
 
 
+def _solve_fe(idx: list[np.ndarray], offs: np.ndarray, cn: np.ndarray, dv: np.ndarray,
+              sizes: list[int]) -> np.ndarray:
+    """A solution g of (D'D) g = D'v from cell counts, by block elimination.
+
+    The largest FE's block of D'D is diagonal (its level counts), so only the Schur
+    complement over the other FEs' levels needs a dense solve: one FE costs O(L), and
+    firm x year costs a (years x years) solve however many firms there are. Any solution
+    gives the same projection D g, hence the same slopes, residuals and scores.
+    """
+    big = int(np.argmax(sizes))
+    rest = [a for a in range(len(idx)) if a != big]
+    n1 = np.zeros(sizes[big])
+    np.add.at(n1, idx[big] - offs[big], cn)
+    inv1 = np.divide(1.0, n1, out=np.zeros_like(n1), where=n1 > 0)
+    g = np.zeros_like(dv)
+    d1 = dv[offs[big]:offs[big] + sizes[big]]
+    if not rest:
+        g[offs[big]:offs[big] + sizes[big]] = d1 * inv1[:, None]
+        return g
+    # positions of the other FEs' levels, stacked
+    rest_off = np.cumsum([0] + [sizes[a] for a in rest])
+    L2 = int(rest_off[-1])
+    if L2 > MAX_LEVELS:
+        raise ValueError(f"{L2} levels outside the largest fixed effect exceed {MAX_LEVELS}")
+    r_idx = [rest_off[j] + (idx[a] - offs[a]) for j, a in enumerate(rest)]
+    b_idx = idx[big] - offs[big]
+    B = np.zeros((L2, L2))
+    C = np.zeros((sizes[big], L2))
+    for j in range(len(rest)):
+        np.add.at(C, (b_idx, r_idx[j]), cn)
+        for k in range(len(rest)):
+            np.add.at(B, (r_idx[j], r_idx[k]), cn)
+    d2 = np.concatenate([dv[offs[a]:offs[a] + sizes[a]] for a in rest])
+    Cw = C * inv1[:, None]
+    schur = B - C.T @ Cw
+    g2 = np.linalg.pinv(schur) @ (d2 - Cw.T @ d1)
+    g1 = (d1 - C @ g2) * inv1[:, None]
+    g[offs[big]:offs[big] + sizes[big]] = g1
+    for j, a in enumerate(rest):
+        g[offs[a]:offs[a] + sizes[a]] = g2[rest_off[j]:rest_off[j] + sizes[a]]
+    return g
+
+
 def drop_singletons(df: DataFrame, absorb: list[str], max_rounds: int = 20) -> DataFrame:
     """Repeatedly drop rows alone in some FE level (ST8); each round is a group count + semi join."""
     for _ in range(max_rounds):
@@ -229,22 +272,16 @@ def ols(df: DataFrame, y: str, terms: list, absorb: list[str] | None = None,
     if fes:
         cols = []
         for f in fes:
-            lv = pd.Index(pd.unique(cells[f]))
-            if len(lv) > MAX_LEVELS:
-                raise ValueError(f"{len(lv)} levels in {f} exceed {MAX_LEVELS}")
-            levels.append(lv)
+            levels.append(pd.Index(pd.unique(cells[f])))
         L = sum(len(lv) for lv in levels)
         offs = np.cumsum([0] + [len(lv) for lv in levels])
         idx = [offs[i] + lv.get_indexer(cells[f]) for i, (f, lv) in enumerate(zip(fes, levels))]
         cn = cells["_n"].to_numpy(dtype=float)
         S = cells[[f"_s{i}" for i in range(p)]].to_numpy(dtype=float)
-        dd = np.zeros((L, L))
         dv = np.zeros((L, p))
         for a in range(len(fes)):
             np.add.at(dv, idx[a], S)
-            for b in range(len(fes)):
-                np.add.at(dd, (idx[a], idx[b]), cn)
-        gam = np.linalg.pinv(dd) @ dv          # L x p: FE coefficients of every variable
+        gam = _solve_fe(idx, offs, cn, dv, [len(lv) for lv in levels])   # L x p FE coefficients
         within = full - dv.T @ gam
     else:
         gam = None

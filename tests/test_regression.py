@@ -98,3 +98,22 @@ def test_singletons_removed_iteratively(spark):
     kept = sorted(r.id for r in R.drop_singletons(df, ["f1", "f2"]).collect())
     # c/z are singletons; dropping b leaves y with one row (id 3), which then goes too
     assert kept == [1, 2, 6]
+
+
+def test_large_fe_block_elimination_matches_dense(spark):
+    rng = np.random.default_rng(11)
+    n = 1500
+    pdf = pd.DataFrame({"firm": rng.integers(0, 300, n), "year": rng.integers(0, 12, n),
+                        "ind": rng.integers(0, 5, n), "x": rng.normal(size=n)})
+    pdf["y"] = 0.7 * pdf.x + 0.01 * pdf.firm + 0.1 * pdf.year + rng.normal(size=n)
+    fit = R.ols(spark.createDataFrame(pdf), "y", ["x"], absorb=["firm", "year", "ind"], cluster=["firm"])
+    D = pd.get_dummies(pdf[["firm", "year", "ind"]].astype(str)).to_numpy(float)
+    full = np.column_stack([pdf.x, D])
+    b, *_ = np.linalg.lstsq(full, pdf.y.to_numpy(), rcond=None)
+    assert fit.coef.estimate.iloc[0] == pytest.approx(b[0], rel=1e-8)
+    e = pdf.y.to_numpy() - full @ b
+    xt = pdf.x.to_numpy() - D @ np.linalg.lstsq(D, pdf.x.to_numpy(), rcond=None)[0]
+    meat = sum(((xt[pdf.firm == g] * e[pdf.firm == g]).sum()) ** 2 for g in np.unique(pdf.firm))
+    G = pdf.firm.nunique()
+    V = G / (G - 1) * (n - 1) / (n - 1) * meat / (xt @ xt) ** 2
+    assert fit.coef.std_error.iloc[0] == pytest.approx(np.sqrt(V), rel=1e-7)
