@@ -21,7 +21,7 @@ def descriptives(df: DataFrame, variables: list[str], labels: dict[str, str] | N
     """One row per variable over its non-NULL values: Variable, N, Mean, SD, Min, P25, Median, P75, Max.
 
     Defaults follow the Python reference (P25/P75 ``nearest``, median ``linear``); pass
-    ``p_rule="type7"``-like rules (``"linear"``) for R/Stata conventions.
+    ``p_rule="linear"`` (R type 7) for R/Stata-style quartiles.
     """
     labels = labels or {}
     moments = df.agg(*[e for v in variables for e in (
