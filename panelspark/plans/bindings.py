@@ -27,7 +27,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 # Fixed values of the synthetic roles (must equal the SQL twins in oracle.py)
 NAME_HISTORY_START = "1995-01-01"
 NAME_HISTORY_SPAN_DAYS = 2700
-N_ENTITIES = 50
+N_ENTITIES = 20
 LINK_DAYS = 120
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from panelspark.plans.bindings import N_ENTITIES
+
 BINDINGS: dict[str, str] = {
     "panel_raw": """
         SELECT gvkey, datadate, fyearq, fqtr, CAST(datadate + CAST(20 + o_orderkey % 30 AS INTEGER) AS DATE) AS rdq,
@@ -24,7 +26,7 @@ BINDINGS: dict[str, str] = {
                      o_totalprice / 10000 AS prccq
               FROM orders) o""",
     "links": """
-        SELECT CAST(o_custkey AS VARCHAR) AS gvkey, CAST(o_custkey % 50 AS INTEGER) AS lpermno,
+        SELECT CAST(o_custkey AS VARCHAR) AS gvkey, CAST(o_custkey % {N} AS INTEGER) AS lpermno,
                CASE o_orderstatus WHEN 'F' THEN 'LC' WHEN 'O' THEN 'LU' ELSE 'NR' END AS linktype,
                CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN 'P'
                     WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'C' ELSE 'J' END AS linkprim,
@@ -33,14 +35,14 @@ BINDINGS: dict[str, str] = {
                     ELSE CAST(CAST(o_orderdate AS DATE) + 120 AS DATE) END AS linkenddt
         FROM orders""",
     "name_history": """
-        SELECT CAST(p_partkey % 50 AS INTEGER) AS permno,
-               CAST(DATE '1995-01-01' + CAST(floor((p_partkey // 50) * 2700.0 / ns) AS INTEGER) AS DATE) AS namedt,
-               CAST(DATE '1995-01-01' + CAST(floor((p_partkey // 50 + 1) * 2700.0 / ns) AS INTEGER) - 1 AS DATE)
+        SELECT CAST(p_partkey % {N} AS INTEGER) AS permno,
+               CAST(DATE '1995-01-01' + CAST(floor((p_partkey // {N}) * 2700.0 / ns) AS INTEGER) AS DATE) AS namedt,
+               CAST(DATE '1995-01-01' + CAST(floor((p_partkey // {N} + 1) * 2700.0 / ns) AS INTEGER) - 1 AS DATE)
                    AS nameenddt,
                CAST(100 + (p_partkey * 37) % 9900 AS INTEGER) AS siccd
-        FROM part, (SELECT max(p_partkey) // 50 + 1 AS ns FROM part) s""",
+        FROM part, (SELECT max(p_partkey) // {N} + 1 AS ns FROM part) s""",
     "daily_returns": """
-        SELECT CAST(l_suppkey % 50 AS INTEGER) AS permno, CAST(l_shipdate AS DATE) AS dlycaldt,
+        SELECT CAST(l_suppkey % {N} AS INTEGER) AS permno, CAST(l_shipdate AS DATE) AS dlycaldt,
                avg(l_discount) - avg(l_tax) AS dlyret
         FROM lineitem WHERE isodow(CAST(l_shipdate AS DATE)) <= 5
         GROUP BY 1, 2""",
@@ -50,7 +52,7 @@ BINDINGS: dict[str, str] = {
         FROM lineitem WHERE isodow(CAST(l_shipdate AS DATE)) <= 5
         GROUP BY 1""",
     "event_keys": """
-        SELECT DISTINCT CAST(o_custkey % 50 AS INTEGER) AS permno, CAST(o_orderdate AS DATE) AS rdq
+        SELECT DISTINCT CAST(o_custkey % {N} AS INTEGER) AS permno, CAST(o_orderdate AS DATE) AS rdq
         FROM orders WHERE o_orderpriority = '1-URGENT'""",
     "reg_panel": """
         SELECT l_orderkey AS obs_id, l_linenumber AS obs_line, l_partkey AS obs_part, l_suppkey AS obs_supp, CAST(l_suppkey AS INTEGER) AS permno,
@@ -78,6 +80,9 @@ BINDINGS: dict[str, str] = {
         FROM (SELECT DISTINCT dlycaldt FROM daily_returns)""",
 }
 
+# the entity count is shared with the Spark bindings so the two cannot drift apart
+BINDINGS = {k: v.replace("{N}", str(N_ENTITIES)) for k, v in BINDINGS.items()}
+
 # derived bindings depend on others
 DEPENDS = {"calendar": ["daily_returns"]}
 
