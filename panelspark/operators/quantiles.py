@@ -47,34 +47,36 @@ class QSpec:
     out: str
 
 
-def _positions(rule: str, n: Column, q: float) -> tuple[Column, Column, Column]:
-    """(k_lo, k_hi, weight) as Columns of the group size n; value = v[lo] + w (v[hi] - v[lo])."""
-    nd = n.cast("double")
-    h = (nd - 1.0) * F.lit(q)
-    last = n - 1
+def _positions(rule: str, n: str, q: float) -> tuple[str, str, str]:
+    """(k_lo, k_hi, weight) as SQL over the group-size column ``n``; value = v[lo] + w (v[hi] - v[lo]).
+
+    Built as SQL text so a whole target list costs one JVM call instead of one per node."""
+    qd = f"CAST({q!r} AS DOUBLE)"
+    nd = f"CAST({n} AS DOUBLE)"
+    h = f"(({nd} - CAST(1 AS DOUBLE)) * {qd})"
+    last = f"({n} - 1)"
     if rule == "lower":
-        k = F.floor(h)
-        return k, k, F.lit(0.0)
+        k = f"floor({h})"
+        return k, k, "0.0D"
     if rule == "higher":
-        k = F.ceil(h)
-        return k, k, F.lit(0.0)
+        k = f"ceil({h})"
+        return k, k, "0.0D"
     if rule == "nearest":
-        k = F.floor(h + 0.5)
-        return k, k, F.lit(0.0)
+        k = f"floor({h} + 0.5D)"
+        return k, k, "0.0D"
     if rule == "linear":
-        f = F.floor(h)
-        return f, F.least(f + 1, last), h - f
+        f = f"floor({h})"
+        return f, f"least({f} + 1, {last})", f"({h} - {f})"
     if rule == "midpoint":
-        f, c = F.floor(h), F.ceil(h)
-        return f, c, F.when(f == c, 0.0).otherwise(0.5)
+        f, c = f"floor({h})", f"ceil({h})"
+        return f, c, f"(CASE WHEN {f} = {c} THEN 0.0D ELSE 0.5D END)"
     if rule == "type2":
-        m = nd * F.lit(q)
-        j = F.floor(m + F.lit(_EPS4))
-        above = m > j
-        lo = F.when(above, j).otherwise(j - 1)
-        lo = F.least(F.greatest(lo, F.lit(0)), last)
-        hi = F.least(F.greatest(j, F.lit(0)), last)
-        return lo, F.when(above, lo).otherwise(hi), F.when(above, 0.0).otherwise(0.5)
+        m = f"({nd} * {qd})"
+        j = f"floor({m} + CAST({_EPS4!r} AS DOUBLE))"
+        above = f"({m} > {j})"
+        lo = f"least(greatest(CASE WHEN {above} THEN {j} ELSE {j} - 1 END, 0), {last})"
+        hi = f"least(greatest({j}, 0), {last})"
+        return lo, f"(CASE WHEN {above} THEN {lo} ELSE {hi} END)", f"(CASE WHEN {above} THEN 0.0D ELSE 0.5D END)"
     raise ValueError(f"unknown quantile rule {rule!r}; use one of {RULES}")
 
 
@@ -124,7 +126,7 @@ def quantiles(df: DataFrame, specs: list[QSpec], by: list[str] | None = None,
     targets: list[tuple[int, Column]] = []  # (column index, k column)
     combos = []  # per spec: (tid_lo, tid_hi, weight column, n column)
     for s in specs:
-        n = F.col(f"_n{ci[s.col]}")
+        n = f"_n{ci[s.col]}"
         lo, hi, w = _positions(s.rule, n, s.q)
         t_lo = len(targets)
         targets.append((ci[s.col], lo))
@@ -135,13 +137,12 @@ def quantiles(df: DataFrame, specs: list[QSpec], by: list[str] | None = None,
         combos.append((t_lo, t_hi, w, n))
 
     state_cols = [*by, *[f"_n{i}" for i in range(len(cols))]]
-    sel = [F.col(c) for c in state_cols]
+    sel = [f"`{c}`" for c in state_cols]
     for t, (c, k) in enumerate(targets):
-        sel += [k.cast("long").alias(f"_k{t}"), F.lit(None).cast("double").alias(f"_lo{t}"),
-                F.lit(None).cast("double").alias(f"_hi{t}"), F.lit(0).cast("long").alias(f"_below{t}"),
-                F.col(f"_n{c}").cast("long").alias(f"_in{t}"), F.col(f"_g{c}").alias(f"_grid{t}"),
-                F.lit(1).alias(f"_slack{t}")]
-    state = reliable_checkpoint(base.select(*sel))
+        sel += [f"CAST({k} AS BIGINT) AS _k{t}", f"CAST(NULL AS DOUBLE) AS _lo{t}",
+                f"CAST(NULL AS DOUBLE) AS _hi{t}", f"CAST(0 AS BIGINT) AS _below{t}",
+                f"CAST(_n{c} AS BIGINT) AS _in{t}", f"_g{c} AS _grid{t}", f"1 AS _slack{t}"]
+    state = reliable_checkpoint(base.selectExpr(*sel))
     n_groups = state.count() if by else 1
     small = n_groups <= BROADCAST_STATE_ROWS
     if direct:
@@ -229,26 +230,19 @@ def quantiles(df: DataFrame, specs: list[QSpec], by: list[str] | None = None,
         *[F.max(F.when(F.col("_t") == t, F.col("_val"))).alias(f"_v{t}") for t in range(len(targets))])
     res_base = state.select(*by, *[f"_n{i}" for i in range(len(cols))])
     res = res_base.join(wide, on=by, how="left") if by else res_base.crossJoin(wide)
-    outs = []
-    for s, (t_lo, t_hi, wcol, n) in zip(specs, combos):
-        vlo, vhi = F.col(f"_v{t_lo}"), F.col(f"_v{t_hi}")
-        val = F.when(wcol == 0.0, vlo).otherwise(vlo + wcol * (vhi - vlo))
-        if s.rule in ("midpoint", "type2"):
-            val = F.when(wcol == 0.0, vlo).otherwise((vlo + vhi) / 2.0)
-        outs.append(F.when(n > 0, val).alias(s.out))
-    # the cut table is one row per group: pin it so later joins and counts do not redo the selection
-    return reliable_checkpoint(res.select(*by, *outs))
+    return reliable_checkpoint(_combine(res, specs, combos, by))
 
 
 def _combine(res: DataFrame, specs: list[QSpec], combos, by: list[str]) -> DataFrame:
     outs = []
-    for s, (t_lo, t_hi, wcol, n) in zip(specs, combos):
-        vlo, vhi = F.col(f"_v{t_lo}"), F.col(f"_v{t_hi}")
-        val = F.when(wcol == 0.0, vlo).otherwise(vlo + wcol * (vhi - vlo))
+    for s, (t_lo, t_hi, w, n) in zip(specs, combos):
+        vlo, vhi = f"_v{t_lo}", f"_v{t_hi}"
         if s.rule in ("midpoint", "type2"):
-            val = F.when(wcol == 0.0, vlo).otherwise((vlo + vhi) / 2.0)
-        outs.append(F.when(n > 0, val).alias(s.out))
-    return res.select(*by, *outs)
+            val = f"CASE WHEN {w} = 0.0D THEN {vlo} ELSE ({vlo} + {vhi}) / 2.0D END"
+        else:
+            val = f"CASE WHEN {w} = 0.0D THEN {vlo} ELSE {vlo} + {w} * ({vhi} - {vlo}) END"
+        outs.append(f"CASE WHEN {n} > 0 THEN {val} END AS `{s.out}`")
+    return res.selectExpr(*[f"`{b}`" for b in by], *outs)
 
 
 def _finish_direct(data: DataFrame, state: DataFrame, targets, combos, specs, cols, by, small) -> DataFrame:
@@ -263,9 +257,8 @@ def _finish_direct(data: DataFrame, state: DataFrame, targets, combos, specs, co
     # bounded: each (group, column) window holds at most exact_rows distinct values
     w = Window.partitionBy(*by, "_c").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = cells.withColumn("_cum", F.sum("_cnt").over(w)).withColumn("_prev", F.col("_cum") - F.col("_cnt"))
-    tk = state.select(*by, F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(c).alias("c"),
-                                                          F.col(f"_k{t}").alias("k"))
-                                               for t, (c, _) in enumerate(targets)])).alias("_s"))
+    structs = ", ".join(f"named_struct('t', {t}, 'c', {c}, 'k', _k{t})" for t, (c, _) in enumerate(targets))
+    tk = state.selectExpr(*[f"`{b}`" for b in by], f"explode(array({structs})) AS _s")
     # distinct names on the target side: both sides share lineage, so bare names would be ambiguous
     tk = tk.select(*[F.col(b).alias(f"_tb{i}") for i, b in enumerate(by)], F.col("_s.t").alias("_t"),
                    F.col("_s.c").alias("_tc"), F.col("_s.k").alias("_k"))
@@ -273,7 +266,7 @@ def _finish_direct(data: DataFrame, state: DataFrame, targets, combos, specs, co
             + [F.col("_c") == F.col("_tc"), F.col("_prev") <= F.col("_k"), F.col("_k") < F.col("_cum")])
     joined = cum.join(F.broadcast(tk) if small else tk, on=_and(cond), how="inner")
     hit = joined.select(*by, "_t", "_v")
-    aggs = [F.max(F.when(F.col("_t") == t, F.col("_v"))).alias(f"_v{t}") for t in range(len(targets))]
+    aggs = [F.expr(f"max(CASE WHEN _t = {t} THEN _v END) AS _v{t}") for t in range(len(targets))]
     wide = hit.groupBy(*by).agg(*aggs) if by else hit.agg(*aggs)
     res_base = state.select(*by, *[f"_n{i}" for i in range(len(cols))])
     res = res_base.join(wide, on=by, how="left") if by else res_base.crossJoin(wide)
