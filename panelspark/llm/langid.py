@@ -171,6 +171,19 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     and every text under a model without languages give ``und``, score 0 and an empty set. Null
     and repeated ids and repeated rows are predicted like others; an empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return _identified(docs, model, text_col, rounds, most, F.col(id_col).cast("long"), "long").withColumnRenamed("kept", "id")
+
+
+def _identified(docs, model, text_col, rounds, most, keep: Column, kind: str) -> DataFrame:
+    rows = docs.select(keep.alias("kept"), F.col(text_col).cast("string").alias("text"))
     return map_rows(rows, partial(_predict, model=model, rounds=rounds, most=most),
-                    "id long, lang_pred string, score double, languages array<string>, shares array<double>")
+                    f"kept {kind}, lang_pred string, score double, languages array<string>, shares array<double>")
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text", least_share: float = 0.5, rounds: int = 12,
+                    most: int = 3) -> DataFrame:
+    """The rows, with all their columns, that have a language with at least ``least_share`` of
+    their words; ``und`` rows and mixtures without such a language go."""
+    row = F.struct(*[docs[c] for c in docs.columns])
+    found = _identified(docs, model, text_col, rounds, most, row, docs.select(row.alias("r")).schema["r"].dataType.simpleString())
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= F.lit(least_share))).select("kept.*")

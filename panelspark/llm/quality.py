@@ -66,9 +66,21 @@ def _score(batches, weights, bits):
     for batch in slices(batches, "text"):
         flat, at = token_hashes(batch.column("text"))
         grams, ptr = ngrams(flat, at, bits)
-        out = row_sums(weights[grams], ptr)
-        keep = [c for c in batch.schema.names if c != "text"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(np.diff(at)), pa.array(out)], names=[*keep, "n_tokens", "log_ratio"])
+        ratio, n = row_sums(weights[grams], ptr), np.diff(at)
+        uniform = ((np.asarray(batch.column("noise")).view(np.uint64) >> np.uint64(11)) + 0.5) * 2.0 ** -53
+        key = ratio - np.log(-np.log(uniform))
+        place = np.where(n > 0, np.round(key * 2.0 ** 30), np.iinfo(np.int64).min).astype(np.int64)
+        keep = [c for c in batch.schema.names if c not in ("text", "noise")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(n), pa.array(ratio), pa.array(key), pa.array(place)],
+                                         names=[*keep, "n_tokens", "log_ratio", "key", "place"])
+
+
+def _scored(docs: DataFrame, model: RatioModel, id_col: str, text_col: str, seed: int, keep: Column, kind: str) -> DataFrame:
+    """``kept, n_tokens, log_ratio, key, place``; place orders the keys as whole multiples of 2^-30."""
+    text = F.col(text_col).cast("string")
+    rows = docs.select(keep.alias("kept"), text.alias("text"), F.xxhash64(F.col(id_col).cast("long"), text, F.lit(seed)).alias("noise"))
+    return map_rows(rows, partial(_score, weights=model.weights, bits=int(math.log2(len(model.weights)))),
+                    f"kept {kind}, n_tokens long, log_ratio double, key double, place long")
 
 
 def _kth_largest(df: DataFrame, col: str, k: int) -> int:
@@ -88,6 +100,15 @@ def _kth_largest(df: DataFrame, col: str, k: int) -> int:
     return prefix - (1 << 63)
 
 
+def _threshold(scored: DataFrame, model: RatioModel, k: int | None) -> int | None:
+    """The place of the k-th largest key; None if nothing is to be drawn."""
+    able = scored.where("n_tokens > 0")
+    odds = math.log(model.prior / (1 - model.prior))
+    n, likely = able.agg(F.count("*"), F.sum((F.col("log_ratio") + F.lit(odds) >= 0).cast("long"))).first()
+    k = min(n, (likely or 0) if k is None else k)
+    return _kth_largest(able, "place", k) if k > 0 else None
+
+
 def resample(docs: DataFrame, model: RatioModel, id_col: str = "doc_id", text_col: str = "text", k: int | None = None,
              seed: int = 42) -> DataFrame:
     """Score every row and draw ``k`` of them without replacement in proportion to their weights.
@@ -99,27 +120,26 @@ def resample(docs: DataFrame, model: RatioModel, id_col: str = "doc_id", text_co
     rows that the two models with their prior find likelier target than not.
 
     A null or empty text, or one without a word or sign, has log_ratio 0 and is never selected.
-    Null ids and repeated rows are scored like others. An empty table gives no rows. The exact
-    k-th key is found by counting, so nothing is sorted or collected.
+    Null ids and repeated rows are scored like others. An empty table gives no rows; other
+    columns are not read. The exact k-th key is found by counting, so nothing is sorted or
+    collected.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.withColumn("noise", F.xxhash64("id", "text", F.lit(seed)))
-    scored = map_rows(rows, partial(_score, weights=model.weights, bits=int(math.log2(len(model.weights)))),
-                      "id long, noise long, n_tokens long, log_ratio double")
-    uniform = (F.shiftrightunsigned("noise", 11).cast("double") + 0.5) * F.lit(2.0 ** -53)
-    scored = scored.withColumn("key", F.col("log_ratio") - F.log(-F.log(uniform))).drop("noise")
-    # keys as whole multiples of 2^-30, which can be counted by their digits
-    at = F.round(F.col("key") * F.lit(2.0 ** 30)).cast("long")
-    scored = reliable_checkpoint(scored.withColumn("_at", at))
-    able = scored.where("n_tokens > 0")
-    if k is None:
-        odds = math.log(model.prior / (1 - model.prior))
-        k = able.where(F.col("log_ratio") + F.lit(odds) >= 0).count()
-    if k <= 0 or able.limit(1).count() == 0:
-        return scored.withColumn("selected", F.lit(False)).drop("_at")
-    k = min(k, able.count())
-    least = _kth_largest(able, "_at", k)
-    return scored.withColumn("selected", (F.col("n_tokens") > 0) & (F.col("_at") >= F.lit(least))).drop("_at")
+    scored = reliable_checkpoint(_scored(docs, model, id_col, text_col, seed, F.col(id_col).cast("long"), "long"))
+    least = _threshold(scored, model, k)
+    chosen = F.lit(False) if least is None else (F.col("n_tokens") > 0) & (F.col("place") >= F.lit(least))
+    return scored.select(F.col("kept").alias("id"), "n_tokens", "log_ratio", "key", chosen.alias("selected"))
+
+
+def keep_selected(docs: DataFrame, model: RatioModel, id_col: str = "doc_id", text_col: str = "text", k: int | None = None,
+                  seed: int = 42) -> DataFrame:
+    """The rows that ``resample`` selects, with all their columns: scored twice, so that no text is
+    shuffled (the first time for the threshold, the second to let rows pass)."""
+    least = _threshold(reliable_checkpoint(_scored(docs, model, id_col, text_col, seed, F.col(id_col).cast("long"), "long")), model, k)
+    if least is None:
+        return docs.limit(0)
+    row = F.struct(*[docs[c] for c in docs.columns])
+    again = _scored(docs, model, id_col, text_col, seed, row, docs.select(row.alias("r")).schema["r"].dataType.simpleString())
+    return again.where((F.col("n_tokens") > 0) & (F.col("place") >= F.lit(least))).select("kept.*")
 
 
 def fit_on_labels(docs: DataFrame, labels: DataFrame, **kw) -> RatioModel:

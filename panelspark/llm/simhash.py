@@ -188,3 +188,15 @@ def simhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return docs.join(classes, "fp").select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
         F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """One row of each class of ``simhash_dedup``, with all its columns: one with the smallest id.
+
+    Rows with a null id stand after all others, in the order of a hash of their columns. Of
+    several rows with the kept id, one stays.
+    """
+    stand_in = F.shiftrightunsigned(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), 2) + F.lit(1 << 62)
+    rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("_row"), F.coalesce(df[id_col].cast("long"), stand_in).alias("_id"), df[text_col].alias("_text"))
+    kept = simhash_dedup(rows, "_id", "_text", shingle, max_bits).where("kept").select(F.col("doc_id").alias("_id")).distinct()
+    return rows.select("_id", "_row").join(kept, "_id", "left_semi").dropDuplicates(["_id"]).select("_row.*")

@@ -14,7 +14,8 @@ TOKEN = re.compile(r"\w+|[^\w\s]+")
 _CACHE = WordCache()
 
 
-def _hash_words(words: list[bytes]) -> list[bytes]:
+def hash_words(words: list[bytes]) -> list[bytes]:
+    """crc32 (little-endian, four bytes) of the tokens of each chunk."""
     return [np.array([zlib.crc32(t.encode()) for t in TOKEN.findall(w.decode("utf-8", "replace").lower())], dtype="<u4").tobytes()
             for w in words]
 
@@ -23,7 +24,7 @@ def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """crc32 of each lower-cased token (a run of word characters or of signs), rows end to end,
     and each row's offsets."""
     chunks = Chunks(*text_bytes(texts))
-    coded = _CACHE.fill([w.strip() for w in chunks.words], _hash_words)
+    coded = _CACHE.fill([w.strip() for w in chunks.words], hash_words)
     lens = np.array([len(c) // 4 for c in coded], dtype=np.int64)
     flat, at = expand(np.frombuffer(b"".join(coded), "<u4"), lens, chunks.codes)
     return flat, at[chunks.ptr]

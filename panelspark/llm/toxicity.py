@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 from functools import partial
 
@@ -10,10 +11,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import map_rows, slices
-from panelspark.llm.tokens import spread, token_hashes
+from panelspark.llm.common import Chunks, WordCache, expand, map_rows, slices, text_bytes
+from panelspark.llm.tokens import hash_words, spread, token_hashes
 
 BITS = 18
+_HITS: dict = {}
 
 
 @dataclass
@@ -120,13 +122,31 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def _score(batches, model, bits):
+    name = zlib.crc32(model.buckets.tobytes())
+    if name not in _HITS:
+        _HITS.clear()
+        _HITS[name] = WordCache()
+
+    def hits(words):
+        """Numbers of the model's buckets in each chunk; most have none."""
+        coded = hash_words(words)
+        lens = np.array([len(c) // 4 for c in coded], dtype=np.int64)
+        bucket = spread(np.frombuffer(b"".join(coded), "<u4"), bits)
+        at = np.minimum(np.searchsorted(model.buckets, bucket), max(len(model.buckets) - 1, 0))
+        hit = model.buckets[at] == bucket if len(model.buckets) else np.zeros(len(bucket), bool)
+        out, ptr = [b""] * len(words), np.cumsum(lens) - lens
+        for w in np.unique(np.repeat(np.arange(len(words)), lens)[hit]).tolist():
+            own = slice(int(ptr[w]), int(ptr[w] + lens[w]))
+            out[w] = at[own][hit[own]].astype("<u4").tobytes()
+        return out
+
     for batch in slices(batches, "text"):
-        row, bucket = _present(batch, bits)
-        f = np.full(batch.num_rows, model.bias)
-        if len(model.buckets):
-            at = np.minimum(np.searchsorted(model.buckets, bucket), len(model.buckets) - 1)
-            hit = model.buckets[at] == bucket
-            f += np.bincount(row[hit], weights=model.weights[at[hit]], minlength=batch.num_rows)
+        chunks = Chunks(*text_bytes(batch.column("text")))
+        coded = _HITS[name].fill([w.strip() for w in chunks.words], hits)
+        flat, at = expand(np.frombuffer(b"".join(coded), "<u4"), np.array([len(c) // 4 for c in coded], dtype=np.int64), chunks.codes)
+        row = np.repeat(np.arange(batch.num_rows), np.diff(at[chunks.ptr]))
+        both = np.unique(row << bits | flat)
+        f = model.bias + np.bincount(both >> bits, weights=model.weights[both & ((1 << bits) - 1)], minlength=batch.num_rows)
         score = 1 / (1 + np.exp(-np.clip(f, -500, 500)))
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(score)], names=["id", "score"])
 
