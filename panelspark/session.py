@@ -1,8 +1,8 @@
 """Session helpers: a local session for tests/bench and the checkpoint folder rule.
 
 On a cluster the session is built by the platform; the library only reads
-``spark.checkpoint.dir`` from it. A folder is set only where none is configured
-(local tests), and it is a fresh scratch folder, never a shared default.
+``spark.checkpoint.dir`` from it. Only a ``local`` session without one gets a fresh scratch
+folder: there, driver and executors are one process. Elsewhere a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ LOCAL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "16g",
 }
@@ -35,14 +36,15 @@ def local_session(cores: int | str = "*", app: str = "panelspark", extra: dict |
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting a scratch one only when unset."""
+    """Return the reliable checkpoint folder; a scratch one is set only in a local session without one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        # only reached in local tests: the cluster names a shared folder
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="panelspark-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return conf_dir
