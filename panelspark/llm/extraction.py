@@ -149,11 +149,15 @@ def train(pages: list[str], variants: int = 2, seed: int = 42, max_nodes: int =
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = 400, max_chars: int = 20_000, seed: int = 42) -> boosting.Boosted:
     """``train`` on at most ``max_pages`` pages of at most ``max_chars`` characters (the smallest
-    hashes of id and html): the bounded sample that reaches the driver."""
+    hashes of id and html, repeated rows once): the bounded sample that reaches the driver. The
+    hashes are chosen first, so no page but these travels."""
     rows = pages.select(F.col(id_col).cast("string").alias("id"), F.col(html_col).cast("string").alias("html"))
-    rows = rows.where(F.length("html").between(1, max_chars))
-    sample = rows.orderBy(F.xxhash64("id", "html"), "id").limit(max_pages)
-    return train([r.html for r in sample.collect()], seed=seed)
+    rows = rows.where(F.length("html").between(1, max_chars)).withColumn("h", F.xxhash64("id", "html"))
+    last = rows.select("h").distinct().orderBy("h").limit(max_pages).agg(F.max("h")).first()[0]
+    if last is None:
+        return train([], seed=seed)
+    sample = rows.where(F.col("h") <= last).groupBy("h").agg(F.first("html").alias("html"))
+    return train([r.html for r in sorted(sample.collect())], seed=seed)
 
 
 def extract_batch(pages: list[str | None], model: boosting.Boosted) -> list[str]:
