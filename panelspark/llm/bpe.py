@@ -35,8 +35,8 @@ class Bpe:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bytes = {v: k for k, v in self.ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.compatible = WordCache(1_000_000)
-        self.words = WordCache()
+        self.compatible = WordCache("bpe", 1_000_000)
+        self.words = WordCache("bpe")
         lens = np.zeros(max(self.bytes) + 1, np.int64)
         for i, b in self.bytes.items():
             lens[i] = len(b)

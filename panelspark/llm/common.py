@@ -111,13 +111,26 @@ def expand(flat: np.ndarray, lens: np.ndarray, codes: np.ndarray) -> tuple[np.nd
 
 
 class WordCache(dict):
-    """Results by word for one Python worker; emptied when it holds ``limit`` words."""
+    """Results by word for one Python worker; emptied when it holds ``limit`` words.
 
-    def __init__(self, limit: int = 1_000_000):
+    Workers are reused from stage to stage: the first use by another ``owner`` empties the caches
+    of all others, so a worker holds the words of one operator at most.
+    """
+
+    held: list["WordCache"] = []
+    current = ""
+
+    def __init__(self, owner: str, limit: int = 500_000):
         super().__init__()
-        self.limit = limit
+        self.owner, self.limit = owner, limit
+        WordCache.held.append(self)
 
     def fill(self, words: list, compute: Callable[[list], list]) -> list:
+        if WordCache.current != self.owner:
+            WordCache.current = self.owner
+            for other in WordCache.held:
+                if other.owner != self.owner:
+                    other.clear()
         new = list(dict.fromkeys(w for w in words if w not in self))
         if len(self) + len(new) > self.limit:
             self.clear()
@@ -126,6 +139,13 @@ class WordCache(dict):
         return [self[w] for w in words]
 
 
+def text_of_row(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Batches of one struct column ``kept`` with its text field beside it as ``text`` (not copied)."""
+    for batch in batches:
+        kept = batch.column("kept")
+        yield pa.RecordBatch.from_arrays([kept, pc.struct_field(kept, column)], names=["kept", "text"])
+
+
 def split_hot(df: DataFrame, keys: list[str], row_id: Column, least: int = 1024) -> DataFrame:
     """Deal the rows of each key to pair tasks ``(keys, _i, _j)`` so that no task holds a hot key.
 

@@ -12,12 +12,12 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import Chunks, WordCache, expand, map_rows, slices, text_bytes
+from panelspark.llm.common import Chunks, WordCache, expand, map_rows, slices, text_bytes, text_of_row
 from panelspark.llm.tokens import row_sums
 
 BITS = 16
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-_GRAMS = WordCache()
+_GRAMS = WordCache("langid")
 _SCORES: dict = {}
 
 
@@ -125,10 +125,10 @@ def infer(ll: np.ndarray, ptr: np.ndarray, rounds: int = 12, most: int = 3) -> n
     return share
 
 
-def _predict(batches, model, rounds, most):
+def _predict(batches, model, rounds, most, row_text=None):
     if model.name not in _SCORES:
         _SCORES.clear()
-        _SCORES[model.name] = WordCache()
+        _SCORES[model.name] = WordCache("langid")
     cache, width = _SCORES[model.name], len(model.langs)
 
     def scores(words):
@@ -138,7 +138,7 @@ def _predict(batches, model, rounds, most):
         return [s.tobytes() if k else b"" for s, k in zip(sums.astype("<f4"), lens)]
 
     names = np.array([*model.langs, "und"], dtype=object)
-    for batch in slices(batches, "text"):
+    for batch in slices(text_of_row(batches, row_text) if row_text else batches, "text"):
         rows = batch.num_rows
         share = np.zeros((rows, width))
         if width:
@@ -171,19 +171,22 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     and every text under a model without languages give ``und``, score 0 and an empty set. Null
     and repeated ids and repeated rows are predicted like others; an empty table gives no rows.
     """
-    return _identified(docs, model, text_col, rounds, most, F.col(id_col).cast("long"), "long").withColumnRenamed("kept", "id")
+    return _identified(docs, model, id_col, text_col, rounds, most).withColumnRenamed("kept", "id")
 
 
-def _identified(docs, model, text_col, rounds, most, keep: Column, kind: str) -> DataFrame:
-    rows = docs.select(keep.alias("kept"), F.col(text_col).cast("string").alias("text"))
-    return map_rows(rows, partial(_predict, model=model, rounds=rounds, most=most),
-                    f"kept {kind}, lang_pred string, score double, languages array<string>, shares array<double>")
+def _identified(docs, model, id_col, text_col, rounds, most, whole=False) -> DataFrame:
+    """``kept`` is the id or, with ``whole``, a struct of all columns."""
+    if whole:
+        rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("kept"))
+    else:
+        rows = docs.select(F.col(id_col).cast("long").alias("kept"), F.col(text_col).cast("string").alias("text"))
+    return map_rows(rows, partial(_predict, model=model, rounds=rounds, most=most, row_text=text_col if whole else None),
+                    f"kept {rows.schema['kept'].dataType.simpleString()}, lang_pred string, score double, languages array<string>, shares array<double>")
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text", least_share: float = 0.5, rounds: int = 12,
                     most: int = 3) -> DataFrame:
     """The rows, with all their columns, that have a language with at least ``least_share`` of
     their words; ``und`` rows and mixtures without such a language go."""
-    row = F.struct(*[docs[c] for c in docs.columns])
-    found = _identified(docs, model, text_col, rounds, most, row, docs.select(row.alias("r")).schema["r"].dataType.simpleString())
+    found = _identified(docs, model, None, text_col, rounds, most, whole=True)
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= F.lit(least_share))).select("kept.*")

@@ -23,7 +23,7 @@ def _vocabulary(path: str):
 
         tok = Tokenizer.from_file(path)
         tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        _WORKER[path] = tok, WordCache()
+        _WORKER[path] = tok, WordCache("packing")
     return _WORKER[path]
 
 

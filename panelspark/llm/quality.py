@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import fold, map_rows, reliable_checkpoint, slices
+from panelspark.llm.common import fold, map_rows, reliable_checkpoint, slices, text_of_row
 from panelspark.llm.tokens import ngrams, row_sums, token_hashes
 
 BITS = 16
@@ -37,7 +37,7 @@ def _count(batches, bits):
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-        use: Column | None = None, max_target: int = 20_000, bits: int = BITS, smooth: float = 50.0) -> RatioModel:
+        use: Column | None = None, max_target: int = 20_000, bits: int = BITS, smooth: float = 200.0) -> RatioModel:
     """Fit both generative models.
 
     The raw model counts the n-grams of all rows of ``docs``. The target model counts those of
@@ -62,12 +62,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return RatioModel(weights.astype(np.float32), min(max(prior if prior is not None else 0.5, 1e-3), 1 - 1e-3))
 
 
-def _score(batches, weights, bits):
-    for batch in slices(batches, "text"):
+def _score(batches, weights, bits, row_text=None):
+    for batch in slices(text_of_row(batches, row_text) if row_text else batches, "text"):
         flat, at = token_hashes(batch.column("text"))
         grams, ptr = ngrams(flat, at, bits)
         ratio, n = row_sums(weights[grams], ptr), np.diff(at)
-        uniform = ((np.asarray(batch.column("noise")).view(np.uint64) >> np.uint64(11)) + 0.5) * 2.0 ** -53
+        noise = np.asarray(batch.column("kept").field("_noise") if row_text else batch.column("noise")).view(np.uint64)
+        uniform = ((noise >> np.uint64(11)) + 0.5) * 2.0 ** -53
         key = ratio - np.log(-np.log(uniform))
         place = np.where(n > 0, np.round(key * 2.0 ** 30), np.iinfo(np.int64).min).astype(np.int64)
         keep = [c for c in batch.schema.names if c not in ("text", "noise")]
@@ -75,12 +76,17 @@ def _score(batches, weights, bits):
                                          names=[*keep, "n_tokens", "log_ratio", "key", "place"])
 
 
-def _scored(docs: DataFrame, model: RatioModel, id_col: str, text_col: str, seed: int, keep: Column, kind: str) -> DataFrame:
-    """``kept, n_tokens, log_ratio, key, place``; place orders the keys as whole multiples of 2^-30."""
+def _scored(docs: DataFrame, model: RatioModel, id_col: str, text_col: str, seed: int, whole: bool = False) -> DataFrame:
+    """``kept, n_tokens, log_ratio, key, place``; place orders the keys as whole multiples of 2^-30.
+    ``kept`` is the id or, with ``whole``, a struct of all columns and the hash behind the noise."""
     text = F.col(text_col).cast("string")
-    rows = docs.select(keep.alias("kept"), text.alias("text"), F.xxhash64(F.col(id_col).cast("long"), text, F.lit(seed)).alias("noise"))
-    return map_rows(rows, partial(_score, weights=model.weights, bits=int(math.log2(len(model.weights)))),
-                    f"kept {kind}, n_tokens long, log_ratio double, key double, place long")
+    noise = F.xxhash64(F.col(id_col).cast("long"), text, F.lit(seed))
+    if whole:
+        rows = docs.select(F.struct(*[docs[c] for c in docs.columns], noise.alias("_noise")).alias("kept"))
+    else:
+        rows = docs.select(F.col(id_col).cast("long").alias("kept"), text.alias("text"), noise.alias("noise"))
+    score = partial(_score, weights=model.weights, bits=int(math.log2(len(model.weights))), row_text=text_col if whole else None)
+    return map_rows(rows, score, f"kept {rows.schema['kept'].dataType.simpleString()}, n_tokens long, log_ratio double, key double, place long")
 
 
 def _kth_largest(df: DataFrame, col: str, k: int) -> int:
@@ -91,8 +97,7 @@ def _kth_largest(df: DataFrame, col: str, k: int) -> int:
     for shift in (48, 32, 16, 0):
         rows = df if shift == 48 else df.where(F.shiftrightunsigned(x, shift + 16) == F.lit(prefix))
         digit = F.shiftrightunsigned(x, shift).bitwiseAND(F.lit(0xFFFF))
-        counts = sorted(rows.groupBy(digit.alias("d")).count().collect(), reverse=True)
-        for d, n in counts:
+        for d, n in sorted(rows.groupBy(digit.alias("d")).count().collect(), reverse=True):
             if k <= n:
                 prefix = prefix << 16 | d
                 break
@@ -124,7 +129,7 @@ def resample(docs: DataFrame, model: RatioModel, id_col: str = "doc_id", text_co
     columns are not read. The exact k-th key is found by counting, so nothing is sorted or
     collected.
     """
-    scored = reliable_checkpoint(_scored(docs, model, id_col, text_col, seed, F.col(id_col).cast("long"), "long"))
+    scored = reliable_checkpoint(_scored(docs, model, id_col, text_col, seed))
     least = _threshold(scored, model, k)
     chosen = F.lit(False) if least is None else (F.col("n_tokens") > 0) & (F.col("place") >= F.lit(least))
     return scored.select(F.col("kept").alias("id"), "n_tokens", "log_ratio", "key", chosen.alias("selected"))
@@ -134,12 +139,11 @@ def keep_selected(docs: DataFrame, model: RatioModel, id_col: str = "doc_id", te
                   seed: int = 42) -> DataFrame:
     """The rows that ``resample`` selects, with all their columns: scored twice, so that no text is
     shuffled (the first time for the threshold, the second to let rows pass)."""
-    least = _threshold(reliable_checkpoint(_scored(docs, model, id_col, text_col, seed, F.col(id_col).cast("long"), "long")), model, k)
+    least = _threshold(reliable_checkpoint(_scored(docs, model, id_col, text_col, seed)), model, k)
     if least is None:
         return docs.limit(0)
-    row = F.struct(*[docs[c] for c in docs.columns])
-    again = _scored(docs, model, id_col, text_col, seed, row, docs.select(row.alias("r")).schema["r"].dataType.simpleString())
-    return again.where((F.col("n_tokens") > 0) & (F.col("place") >= F.lit(least))).select("kept.*")
+    again = _scored(docs, model, id_col, text_col, seed, whole=True)
+    return again.where((F.col("n_tokens") > 0) & (F.col("place") >= F.lit(least))).select("kept.*").drop("_noise")
 
 
 def fit_on_labels(docs: DataFrame, labels: DataFrame, **kw) -> RatioModel:

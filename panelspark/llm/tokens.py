@@ -11,7 +11,7 @@ import pyarrow as pa
 from panelspark.llm.common import Chunks, WordCache, expand, text_bytes
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
-_CACHE = WordCache()
+_CACHE = WordCache("tokens")
 
 
 def hash_words(words: list[bytes]) -> list[bytes]:

@@ -125,7 +125,7 @@ def _score(batches, model, bits):
     name = zlib.crc32(model.buckets.tobytes())
     if name not in _HITS:
         _HITS.clear()
-        _HITS[name] = WordCache()
+        _HITS[name] = WordCache("toxicity")
 
     def hits(words):
         """Numbers of the model's buckets in each chunk; most have none."""
