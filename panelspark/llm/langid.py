@@ -43,8 +43,8 @@ def _grams(words: list[bytes]) -> list[bytes]:
 def _count(batches):
     totals: dict[str, np.ndarray] = {}
     for batch in slices(batches, "text"):
-        chunks = Chunks(*text_bytes(batch.column("text")))
-        coded = _GRAMS.fill([w.strip() for w in chunks.words], _grams)
+        chunks = Chunks(*text_bytes(batch.column("text")), marks=True)
+        coded = _GRAMS.fill([w.strip().lower() for w in chunks.words], _grams)
         lens = np.array([len(c) // 4 for c in coded], dtype=np.int64)
         flat = np.frombuffer(b"".join(coded), "<u4")
         langs = np.array(batch.column("lang").to_pylist(), dtype=object)
@@ -142,8 +142,8 @@ def _predict(batches, model, rounds, most, row_text=None):
         rows = batch.num_rows
         share = np.zeros((rows, width))
         if width:
-            chunks = Chunks(*text_bytes(batch.column("text")))
-            coded = cache.fill([w.strip() for w in chunks.words], scores)
+            chunks = Chunks(*text_bytes(batch.column("text")), marks=True)
+            coded = cache.fill([w.strip().lower() for w in chunks.words], scores)
             has = np.array([len(c) > 0 for c in coded], dtype=np.int64)
             table = np.frombuffer(b"".join(coded), "<f4").reshape(-1, width)
             ll, at = expand(table, has, chunks.codes)
