@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelspark.session import reliable_checkpoint
+
 from panelspark.session import ship_package
 
 MAX_CELLS = 500_000
@@ -198,16 +200,22 @@ def _solve_fe(idx: list[np.ndarray], offs: np.ndarray, cn: np.ndarray, dv: np.nd
     return g
 
 
-def drop_singletons(df: DataFrame, absorb: list[str], max_rounds: int = 20) -> DataFrame:
-    """Repeatedly drop rows alone in some FE level (ST8); each round is a group count + semi join."""
-    for _ in range(max_rounds):
-        before = df
+def drop_singletons(df: DataFrame, absorb: list[str]) -> DataFrame:
+    """Repeatedly drop rows alone in some FE level (ST8), until a round drops none.
+
+    Each round is a group count and a semi join per FE on a reliable checkpoint, so the lineage
+    does not grow with the number of rounds.
+    """
+    n = df.count()
+    while True:
         for fe in absorb:
             keep = df.groupBy(fe).agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select(fe)
             df = df.join(keep, on=fe, how="left_semi")
-        if df.count() == before.count():
+        df = reliable_checkpoint(df)
+        left = df.count()
+        if left == n:
             return df
-    return df
+        n = left
 
 
 def ols(df: DataFrame, y: str, terms: list, absorb: list[str] | None = None,
@@ -235,8 +243,9 @@ def ols(df: DataFrame, y: str, terms: list, absorb: list[str] | None = None,
     k0 = len(tt)
     used = sorted({c for t in tt for c in t} | {y} | set(absorb) | set(cluster))
     base = df.select(*used)
-    for c in used:
-        base = base.filter(F.col(c).isNotNull())
+    kinds = dict(base.dtypes)
+    for c in used:  # NaN counts as missing, like NULL
+        base = base.filter(F.col(c).isNotNull() & ~F.isnan(c) if kinds[c] in ("double", "float") else F.col(c).isNotNull())
     if singletons and absorb:
         base = drop_singletons(base, absorb)
     data = base.select(F.col(y).cast("double").alias("_y"), *[e.alias(f"_x{j}") for j, e in enumerate(xexpr)],

@@ -117,3 +117,15 @@ def test_large_fe_block_elimination_matches_dense(spark):
     G = pdf.firm.nunique()
     V = G / (G - 1) * (n - 1) / (n - 1) * meat / (xt @ xt) ** 2
     assert fit.coef.std_error.iloc[0] == pytest.approx(np.sqrt(V), rel=1e-7)
+
+
+def test_nan_rows_are_dropped_like_null(spark):
+    rows = [(1.0, 1.0), (2.0, 2.0), (float("nan"), 3.0), (4.0, 4.0), (7.0, float("nan")), (6.5, 6.0)]
+    clean = [r for r in rows if r[0] == r[0] and r[1] == r[1]]
+    fits = [R.ols(spark.createDataFrame(x, "y double, x double"), "y", ["x"]) for x in (rows, clean)]
+    assert str(fits[0]) == str(fits[1])
+
+
+def test_singletons_peel_to_nothing_in_a_chain(spark):
+    chain = spark.createDataFrame([(i // 2, (i + 1) // 2) for i in range(30)], "a int, b int")
+    assert R.drop_singletons(chain, ["a", "b"]).count() == 0
