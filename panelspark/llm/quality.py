@@ -37,7 +37,7 @@ def _count(batches, bits):
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-        use: Column | None = None, max_target: int = 20_000, bits: int = BITS, smooth: float = 200.0) -> RatioModel:
+        use: Column | None = None, max_target: int = 20_000, bits: int = BITS, smooth: float = 500.0) -> RatioModel:
     """Fit both generative models.
 
     The raw model counts the n-grams of all rows of ``docs``. The target model counts those of
