@@ -75,53 +75,93 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", use: Co
     return LanguageModel(list(langs), logp, zlib.crc32(logp.tobytes()))
 
 
-def mixture(ll: np.ndarray, ptr: np.ndarray, start: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Expectation-maximisation for each row's language proportions from ``start`` (rows x
-    languages; zeros stay zero): (proportions, log-likelihoods)."""
-    n = np.diff(ptr)
-    row = np.repeat(np.arange(len(n)), n)
+def _relative(ll: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Likelihoods (languages x words) relative to each word's best language, and that one's logarithm.
+    None is zero, so that a word of any length leaves every mixture a finite likelihood."""
     top = ll.max(axis=1)
-    p = np.exp(ll - top[:, None])
-    share = start
+    return np.exp(np.maximum(np.ascontiguousarray((ll - top[:, None]).T), -600.0)), top
+
+
+def _step(p: np.ndarray, n: np.ndarray, at: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One round of expectation-maximisation on rows of ``n`` words from ``at`` on: the sums of each
+    language's likelihood over the mixture's (languages x rows), and the words' mixture likelihoods."""
+    mix = np.einsum("lw,lw->w", np.repeat(share, n, axis=1), p)
+    return np.add.reduceat(p / mix, at, axis=1), mix
+
+
+def _fit(p: np.ndarray, n: np.ndarray, at: np.ndarray, share: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
     for _ in range(rounds):
-        r = share[row] * p
-        r /= r.sum(axis=1, keepdims=True)
-        share = row_sums(r, ptr) / n[:, None]
+        share = share * _step(p, n, at, share)[0] / n
         share[share < 1e-6] = 0
-        share /= share.sum(axis=1, keepdims=True)
-    like = np.log(np.maximum((share[row] * p).sum(axis=1), 1e-300)) + top
-    return share, row_sums(like, ptr)
+        share /= share.sum(axis=0)
+    return share, np.add.reduceat(np.log(np.einsum("lw,lw->w", np.repeat(share, n, axis=1), p)), at)
+
 
+def mixture(ll: np.ndarray, ptr: np.ndarray, start: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Expectation-maximisation for each row's language proportions from ``start`` (rows x
+    languages; zeros stay zero): (proportions, log-likelihoods). No row is empty."""
+    p, top = _relative(ll)
+    share, like = _fit(p, np.diff(ptr), ptr[:-1], start.T, rounds)
+    return share.T, like + np.add.reduceat(top, ptr[:-1])
+
+
+def _of_rows(p: np.ndarray, n: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words, word counts and offsets of some of the rows."""
+    n = n[rows]
+    new = np.cumsum(n) - n
+    return p[:, np.repeat(at[rows] - new, n) + np.arange(n.sum())], n, new
 
-def infer(ll: np.ndarray, ptr: np.ndarray, rounds: int = 12, most: int = 3) -> np.ndarray:
+
+def infer(ll: np.ndarray, ptr: np.ndarray, rounds: int = 12, most: int = 3, checks: int = 4, block: int = 1 << 16) -> np.ndarray:
     """Proportions of each row's language set, chosen by penalised likelihood.
 
     ``ll`` holds the log-likelihood of each word (rows end to end, no empty row) in each language.
-    A set of s languages is scored by its fitted likelihood less (s - 1) log(words + 1). No
-    mixture beats the sum of each word's best language, so a row whose best single language
-    comes within the penalty of that bound is settled without fitting. The others are fitted
-    with all languages, then with their 2 to ``most`` largest.
+    A set of s languages is scored by its fitted likelihood less (s - 1) log(words + 1). Rows of
+    which no mixture can beat the best single language are settled without fitting. The
+    log-likelihood is concave in the proportions, so no mixture is above its tangent at any
+    mixture m: the likelihood of m, plus the largest sum over the words of a language's
+    likelihood over m's, less the number of words. ``checks`` rounds of expectation-maximisation
+    from near the best language move m and lower this bound. The others are fitted with all
+    languages, then with their 2 to ``most`` largest. Rows are worked through in runs of about
+    ``block`` words; none is cut.
     """
-    n = np.diff(ptr)
-    alone = row_sums(ll, ptr)
+    group = (ptr[:-1] - ptr[0]) // block
+    edges = [*np.flatnonzero(np.diff(group, prepend=-1)).tolist(), len(group)]
+    return np.concatenate([np.zeros((0, ll.shape[1])), *(
+        _infer(ll[ptr[a]:ptr[b]].astype(np.float64), ptr[a:b + 1] - ptr[a], rounds, most, checks) for a, b in zip(edges, edges[1:]))])
+
+
+def _infer(ll, ptr, rounds, most, checks):
+    n, at, langs = np.diff(ptr), ptr[:-1], ll.shape[1]
+    alone = np.add.reduceat(ll, at, axis=0)
     best = alone.argmax(axis=1)
-    score = alone.max(axis=1)
     share = np.zeros_like(alone)
     share[np.arange(len(n)), best] = 1
+    p, top = _relative(ll)
+    score = alone.max(axis=1) - np.add.reduceat(top, at)  # relative to each word's best language, like all below
     penalty = np.log(n + 1)
-    open_ = np.flatnonzero(row_sums(ll.max(axis=1), ptr) - score > penalty)
-    if not len(open_) or ll.shape[1] < 2:
+    open_ = np.flatnonzero(-score > penalty)
+    if not len(open_) or langs < 2:
         return share
-    words = np.repeat(ptr[:-1][open_] - (np.cumsum(n[open_]) - n[open_]), n[open_]) + np.arange(n[open_].sum())
-    sub, at = ll[words], np.concatenate([[0], np.cumsum(n[open_])])
-    full, _ = mixture(sub, at, np.full((len(open_), ll.shape[1]), 1 / ll.shape[1]), rounds)
-    rank = (-full).argsort(axis=1, kind="stable").argsort(axis=1, kind="stable")
-    for s in range(2, min(most, ll.shape[1]) + 1):
+    p, n, at = _of_rows(p, n, at, open_)
+    near = np.where(np.arange(langs)[:, None] == best[open_], 0.97, 0.03 / (langs - 1))
+    for _ in range(checks):
+        ratio, mix = _step(p, n, at, near)
+        bound = np.add.reduceat(np.log(mix), at) + ratio.max(axis=0) - n
+        left = np.flatnonzero(bound - penalty[open_] > score[open_])
+        near = (near * ratio / n)[:, left]
+        p, n, at = _of_rows(p, n, at, left)
+        open_ = open_[left]
+        if not len(open_):
+            return share
+    full, _ = _fit(p, n, at, np.full((langs, len(open_)), 1 / langs), rounds)
+    rank = (-full).argsort(axis=0, kind="stable").argsort(axis=0, kind="stable")
+    for s in range(2, min(most, langs) + 1):
         start = np.where(rank < s, np.maximum(full, 1e-3), 0)
-        fit_, like = mixture(sub, at, start / start.sum(axis=1, keepdims=True), rounds)
+        fit_, like = _fit(p, n, at, start / start.sum(axis=0), rounds)
         value = like - (s - 1) * penalty[open_]
         won = value > score[open_]
-        share[open_[won]], score[open_[won]] = fit_[won], value[won]
+        share[open_[won]], score[open_[won]] = fit_.T[won], value[won]
     return share
 
 
@@ -150,7 +190,7 @@ def _predict(batches, model, rounds, most, row_text=None):
             ptr = at[chunks.ptr]
             some = np.flatnonzero(np.diff(ptr))
             if len(some):
-                share[some] = infer(ll.astype(np.float64), np.append(ptr[:-1][some], ptr[-1]), rounds, most)
+                share[some] = infer(ll, np.append(ptr[:-1][some], ptr[-1]), rounds, most)
         known = share.sum(axis=1) > 0
         top = np.where(known, share.argmax(axis=1) if width else 0, width)
         sets = [[[model.langs[l], float(v[l])] for l in np.argsort(-v, kind="stable") if v[l] > 0] for v in share]

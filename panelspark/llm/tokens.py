@@ -53,5 +53,8 @@ def ngrams(flat: np.ndarray, ptr: np.ndarray, bits: int) -> tuple[np.ndarray, np
 
 def row_sums(values: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     """Sums (over the first axis) of each row's run of values; 0 for an empty run."""
-    total = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0, dtype=np.float64)])
-    return total[ptr[1:]] - total[ptr[:-1]]
+    out = np.zeros((len(ptr) - 1, *values.shape[1:]))
+    some = np.flatnonzero(np.diff(ptr))
+    if len(some):
+        out[some] = np.add.reduceat(values[ptr[0]:ptr[-1]], ptr[:-1][some] - ptr[0], axis=0, dtype=np.float64)
+    return out
