@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +16,8 @@ from panelspark.llm.common import Chunks, WordCache, expand, map_rows, slices, t
 from panelspark.llm.tokens import row_sums
 
 BITS = 16
-LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD], np.uint64)  # odd multipliers of a linear hash
+_KIND = np.full(0x110000, 255, np.uint8)
 _GRAMS = WordCache("langid")
 _SCORES: dict = {}
 
@@ -30,14 +31,31 @@ class LanguageModel:
     name: int
 
 
+def _kinds(points: np.ndarray) -> np.ndarray:
+    """1 for letters, 2 for combining marks, 0 for other code points; looked up once per worker."""
+    new = np.unique(points[_KIND[points] == 255])
+    _KIND[new] = [{"L": 1, "M": 2}.get(unicodedata.category(chr(c))[0], 0) for c in new.tolist()]
+    return _KIND[points]
+
+
 def _grams(words: list[bytes]) -> list[bytes]:
-    """Buckets of the character trigrams of each word's runs of letters, with their edges."""
-    mask = (1 << BITS) - 1
-    out = []
-    for w in words:
-        runs = [f" {r} " for r in LETTERS.findall(w.decode("utf-8", "replace").lower())]
-        out.append(np.array([zlib.crc32(r[i:i + 3].encode()) & mask for r in runs for i in range(len(r) - 2)], dtype="<u4").tobytes())
-    return out
+    """Buckets of the character trigrams of each word's runs of letters (with the marks after them).
+
+    A run has one trigram round each of its characters; beyond its ends stand spaces.
+    """
+    texts = [w.decode("utf-8", "replace").lower() for w in words]
+    points = np.frombuffer("".join([t + "\n" for t in texts]).encode("utf-32-le"), "<u4")
+    kind = _kinds(points)
+    base = np.maximum.accumulate(np.where(kind != 2, np.arange(len(points)), 0))  # the last character that is no mark
+    inside = kind[base] == 1
+    at = np.flatnonzero(inside)  # never the last one, a line feed
+    before = np.where(inside[at - 1] & (at > 0), points[at - 1], 32)
+    after = np.where(inside[at + 1], points[at + 1], 32)
+    mixed = sum(c.astype(np.uint64) * m for c, m in zip((before, points[at], after), _MIX))
+    raw = (mixed >> np.uint64(64 - BITS)).astype("<u4").tobytes()
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    ends = (4 * np.searchsorted(at, ends)).tolist()
+    return [raw[i:j] for i, j in zip([0, *ends], ends)]
 
 
 def _count(batches):

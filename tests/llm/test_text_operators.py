@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers as P
 import pytest
+import regex
 import tiktoken
 import tokenizers
 import xxhash
@@ -237,3 +238,27 @@ def test_nnpu_recovers_a_separable_rule():
     y = x[:, 0] > 0
     w, b = toxicity.train_nnpu(x[y][:300], x, float(y.mean()))
     assert (((x @ w + b) > 0) == y).mean() > 0.98
+
+
+def test_language_sets_match_fitting_every_row():
+    """The tangent bound and the runs of rows change no result: the same sets as when each row is fitted."""
+    rng = np.random.default_rng(1)
+    n = rng.integers(1, 60, 200)
+    ptr = np.concatenate([[0], np.cumsum(n)])
+    ll = np.log(rng.dirichlet(np.ones(4), ptr[-1]) ** 3 + 1e-9)
+    for r in range(0, 200, 2):  # every other row leans to one language
+        ll[ptr[r]:ptr[r + 1], r % 4] += 2.0
+    ll[0] = [-1e5, -9e5, -8e5, -7e5]  # a word of very many n-grams
+    plain = langid.infer(ll, ptr, checks=0, block=1 << 40)
+    quick = langid.infer(ll, ptr, block=100)
+    assert np.allclose(plain, quick, atol=1e-9) and np.isfinite(plain).all()
+    assert {1, 2} <= set((plain > 0).sum(axis=1).tolist())
+
+
+def test_language_trigrams_of_letter_runs():
+    words = ["", "abc", "éáx1y-z", "́ab", "12", "ab\ncd", "İx", "日本語"]
+    runs = [regex.findall(r"\p{L}[\p{L}\p{M}]*", w.lower()) for w in words]
+    got = langid._grams([w.encode() for w in words])
+    assert [len(g) // 4 for g in got] == [sum(map(len, r)) for r in runs]
+    alone = langid._grams([r.encode() for rs in runs for r in rs])
+    assert b"".join(alone) == b"".join(got)  # a run has the same trigrams wherever it stands
