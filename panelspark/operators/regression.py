@@ -4,16 +4,14 @@ Passes over the data (all distributed aggregates):
 
 1. global means (centring keeps the sums of products accurate at scale);
 2. per fixed-effect cell (one row per combination of FE levels, e.g. year x industry):
-   counts, sums and within-cell cross-products of the centred variables. The cell table
-   is bounded by the product of the FE level counts (checked) and is the only thing
-   collected; Frisch-Waugh-Lovell turns it into the FE-demeaned X'X and X'y exactly
-   (dummies solved on the driver with a pseudo-inverse, so collinear FE sets are fine);
+   counts, sums and within-cell cross-products of the centred variables.
+   Frisch-Waugh-Lovell turns the cell table into the FE-demeaned X'X and X'y. Up to
+   ``MAX_CELLS`` cells are solved on the driver (dummies with a pseudo-inverse, so collinear
+   FE sets are fine); a larger table, such as one firm effect with millions of levels, stays
+   distributed and is demeaned by its FEs in turn until nothing moves (``absorb_cells``);
 3. residual scores x~_i e_i summed per intersection of the cluster dimensions (one
    shuffle); one-way meats are sums over that table, so two-way clustering needs no
    second pass over the rows.
-
-High-cardinality fixed effects (levels in the millions) would need iterative demeaning
-instead; they are rejected with a clear error rather than collected.
 """
 
 from __future__ import annotations
@@ -30,8 +28,8 @@ from panelspark.session import reliable_checkpoint
 
 from panelspark.session import ship_package
 
-MAX_CELLS = 500_000
-MAX_LEVELS = 20_000          # levels outside the largest FE (dense Schur complement)
+MAX_CELLS = 500_000          # most FE cells that reach the driver
+MAX_LEVELS = 2_000           # most levels outside the largest FE solved there (dense Schur complement)
 
 
 @dataclass
@@ -179,8 +177,6 @@ def _solve_fe(idx: list[np.ndarray], offs: np.ndarray, cn: np.ndarray, dv: np.nd
     # positions of the other FEs' levels, stacked
     rest_off = np.cumsum([0] + [sizes[a] for a in rest])
     L2 = int(rest_off[-1])
-    if L2 > MAX_LEVELS:
-        raise ValueError(f"{L2} levels outside the largest fixed effect exceed {MAX_LEVELS}")
     r_idx = [rest_off[j] + (idx[a] - offs[a]) for j, a in enumerate(rest)]
     b_idx = idx[big] - offs[big]
     B = np.zeros((L2, L2))
@@ -200,6 +196,33 @@ def _solve_fe(idx: list[np.ndarray], offs: np.ndarray, cn: np.ndarray, dv: np.nd
     return g
 
 
+def absorb_cells(cells: DataFrame, fes: list[str], p: int, tol: float = 1e-12) -> DataFrame:
+    """The cell table with ``_m0..`` (its means of the p variables) and ``_r0..`` (what is left of
+    them once the FEs are absorbed).
+
+    Each sweep subtracts every FE's weighted level means in turn: a partial aggregate and a join
+    on the level, on a reliable checkpoint per sweep. One FE needs one sweep and is exact; several
+    are swept until a sweep moves no variable by more than ``tol`` of its size (root mean square).
+    """
+    start = [(F.col(f"_s{i}") / F.col("_n")).alias(f"_m{i}") for i in range(p)]
+    cells = reliable_checkpoint(cells.select("*", *start, *[c.alias(f"_r{i}") for i, c in enumerate(start)]))
+    fixed = [c for c in cells.columns if not c.startswith("_r")]
+    while True:
+        swept = cells.select(*fixed, *[F.col(f"_r{i}") for i in range(p)], *[F.col(f"_r{i}").alias(f"_o{i}") for i in range(p)])
+        for f in fes:
+            level = swept.groupBy(f).agg(*[(F.sum(F.col("_n") * F.col(f"_r{i}")) / F.sum("_n")).alias(f"_l{i}") for i in range(p)])
+            swept = swept.join(level, f).select(*fixed, *[(F.col(f"_r{i}") - F.col(f"_l{i}")).alias(f"_r{i}") for i in range(p)],
+                                                *[f"_o{i}" for i in range(p)])
+        swept = reliable_checkpoint(swept)
+        cells = swept.select(*fixed, *[f"_r{i}" for i in range(p)])
+        if len(fes) == 1:
+            return cells
+        size = swept.agg(*[F.sum(F.col("_n") * (F.col(f"_r{i}") - F.col(f"_o{i}")) ** 2).alias(f"d{i}") for i in range(p)],
+                         *[F.sum(F.col("_n") * F.col(f"_m{i}") ** 2).alias(f"t{i}") for i in range(p)]).first()
+        if all(size[f"d{i}"] <= tol * tol * size[f"t{i}"] for i in range(p)):
+            return cells
+
+
 def drop_singletons(df: DataFrame, absorb: list[str]) -> DataFrame:
     """Repeatedly drop rows alone in some FE level (ST8), until a round drops none.
 
@@ -269,19 +292,29 @@ def ols(df: DataFrame, y: str, terms: list, absorb: list[str] | None = None,
                  *[F.sum(F.col(vars_[a]) * F.col(vars_[b])).alias(f"_p{a}_{b}") for a, b in prods]]
     fes = [f"_fe{i}" for i in range(len(absorb))]
     cells_df = cen.groupBy(*fes).agg(*cell_aggs) if fes else cen.agg(*cell_aggs)
-    # one action; the cap proves the collected cell table is small
+    # one action; the limit bounds what the driver sees of the cell table
     cells = cells_df.limit(MAX_CELLS + 1).toPandas()
-    if len(cells) > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} fixed-effect cells; use iterative demeaning")
+    counts = [cells[f].nunique() for f in fes]
+    spread = bool(fes) and (len(cells) > MAX_CELLS or sum(counts) - max(counts) > MAX_LEVELS)
     full = np.zeros((p, p))
-    for a, b in prods:
-        full[a, b] = full[b, a] = cells[f"_p{a}_{b}"].sum()
+    if spread:
+        absorbed = absorb_cells(cells_df, fes, p)
+        got = absorbed.agg(*[F.sum(f"_p{a}_{b}").alias(f"p{a}_{b}") for a, b in prods],
+                           *[F.sum(F.col("_n") * (F.col(f"_r{a}") * F.col(f"_r{b}") - F.col(f"_m{a}") * F.col(f"_m{b}"))).alias(f"w{a}_{b}")
+                             for a, b in prods]).first()
+        within = np.zeros((p, p))
+        for a, b in prods:
+            full[a, b] = full[b, a] = got[f"p{a}_{b}"]
+            within[a, b] = within[b, a] = got[f"p{a}_{b}"] + got[f"w{a}_{b}"]
+        counts = [absorbed.select(f).distinct().count() for f in fes] if fixef_k == "full" else []
+    else:
+        for a, b in prods:
+            full[a, b] = full[b, a] = cells[f"_p{a}_{b}"].sum()
+        within = full.copy()
     # Frisch-Waugh: project out the FE dummies using cell-level sums
     levels: list[pd.Index] = []
-    if fes:
-        cols = []
-        for f in fes:
-            levels.append(pd.Index(pd.unique(cells[f])))
+    if fes and not spread:
+        levels = [pd.Index(pd.unique(cells[f])) for f in fes]
         L = sum(len(lv) for lv in levels)
         offs = np.cumsum([0] + [len(lv) for lv in levels])
         idx = [offs[i] + lv.get_indexer(cells[f]) for i, (f, lv) in enumerate(zip(fes, levels))]
@@ -292,13 +325,7 @@ def ols(df: DataFrame, y: str, terms: list, absorb: list[str] | None = None,
             np.add.at(dv, idx[a], S)
         gam = _solve_fe(idx, offs, cn, dv, [len(lv) for lv in levels])   # L x p FE coefficients
         within = full - dv.T @ gam
-    else:
-        gam = None
-        within = full.copy()
     wyy, wxy, wxx = within[0, 0], within[1:, 0], within[1:, 1:]
-    if not fes:
-        # explicit intercept: centred data give X'X = [[n, 0], [0, Sxx]]
-        pass
     keep = _sel_independent(wxx) if k0 else []
     dropped = [names[j] for j in range(k0) if j not in keep]
     kx = len(keep)
@@ -315,7 +342,7 @@ def ols(df: DataFrame, y: str, terms: list, absorb: list[str] | None = None,
         bread_in = wxx[np.ix_(keep, keep)]
         if fixef_k not in ("none", "full"):
             raise ValueError("fixef_k must be 'none' or 'full'")
-        K = kx if fixef_k == "none" else kx + sum(len(lv) for lv in levels) - (len(levels) - 1)
+        K = kx if fixef_k == "none" else kx + sum(counts) - (len(counts) - 1)
         term_names = [names[j] for j in keep]
     else:
         bread_in = np.zeros((kx + 1, kx + 1))
@@ -329,7 +356,12 @@ def ols(df: DataFrame, y: str, terms: list, absorb: list[str] | None = None,
     fe_terms = F.lit(0.0)
     xt_cols = [F.col(f"_x{j}") for j in keep]
     scored = cen
-    if fes:
+    if spread:
+        moved = absorbed.select(*fes, *[(F.col(f"_m{i}") - F.col(f"_r{i}")).alias(f"_g{i}") for i in range(p)])
+        scored = cen.join(moved, fes)
+        fe_terms = F.col("_g0") - sum((F.col(f"_g{1 + j}") * float(beta[j]) for j in keep), F.lit(0.0))
+        xt_cols = [F.col(f"_x{j}") - F.col(f"_g{1 + j}") for j in keep]
+    elif fes:
         for i, (f, lv) in enumerate(zip(fes, levels)):
             off = int(np.cumsum([0] + [len(v) for v in levels])[i])
             sub = gam[off:off + len(lv)]

@@ -314,6 +314,16 @@ def q_ols_one_fe(spark, sf_dir):
     return _coef_frame(spark, R.ols(_panel(spark, sf_dir), "bhar", ["sue"], absorb=["fyearq"]), ("term", "estimate"))
 
 
+@register("ols_entity_fe", """
+SELECT 'sue' AS term, regr_slope(yd, xd) AS estimate,
+       sqrt((regr_syy(yd, xd) - regr_sxy(yd, xd) * regr_sxy(yd, xd) / regr_sxx(yd, xd))
+            / (count(*) - 1 - count(DISTINCT obs_part)) / regr_sxx(yd, xd)) AS std_error
+FROM (SELECT obs_part, bhar - avg(bhar) OVER w AS yd, sue - avg(sue) OVER w AS xd FROM reg_panel
+      WINDOW w AS (PARTITION BY obs_part))""", ["estimate", "std_error"])
+def q_ols_entity_fe(spark, sf_dir):
+    return _coef_frame(spark, R.ols(_panel(spark, sf_dir), "bhar", ["sue"], absorb=["obs_part"], fixef_k="full"))
+
+
 def _cluster_sql(clusters: list[str]) -> str:
     """Two-parameter (intercept, sue) CRV1 errors; two dimensions use V1 + V2 - V12 with G = min."""
     meats = []

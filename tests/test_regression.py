@@ -129,3 +129,27 @@ def test_nan_rows_are_dropped_like_null(spark):
 def test_singletons_peel_to_nothing_in_a_chain(spark):
     chain = spark.createDataFrame([(i // 2, (i + 1) // 2) for i in range(30)], "a int, b int")
     assert R.drop_singletons(chain, ["a", "b"]).count() == 0
+
+
+@pytest.mark.parametrize("absorb", [["f"], ["f", "g"]])
+def test_spread_fixed_effects_match_driver_solve(spark, monkeypatch, absorb):
+    """Cells beyond the driver's bound are demeaned by Spark, with the same fit."""
+    rng = np.random.default_rng(5)
+    n = 3000
+    pdf = pd.DataFrame({"f": rng.integers(0, 60, n), "g": rng.integers(0, 9, n), "x": rng.normal(size=n), "z": rng.normal(size=n), "c": rng.integers(0, 40, n)})
+    pdf["y"] = 0.7 * pdf.x - 0.2 * pdf.z + 0.1 * pdf.f + rng.normal(size=n) + pdf.g * (pdf.g > 4)
+    df = spark.createDataFrame(pdf)
+    plain = R.ols(df, "y", ["x", "z"], absorb=absorb, cluster=["c"], fixef_k="full")
+    monkeypatch.setattr("panelspark.operators.regression.MAX_CELLS", 10)
+    far = R.ols(df, "y", ["x", "z"], absorb=absorb, cluster=["c"], fixef_k="full")
+    assert far.coef.estimate.to_numpy() == pytest.approx(plain.coef.estimate.to_numpy(), rel=1e-9)
+    assert far.coef.std_error.to_numpy() == pytest.approx(plain.coef.std_error.to_numpy(), rel=1e-8)
+    assert far.stats["r2_within"] == pytest.approx(plain.stats["r2_within"], rel=1e-9) and far.stats["k"] == plain.stats["k"]
+
+
+def test_fixed_effect_with_600000_levels(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(1_200_000).select((F.col("id") % 600_000).alias("firm"), F.rand(1).alias("x"), F.rand(2).alias("e"))
+    df = df.withColumn("y", 2 * F.col("x") + F.col("firm") % 97 + F.col("e"))
+    fit = R.ols(df, "y", ["x"], absorb=["firm"])
+    assert fit.stats["nobs"] == 1_200_000 and fit.coef.estimate[0] == pytest.approx(2.0, abs=0.01)
