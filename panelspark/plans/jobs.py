@@ -93,7 +93,8 @@ def tables(spark: SparkSession, data_dir: str, out_dir: str, cluster: tuple[str,
 
 
 def provenance(spark: SparkSession, data_dir: str, inventory_dirs: list[str] | None = None) -> DataFrame:
-    """Sorted sample identifiers (Parquet + CSV), their summary, file inventories."""
+    """Sorted sample identifiers (Parquet + CSV), the inventory of all files in
+    ``inventory_dirs`` (Parquet), and a summary of both."""
     reg = spark.read.parquet(f"{data_dir}/regdata.parquet")
     ids = T.sample_identifiers(reg)
     write_parquet(ids, f"{data_dir}/sample_identifiers.parquet")
@@ -102,4 +103,6 @@ def provenance(spark: SparkSession, data_dir: str, inventory_dirs: list[str] | N
     for d in inventory_dirs or [data_dir]:
         part = file_inventory(spark, d).withColumn("directory", F.lit(os.path.basename(d.rstrip("/"))))
         inv = part if inv is None else inv.unionByName(part)
+    write_parquet(inv, f"{data_dir}/file_inventory.parquet")
+    inv = spark.read.parquet(f"{data_dir}/file_inventory.parquet")
     return T.identifier_summary(reg).crossJoin(inv.agg(F.count(F.lit(1)).alias("files_inventoried")))

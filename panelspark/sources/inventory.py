@@ -1,14 +1,14 @@
 """File inventory with SHA-256 for provenance.
 
-Files are read and hashed by the executors through the ``binaryFile`` source, so the
-bytes never pass through the driver; the driver only lists names (metadata).
-``binaryFile`` holds one file per record, so files above ~2 GB must be hashed in chunks
-(``hash_large``), which streams each file inside its own task.
+The driver only lists names (metadata); executors read and hash the files. Those below 2 GB go
+through the ``binaryFile`` source, which holds one file per record; larger and empty ones are
+streamed in chunks, each inside its own task (``hash_large``).
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -17,66 +17,66 @@ from pyspark.sql import functions as F
 MAX_BINARY_FILE = 1 << 31
 
 
-def list_files(spark: SparkSession, directory: str | None) -> list[tuple[str, int]]:
-    """(path, length) of regular files directly inside ``directory``; a missing folder -> []."""
+def list_files(spark: SparkSession, directory: str | None) -> list[tuple[str, int, int]]:
+    """(path, length, modification time in ms) of the files below ``directory``, sorted; a missing
+    folder -> []. Names that begin with ``_`` or ``.`` are markers and checksums, not data."""
     if not directory:
         return []
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(directory)
+    p = spark._jvm.org.apache.hadoop.fs.Path(directory)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(p) or not fs.getFileStatus(p).isDirectory():
         return []
-    return sorted((st.getPath().toString(), st.getLen()) for st in fs.listStatus(p) if st.isFile())
+    found, files = [], fs.listFiles(p, True)
+    while files.hasNext():
+        st = files.next()
+        if st.getPath().getName()[0] not in "_.":
+            found.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return sorted(found)
 
 
 def file_inventory(spark: SparkSession, directory: str | None) -> DataFrame:
-    """name, mtime ("%Y-%m-%d %H:%M" in the session time zone), size_mb (1e6 bytes), sha256 —
-    one row per regular file one level deep, sorted by name."""
+    """name (relative to ``directory``), mtime ("%Y-%m-%d %H:%M" in the session time zone), size_mb
+    (1e6 bytes), sha256: one row per file in the folder or below it, sorted by name."""
     files = list_files(spark, directory)
     schema = "name string, mtime string, size_mb double, sha256 string"
     if not files:
         return spark.createDataFrame([], schema)
-    small = [p for p, n in files if n < MAX_BINARY_FILE]
-    large = [p for p, n in files if n >= MAX_BINARY_FILE]
+    root = spark._jvm.org.apache.hadoop.fs.Path(directory).toUri().getPath().rstrip("/")
     parts = []
+    small = [path for path, size, _ in files if 0 < size < MAX_BINARY_FILE]  # binaryFile leaves out empty files
+    large = [f for f in files if not 0 < f[1] < MAX_BINARY_FILE]
     if small:
         b = spark.read.format("binaryFile").load(small)
-        parts.append(b.select(F.element_at(F.split("path", "/"), -1).alias("name"),
-                              F.date_format("modificationTime", "yyyy-MM-dd HH:mm").alias("mtime"),
-                              (F.col("length") / 1e6).alias("size_mb"),
-                              F.sha2("content", 256).alias("sha256")))
+        parts.append(b.select("path", F.col("modificationTime").alias("at"), "length", F.sha2("content", 256).alias("sha256")))
     if large:
         parts.append(hash_large(spark, large))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.orderBy("name")
+    return out.select(F.regexp_replace("path", "^.*?" + re.escape(root) + "/", "").alias("name"),
+                      F.date_format("at", "yyyy-MM-dd HH:mm").alias("mtime"), (F.col("length") / 1e6).alias("size_mb"), "sha256").orderBy("name")
 
 
-def hash_large(spark: SparkSession, paths: list[str], chunk: int = 1 << 20) -> DataFrame:
-    """Hash big files in 1 MB chunks, one task per file (Hadoop streams, any filesystem)."""
+def hash_large(spark: SparkSession, files: list[tuple[str, int, int]], chunk: int = 1 << 20) -> DataFrame:
+    """path, at, length, sha256 of big files, read in 1 MB chunks, one task per file (the file
+    systems of ``pyarrow.fs``: local, HDFS and object stores)."""
     from panelspark.session import ship_package
 
     ship_package(spark)
-    df = spark.createDataFrame([(p,) for p in paths], "path string").repartition(len(paths))
+    df = spark.createDataFrame(files, "path string, length long, ms long").repartition(len(files))
 
     def run(batches):
-        try:
-            import fsspec
-            opener = fsspec.open
-        except ImportError:  # local files only
-            def opener(path, mode):
-                return open(path[5:] if path.startswith("file:") else path, mode)
+        from pyarrow import fs
         for pdf in batches:
-            rows = []
+            sums = []
             for path in pdf["path"]:
                 h = hashlib.sha256()
-                size = 0
-                with opener(path, "rb") as fh:
-                    for block in iter(lambda: fh.read(chunk), b""):
+                store, inner = fs.FileSystem.from_uri(path)
+                with store.open_input_stream(inner) as stream:
+                    while block := stream.read(chunk):
                         h.update(block)
-                        size += len(block)
-                rows.append((path.rsplit("/", 1)[-1], "", size / 1e6, h.hexdigest()))
-            yield pd.DataFrame(rows, columns=["name", "mtime", "size_mb", "sha256"])
+                sums.append(h.hexdigest())
+            yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "ms": pdf["ms"], "sha256": sums})
 
-    return df.mapInPandas(run, "name string, mtime string, size_mb double, sha256 string")
+    hashed = df.mapInPandas(run, "path string, length long, ms long, sha256 string")
+    return hashed.select("path", F.timestamp_millis("ms").alias("at"), "length", "sha256")

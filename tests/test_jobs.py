@@ -1,5 +1,6 @@
 """The batch jobs end to end on the smallest driver tables (roles from plans.bindings)."""
 
+import hashlib
 import os
 import tempfile
 
@@ -14,13 +15,31 @@ def test_jobs_end_to_end(spark):
     data, out = os.path.join(root, "data"), os.path.join(root, "out")
     inputs = {r: getattr(B, r)(spark, SF_SMALL) for r in jobs.ROLES}
     res = jobs.transform(spark, inputs, data, max_year=2000)
-    assert res["regdata_rows"] >= 0
+    assert res["regdata_rows"] == spark.read.parquet(f"{data}/regdata.parquet").count()
     sel = spark.read.parquet(f"{data}/sample_selection.parquet").orderBy("step").collect()
     assert [r.step for r in sel] == list(range(1, 10))
     obs = [r.obs for r in sel]
     assert all(obs[i] >= obs[i + 1] for i in range(len(obs) - 1) if i + 1 != 3)   # step 4 may fan out
     summary = jobs.provenance(spark, data).first()
-    assert summary.files_inventoried == 0 or summary.files_inventoried >= 1
+    inventory = {r.name: r for r in spark.read.parquet(f"{data}/file_inventory.parquet").collect()}
+    on_disk = {os.path.relpath(os.path.join(folder, f), data) for folder, _, names in os.walk(data) for f in names if f[0] not in "_."}
+    on_disk = {f for f in on_disk if not f.startswith("file_inventory.parquet")}  # written after the listing
+    assert set(inventory) == on_disk and summary.files_inventoried == len(on_disk) > 4
+    for name, row in inventory.items():
+        with open(os.path.join(data, name), "rb") as fh:
+            content = fh.read()
+        assert row.sha256 == hashlib.sha256(content).hexdigest() and row.size_mb == len(content) / 1e6 and len(row.mtime) == 16
+
+
+def test_large_files_are_streamed(spark, tmp_path, monkeypatch):
+    from panelspark.sources import inventory
+
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "a.bin").write_bytes(b"x" * 3_000_000)
+    (tmp_path / "sub" / "b.bin").write_bytes(b"")
+    plain = inventory.file_inventory(spark, str(tmp_path)).collect()
+    monkeypatch.setattr(inventory, "MAX_BINARY_FILE", 0)
+    assert inventory.file_inventory(spark, str(tmp_path)).collect() == plain and [r.name for r in plain] == ["a.bin", "sub/b.bin"]
 
 
 def test_encode_alphabetical(spark):
