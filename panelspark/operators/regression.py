@@ -30,6 +30,7 @@ from panelspark.session import ship_package
 
 MAX_CELLS = 500_000          # most FE cells that reach the driver
 MAX_LEVELS = 2_000           # most levels outside the largest FE solved there (dense Schur complement)
+MAX_DENSE = 20_000_000       # most entries of the dense block between the largest FE's levels and the others'
 
 
 @dataclass
@@ -295,7 +296,8 @@ def ols(df: DataFrame, y: str, terms: list, absorb: list[str] | None = None,
     # one action; the limit bounds what the driver sees of the cell table
     cells = cells_df.limit(MAX_CELLS + 1).toPandas()
     counts = [cells[f].nunique() for f in fes]
-    spread = bool(fes) and (len(cells) > MAX_CELLS or sum(counts) - max(counts) > MAX_LEVELS)
+    rest = sum(counts) - max(counts, default=0)
+    spread = bool(fes) and (len(cells) > MAX_CELLS or rest > MAX_LEVELS or max(counts) * rest > MAX_DENSE)
     full = np.zeros((p, p))
     if spread:
         absorbed = absorb_cells(cells_df, fes, p)

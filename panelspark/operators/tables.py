@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.functions.scalar import decade_label
+from panelspark.functions.scalar import decade_label, thousands
 from panelspark.operators.quantiles import BROADCAST_STATE_ROWS, EXACT_ROWS, QSpec, quantiles, rank_rows
 from panelspark.operators.transforms import qcut
 from panelspark.session import reliable_checkpoint
@@ -156,6 +156,22 @@ def crosstab(df: DataFrame, row: str, col: str, values: list) -> DataFrame:
     return agg.select(*sel)
 
 
+def flag_frequency(df: DataFrame, flag: str) -> DataFrame:
+    """Rows per value of a flag, NULL a value of its own (A14): flag, n, pct of all rows. One
+    aggregate; only its few rows meet in the window that adds them up."""
+    agg = df.groupBy(flag).agg(F.count(F.lit(1)).alias("n"))
+    return agg.select(flag, "n", (F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy())).alias("pct"))
+
+
+def formatted_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """variable, count: non-NULL values with thousands separators (A18); a column without any
+    value shows the number of rows."""
+    n = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(f"_c{i}") for i, c in enumerate(cols)])
+    text = [F.struct(F.lit(c).alias("variable"), thousands(F.when(F.col(f"_c{i}") > 0, F.col(f"_c{i}")).otherwise(F.col("_n"))).alias("count"))
+            for i, c in enumerate(cols)]
+    return n.select(F.inline(F.array(*text)))
+
+
 def group_rate(df: DataFrame, group: str | list[str], flag: str, out: str = "rate") -> DataFrame:
     """Mean of a 0/1 flag per group (A5); ``sort_rank`` orders groups by that mean."""
     groups = [group] if isinstance(group, str) else list(group)

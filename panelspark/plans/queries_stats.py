@@ -246,6 +246,26 @@ def q_crosstab(spark, sf_dir):
     return T.crosstab(df, "Year", "same_sign", [0, 1])
 
 
+_FLAG = "CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 0 END"
+
+
+@register("flag_frequency", f"""
+SELECT flag, count(*) AS n, count(*) * 100.0 / (SELECT count(*) FROM lineitem) AS pct
+FROM (SELECT CAST({_FLAG} AS INTEGER) AS flag FROM lineitem) GROUP BY flag""", ["pct"])
+def q_flag_frequency(spark, sf_dir):
+    return T.flag_frequency(B.table(spark, sf_dir, "lineitem").select(F.expr(_FLAG).cast("int").alias("flag")), "flag")
+
+
+@register("formatted_counts", f"""
+SELECT 'flag' AS variable, format('{{:,}}', count({_FLAG})) AS count FROM lineitem
+UNION ALL SELECT 'rows', format('{{:,}}', count(l_orderkey)) FROM lineitem
+UNION ALL SELECT 'nothing', format('{{:,}}', count(*)) FROM lineitem""")
+def q_formatted_counts(spark, sf_dir):
+    df = B.table(spark, sf_dir, "lineitem").select(
+        F.expr(_FLAG).alias("flag"), F.col("l_orderkey").alias("rows"), F.lit(None).cast("boolean").alias("nothing"))
+    return T.formatted_counts(df, ["flag", "rows", "nothing"])
+
+
 @register("flag_rate_by_industry", f"""
 SELECT FF12, pct_same_sign, n, CAST(row_number() OVER (ORDER BY pct_same_sign, FF12) AS INTEGER) AS sort_rank FROM (
   SELECT {FF12_NAME_SQL} AS FF12, avg(same_sign) AS pct_same_sign, count(*) AS n FROM reg_panel GROUP BY 1)""",
