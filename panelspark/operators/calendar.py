@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # A trading calendar can never exceed one row per calendar day of its span.
-MAX_CALENDAR_ROWS = 200 * 366
 
 
 def trading_calendar(returns: DataFrame, date_col: str = "dlycaldt", date: str = "date",

@@ -1,13 +1,12 @@
 """Selection funnel: counts after each filter step (A2) and the (Diff) table.
 
 ``funnel`` stays lazy (a union of one-row counts) so it can be returned as a DataFrame;
-Spark reuses the exchanges the stages share. ``observe_funnel`` gets all counts from
-one action through ``Observation`` when the stages are consumed anyway.
+Spark reuses the exchanges the stages share.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.scalar import paren_thousands, thousands
@@ -25,16 +24,6 @@ def funnel(steps: list[tuple[int, str, DataFrame]]) -> DataFrame:
     return out.toDF("step", "description", "obs")
 
 
-def observe_funnel(stage: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Attach a row-count observation to a stage; read ``obs.get["obs"]`` after an action."""
-    obs = Observation(name)
-    return stage.observe(obs, F.count(F.lit(1)).alias("obs")), obs
-
-
-def funnel_from_counts(spark: SparkSession, rows: list[tuple[int, str, int]]) -> DataFrame:
-    return spark.createDataFrame(rows, "step int, description string, obs long")
-
-
 def funnel_table(sel: DataFrame) -> DataFrame:
     """Adds diff = previous obs - obs and the formatted "12,345" / "(1,234)" strings.
 

@@ -32,33 +32,40 @@ def range_join(left: DataFrame, right: DataFrame, keys: list[str] | dict[str, st
     - ``bucket_days``: when keys carry many ranges, explode each range into the time buckets
       it overlaps and join on (keys, bucket) with the exact range as residual, so a row is
       compared only with ranges near its date (a binned range join). Each row has exactly one
-      bucket, so inner and left results are identical to the unbucketed join; NULL dates and
-      NULL-start ranges go to a shared sentinel bucket. Open ends are capped at the row dates'
-      maximum (one scalar aggregate).
+      bucket, so inner and left results are identical to the unbucketed join; NULL dates have a
+      bucket of their own. The buckets span the dates the ranges name (one scalar aggregate over
+      the ranges); the left side is read once.
     """
     pairs = keys.items() if isinstance(keys, dict) else [(k, k) for k in keys]
     r_keep = right_cols if right_cols is not None else [c for c in right.columns
                                                         if c not in {rk for _, rk in pairs}]
     r = right.select(*[F.col(rk).alias(f"_rk{i}") for i, (_, rk) in enumerate(pairs)],
                      F.col(start).alias("_rstart"), F.col(end).alias("_rend"), *r_keep)
-    cond: Column | None = None
-    for i, (lk, _) in enumerate(pairs):
-        c = left[lk] == r[f"_rk{i}"]
-        cond = c if cond is None else cond & c
     if bucket_days is not None:
         return _bucketed(left, r, pairs, date, how, open_end, null_start_matches, unmatched, bucket_days)
-    d = left[date]
-    end_c = F.coalesce(r["_rend"], F.lit(open_end)) if open_end is not None else r["_rend"]
-    in_range = (d >= r["_rstart"]) & (d <= end_c)
-    if null_start_matches:
-        in_range = r["_rstart"].isNull() | in_range
+    key = _keys_equal(left, r, pairs)
+    on = key & _in_range(left[date], r["_rstart"], r["_rend"], open_end, null_start_matches)
+    helpers = [*[f"_rk{i}" for i in range(len(pairs))], "_rstart", "_rend"]
     if how == "left" and unmatched == "drop":
-        joined = left.join(r, on=cond, how="left")
-        has_key = F.col("_rk0").isNotNull()
-        joined = joined.filter(~has_key | in_range)
-    else:
-        joined = left.join(r, on=cond & in_range, how=how)
-    return joined.drop(*[f"_rk{i}" for i in range(len(pairs))], "_rstart", "_rend")
+        # rows in range, and rows whose key has no range at all: no (row, range) pair of a key is
+        # emitted only to be filtered
+        present = r.select(*[f"_rk{i}" for i in range(len(pairs))]).distinct()
+        alone = left.join(present, _keys_equal(left, present, pairs), "left_anti")
+        return left.join(r, on, "inner").drop(*helpers).unionByName(alone, allowMissingColumns=True)
+    return left.join(r, on=on, how=how).drop(*helpers)
+
+
+def _keys_equal(left: DataFrame, r: DataFrame, pairs) -> Column:
+    cond = F.lit(True)
+    for i, (lk, _) in enumerate(pairs):
+        cond = cond & (left[lk] == r[f"_rk{i}"])
+    return cond
+
+
+def _in_range(d: Column, start: Column, end: Column, open_end, null_start_matches: bool) -> Column:
+    end = F.coalesce(end, F.lit(open_end)) if open_end is not None else end
+    inside = (d >= start) & (d <= end)
+    return start.isNull() | inside if null_start_matches else inside
 
 
 _EPOCH = _dt.date(1970, 1, 1)
@@ -73,30 +80,25 @@ def _bucketed(left: DataFrame, r: DataFrame, pairs, date: str, how: str, open_en
               unmatched: str, days: int) -> DataFrame:
     if how == "left" and unmatched == "drop":
         raise ValueError("bucket_days supports the J1/J2 forms (inner or left keeping unmatched rows)")
-    # the latest row date bounds how far an open or far-future end has to be exploded
-    last = left.agg(F.max(date).alias("_maxd"))
-    end_c = F.coalesce(F.col("_rend"), F.lit(open_end)) if open_end is not None else F.col("_rend")
-    span_end = F.least(end_c, F.col("_maxd"))
-    rb = r.crossJoin(F.broadcast(last))
-    buckets = F.when(F.col("_rstart").isNull(), F.array(F.lit(_NULL_BUCKET)) if null_start_matches else F.array()) \
-        .otherwise(F.when(span_end >= F.col("_rstart"),
-                          F.sequence(_bucket(F.col("_rstart"), days), _bucket(span_end, days)))
-                   .otherwise(F.array().cast("array<bigint>")))
-    rb = rb.withColumn("_rb", F.explode(buckets)).drop("_maxd")
-    lb = left.withColumn("_lb", F.coalesce(_bucket(F.col(date), days), F.lit(_NULL_BUCKET)))
-    if null_start_matches:
-        # NULL-start ranges match every date: give them to every bucket the rows use
-        used = lb.select("_lb").distinct()
-        anyr = r.filter(F.col("_rstart").isNull()).crossJoin(F.broadcast(used)).withColumnRenamed("_lb", "_rb")
-        rb = rb.filter(F.col("_rb") != _NULL_BUCKET).unionByName(anyr)
-    cond = None
-    for i, (lk, _) in enumerate(pairs):
-        c = lb[lk] == rb[f"_rk{i}"]
-        cond = c if cond is None else cond & c
-    d = lb[date]
-    in_range = (d >= rb["_rstart"]) & (d <= (F.coalesce(rb["_rend"], F.lit(open_end)) if open_end is not None
-                                             else rb["_rend"]))
-    if null_start_matches:
-        in_range = rb["_rstart"].isNull() | in_range
-    joined = lb.join(rb, on=cond & (lb["_lb"] == rb["_rb"]) & in_range, how=how)
-    return joined.drop(*[f"_rk{i}" for i in range(len(pairs))], "_rstart", "_rend", "_lb", "_rb")
+    # buckets run from the first to the last date that any range names; earlier and later rows share
+    # the end buckets, so open ends need no date of the left side
+    span = r.agg(F.coalesce(_bucket(F.min(F.least("_rstart", "_rend")), days), F.lit(0)).alias("_b0"),
+                 F.coalesce(_bucket(F.max(F.greatest("_rstart", "_rend")), days), F.lit(0)).alias("_b1"))
+    one = F.broadcast(span)  # a single row
+
+    def clamp(c: Column) -> Column:
+        return F.least(F.greatest(c, F.col("_b0")), F.col("_b1"))
+
+    end = F.coalesce(F.col("_rend"), F.lit(open_end)) if open_end is not None else F.col("_rend")
+    none = F.array().cast("array<bigint>")
+    # a NULL start matches every date: all buckets, and that of rows without a date
+    anywhere = F.concat(F.sequence(F.col("_b0"), F.col("_b1")), F.array(F.lit(_NULL_BUCKET).cast("bigint"))) \
+        if null_start_matches else none
+    buckets = F.when(F.col("_rstart").isNull(), anywhere).when(
+        end >= F.col("_rstart"), F.sequence(clamp(_bucket(F.col("_rstart"), days)), clamp(_bucket(end, days)))).otherwise(none)
+    rb = r.crossJoin(one).withColumn("_rb", F.explode(buckets)).drop("_b0", "_b1")
+    lb = left.crossJoin(one).withColumn("_lb", F.when(F.col(date).isNull(), F.lit(_NULL_BUCKET)).otherwise(
+        clamp(_bucket(F.col(date), days)))).drop("_b0", "_b1")
+    on = _keys_equal(lb, rb, pairs) & (lb["_lb"] == rb["_rb"]) & _in_range(lb[date], rb["_rstart"], rb["_rend"], open_end,
+                                                                          null_start_matches)
+    return lb.join(rb, on=on, how=how).drop(*[f"_rk{i}" for i in range(len(pairs))], "_rstart", "_rend", "_lb", "_rb")

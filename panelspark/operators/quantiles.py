@@ -2,15 +2,13 @@
 
 Spark's exact ``percentile``/``percentile_disc`` keep a value->count map of the whole
 group on one task, and a global ``row_number`` sorts everything on one partition; neither
-survives 100 TB. Here:
-
-* ``quantiles`` is a distributed selection. A pass computes, per group and target rank,
-  exact counts below and inside a value bracket plus an approximate quantile grid of the
-  rows inside it (``percentile_approx``, a bounded sketch merged map-side). The grid
-  narrows the bracket; exact counts check it, so the sketch's error only costs another
-  pass, never a wrong answer. When a bracket holds at most ``exact_rows`` rows the
-  bracket's rows are aggregated by value (ties collapse map-side) and the target is read
-  from a running count. Only brackets and counts live in the (per-group) state frame.
+survives 100 TB. Here, with one plan at every size:
+
+* ``quantiles`` counts rows per (group, column, value) (ties collapse map-side), range
+  partitions these cells, and sums the counts per partition. A running total over that small
+  table (partitions x groups) tells which partition holds each target rank; only those
+  partitions are sorted, and the target is read from their running counts. A group of any
+  size is spread over the range partitions.
 * ``rank_rows`` gives every row its 1-based position inside its group: range partition on
   (group, value, tie-breakers), sort inside partitions, number rows per partition, and add
   the counts of all earlier partitions (a table of partitions x groups).
@@ -31,10 +29,6 @@ from pyspark.sql import functions as F
 from panelspark.session import reliable_checkpoint
 
 RULES = ("lower", "higher", "nearest", "linear", "midpoint", "type2")
-GRID = 1000
-ACCURACY = 10000
-EXACT_ROWS = 1_000_000
-MAX_PASSES = 8
 BROADCAST_STATE_ROWS = 100_000
 _EPS4 = 4 * 2.220446049250313e-16
 
@@ -87,19 +81,36 @@ def _and(conds: list[Column]) -> Column:
     return out
 
 
-def _gmax(cols: list[Column]) -> Column:
-    return cols[0] if len(cols) == 1 else F.greatest(*cols)
+def null_safe(left: list[str], right: list[str]) -> Column:
+    """All pairs equal, NULL equal to NULL; true for no pairs."""
+    return _and([F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)] or [F.lit(True)])
+
+
+def value_cells(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
+    """(by, _c column index, _v value, _cnt rows, _pid partition): distinct values range partitioned in
+    order of (by, _c, _v). A NULL value has count 0, so a group without values stays visible.
 
+    Which partition a value falls in depends on a sample, so the cells are checkpointed: every
+    reader sees the same layout, also after a lost executor."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("x"))
+                                for i, c in enumerate(cols)])).alias("_p")
+    cells = (df.select(*by, pairs).groupBy(*by, F.col("_p.c").alias("_c"), F.col("_p.x").alias("_v"))
+             .agg(F.count("_p.x").alias("_cnt")))
+    return reliable_checkpoint(cells.repartitionByRange(n, *by, "_c", "_v").withColumn("_pid", F.spark_partition_id()))
 
-def _join_state(df: DataFrame, state: DataFrame, by: list[str], small: bool) -> DataFrame:
-    s = F.broadcast(state) if small else state
-    if not by:
-        return df.crossJoin(s)
-    return df.join(s, on=by, how="inner")
 
+def cell_offsets(cells: DataFrame, by: list[str]) -> DataFrame:
+    """(by, _c, _pid, _part, _off, _n): rows of a group in a partition, in all earlier ones, and in all.
+    One row per (group, column) and partition it reaches."""
+    w = Window.partitionBy(*by, "_c")
+    before = w.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    return (cells.groupBy(*by, "_c", "_pid").agg(F.sum("_cnt").alias("_part"))
+            .withColumn("_off", F.coalesce(F.sum("_part").over(before), F.lit(0)))
+            .withColumn("_n", F.sum("_part").over(w)))
 
-def quantiles(df: DataFrame, specs: list[QSpec], by: list[str] | None = None,
-              exact_rows: int = EXACT_ROWS, grid: int = GRID, accuracy: int = ACCURACY) -> DataFrame:
+
+def quantiles(df: DataFrame, specs: list[QSpec], by: list[str] | None = None) -> DataFrame:
     """Exact quantiles: one row per group with one column per spec (``spec.out``).
 
     NULLs are ignored; a group with no non-NULL value gets NULL.
@@ -107,130 +118,40 @@ def quantiles(df: DataFrame, specs: list[QSpec], by: list[str] | None = None,
     by = list(by or [])
     cols = sorted({s.col for s in specs})
     ci = {c: i for i, c in enumerate(cols)}
-    data = df.select(*by, *[F.col(c).cast("double").alias(f"_x{ci[c]}") for c in cols])
-    fracs = [i / grid for i in range(grid + 1)]
-
-    # pass 1: sizes; an approximate grid per column only when some group is too big to finish directly
-    counts = [F.count(F.col(f"_x{ci[c]}")).alias(f"_n{ci[c]}") for c in cols]
-    sizes = reliable_checkpoint(data.groupBy(*by).agg(*counts) if by else data.agg(*counts))
-    largest = sizes.agg(_gmax([F.max(f"_n{i}") for i in range(len(cols))]).alias("m")).first()["m"] or 0
-    direct = largest <= exact_rows
-    if direct:
-        base = sizes.select("*", *[F.lit(None).cast("array<double>").alias(f"_g{i}") for i in range(len(cols))])
-    else:
-        aggs = [F.count(F.col(f"_x{ci[c]}")).alias(f"_n{ci[c]}") for c in cols]
-        aggs += [F.percentile_approx(F.col(f"_x{ci[c]}"), fracs, accuracy).alias(f"_g{ci[c]}") for c in cols]
-        base = data.groupBy(*by).agg(*aggs) if by else data.agg(*aggs)
-
-    # targets: every distinct (column, rank expression)
-    targets: list[tuple[int, Column]] = []  # (column index, k column)
-    combos = []  # per spec: (tid_lo, tid_hi, weight column, n column)
+    cells = value_cells(df, cols, by)
+    offsets = cell_offsets(cells, by)
+
+    # targets: every (column, rank expression) a spec needs
+    targets: list[tuple[int, str]] = []
+    combos = []  # per spec: (tid_lo, tid_hi, weight, n)
     for s in specs:
         n = f"_n{ci[s.col]}"
         lo, hi, w = _positions(s.rule, n, s.q)
-        t_lo = len(targets)
+        t_lo = t_hi = len(targets)
         targets.append((ci[s.col], lo))
-        t_hi = t_lo
         if s.rule not in ("lower", "higher", "nearest"):
             t_hi = len(targets)
             targets.append((ci[s.col], hi))
         combos.append((t_lo, t_hi, w, n))
 
-    state_cols = [*by, *[f"_n{i}" for i in range(len(cols))]]
-    sel = [f"`{c}`" for c in state_cols]
-    for t, (c, k) in enumerate(targets):
-        sel += [f"CAST({k} AS BIGINT) AS _k{t}", f"CAST(NULL AS DOUBLE) AS _lo{t}",
-                f"CAST(NULL AS DOUBLE) AS _hi{t}", f"CAST(0 AS BIGINT) AS _below{t}",
-                f"CAST(_n{c} AS BIGINT) AS _in{t}", f"_g{c} AS _grid{t}", f"1 AS _slack{t}"]
-    state = reliable_checkpoint(base.selectExpr(*sel))
-    n_groups = state.count() if by else 1
-    small = n_groups <= BROADCAST_STATE_ROWS
-    if direct:
-        return reliable_checkpoint(_finish_direct(data, state, targets, combos, specs, cols, by, small))
-
-    def in_bracket(x: Column, lo: Column, hi: Column) -> Column:
-        return (lo.isNull() | (x >= lo)) & (hi.isNull() | (x <= hi))
-
-    for _ in range(MAX_PASSES):
-        # a bracket collapsed to one value is decided, however many tied rows it holds
-        open_in = [F.when(F.col(f"_lo{t}").isNotNull() & (F.col(f"_lo{t}") == F.col(f"_hi{t}")), F.lit(0))
-                   .otherwise(F.col(f"_in{t}")) for t in range(len(targets))]
-        big = state.agg(F.max(_gmax(open_in))).first()[0]
-        if big is None or big <= exact_rows:
-            break
-        # propose narrower brackets from each target's grid
-        prop = []
-        for t, (c, _) in enumerate(targets):
-            k, below, inside = F.col(f"_k{t}"), F.col(f"_below{t}"), F.col(f"_in{t}")
-            g, slack = F.col(f"_grid{t}"), F.col(f"_slack{t}")
-            i_est = (k - below).cast("double") / F.greatest(inside - 1, F.lit(1)).cast("double") * grid
-            i_lo, i_hi = F.floor(i_est) - slack, F.ceil(i_est) + slack
-            decided = F.col(f"_lo{t}").isNotNull() & (F.col(f"_lo{t}") == F.col(f"_hi{t}"))
-            shrink = (inside > exact_rows) & ~decided
-            new_lo = F.when(shrink & (i_lo >= 0), F.element_at(g, (i_lo + 1).cast("int"))).otherwise(F.col(f"_lo{t}"))
-            new_hi = F.when(shrink & (i_hi <= grid), F.element_at(g, (i_hi + 1).cast("int"))).otherwise(F.col(f"_hi{t}"))
-            prop += [new_lo.alias(f"_plo{t}"), new_hi.alias(f"_phi{t}")]
-        proposed = state.select("*", *prop)
-        joined = _join_state(data, proposed.select(*by, *[f"_plo{t}" for t in range(len(targets))],
-                                                     *[f"_phi{t}" for t in range(len(targets))]), by, small)
-        aggs = []
-        for t, (c, _) in enumerate(targets):
-            x, lo, hi = F.col(f"_x{c}"), F.col(f"_plo{t}"), F.col(f"_phi{t}")
-            inb = x.isNotNull() & in_bracket(x, lo, hi)
-            aggs += [F.count(F.when(x.isNotNull() & lo.isNotNull() & (x < lo), 1)).alias(f"_cb{t}"),
-                     F.count(F.when(inb, 1)).alias(f"_ci{t}"),
-                     F.percentile_approx(F.when(inb, x), fracs, accuracy).alias(f"_cg{t}")]
-        counted = joined.groupBy(*by).agg(*aggs) if by else joined.agg(*aggs)
-        merged = proposed.crossJoin(counted) if not by else proposed.join(counted, on=by, how="inner")
-        nxt = [F.col(c) for c in state_cols]
-        for t in range(len(targets)):
-            k = F.col(f"_k{t}")
-            ok = (F.col(f"_cb{t}") <= k) & (k < F.col(f"_cb{t}") + F.col(f"_ci{t}"))
-            keep = lambda new, old: F.when(ok, F.col(new)).otherwise(F.col(old))
-            nxt += [k.alias(f"_k{t}"), keep(f"_plo{t}", f"_lo{t}").alias(f"_lo{t}"),
-                    keep(f"_phi{t}", f"_hi{t}").alias(f"_hi{t}"),
-                    keep(f"_cb{t}", f"_below{t}").alias(f"_below{t}"),
-                    keep(f"_ci{t}", f"_in{t}").alias(f"_in{t}"),
-                    keep(f"_cg{t}", f"_grid{t}").alias(f"_grid{t}"),
-                    F.when(ok, F.lit(1)).otherwise(F.col(f"_slack{t}") * 4).alias(f"_slack{t}")]
-        new_state = reliable_checkpoint(merged.select(*nxt))
-        # stop when no bracket moved (all ties / no progress): the exact finish handles it
-        moved = new_state.join(state.select(*by, *[F.col(f"_in{t}").alias(f"_old{t}") for t in range(len(targets))]),
-                               on=by, how="inner") if by else new_state.crossJoin(
-            state.select(*[F.col(f"_in{t}").alias(f"_old{t}") for t in range(len(targets))]))
-        progress = moved.agg(F.max(_gmax([(F.col(f"_old{t}") - F.col(f"_in{t}"))
-                                              for t in range(len(targets))]))).first()[0]
-        state = new_state
-        if not progress or progress <= 0:
-            # a failed proposal widened slack; try again unless nothing can change
-            slack_max = state.agg(F.max(_gmax([F.col(f"_slack{t}") for t in range(len(targets))]))).first()[0]
-            if slack_max is None or slack_max > grid:
-                break
-
-    # exact finish: bracket rows aggregated by value, running counts per (group, target)
-    sstate = state.select(*by, *[c for t in range(len(targets)) for c in (f"_lo{t}", f"_hi{t}")])
-    joined = _join_state(data, sstate, by, small)
-    hits = F.filter(F.array(*[F.when(F.col(f"_x{c}").isNotNull()
-                                     & in_bracket(F.col(f"_x{c}"), F.col(f"_lo{t}"), F.col(f"_hi{t}")),
-                                     F.struct(F.lit(t).alias("t"), F.col(f"_x{c}").alias("x")))
-                              for t, (c, _) in enumerate(targets)]), lambda s: s.isNotNull())
-    cells = (joined.select(*by, F.explode(hits).alias("_h"))
-             .groupBy(*by, F.col("_h.t").alias("_t"), F.col("_h.x").alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
-    kb = state.select(*by, F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col(f"_k{t}").alias("k"),
-                                                          F.col(f"_below{t}").alias("b"))
-                                               for t in range(len(targets))])).alias("_s"))
-    kb = kb.select(*by, F.col("_s.t").alias("_t"), F.col("_s.k").alias("_k"), F.col("_s.b").alias("_b"))
-    w = Window.partitionBy(*by, "_t").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (cells.join(F.broadcast(kb) if small else kb, on=[*by, "_t"], how="inner")
-              .withColumn("_cum", F.col("_b") + F.sum("_c").over(w))
-              .filter(F.col("_cum") > F.col("_k")))
-    picked = ranked.groupBy(*by, "_t").agg(F.min("_v").alias("_val"))
-    wide = picked.groupBy(*by).agg(*[F.max(F.when(F.col("_t") == t, F.col("_val"))).alias(f"_v{t}")
-                                     for t in range(len(targets))]) if by else picked.agg(
-        *[F.max(F.when(F.col("_t") == t, F.col("_val"))).alias(f"_v{t}") for t in range(len(targets))])
-    res_base = state.select(*by, *[f"_n{i}" for i in range(len(cols))])
-    res = res_base.join(wide, on=by, how="left") if by else res_base.crossJoin(wide)
-    return reliable_checkpoint(_combine(res, specs, combos, by))
+    sizes = offsets.groupBy(*by).agg(*[F.coalesce(F.max(F.when(F.col("_c") == i, F.col("_n"))), F.lit(0)).alias(f"_n{i}")
+                                       for i in range(len(cols))])
+    bt, bh, bw = ([f"_{x}{i}" for i in range(len(by))] for x in ("bt", "bh", "bw"))
+    structs = ", ".join(f"named_struct('t', {t}, 'c', {c}, 'k', CAST({k} AS BIGINT))" for t, (c, k) in enumerate(targets))
+    wanted = sizes.select(*[F.col(b).alias(x) for b, x in zip(by, bt)], F.explode(F.expr(f"array({structs})")).alias("_s"))
+    # the partition that holds each target's rank; at most one row per group and target
+    hits = offsets.join(wanted, null_safe(by, bt) & (F.col("_c") == F.col("_s.c")) & (F.col("_off") <= F.col("_s.k"))
+                        & (F.col("_s.k") < F.col("_off") + F.col("_part")))
+    hits = hits.groupBy(*[F.col(b).alias(x) for b, x in zip(by, bh)], F.col("_c").alias("_hc"), F.col("_pid").alias("_hp"),
+                        F.col("_off").alias("_ho")).agg(F.collect_list("_s").alias("_ts"))
+    run = (Window.partitionBy(*by, "_c", "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cum = (cells.join(hits, null_safe(by, bh) & (F.col("_c") == F.col("_hc")) & (F.col("_pid") == F.col("_hp")))
+           .withColumn("_cum", F.col("_ho") + F.sum("_cnt").over(run)))
+    found = cum.select(*[F.col(b).alias(x) for b, x in zip(by, bw)], "_v", F.explode(F.filter(
+        "_ts", lambda s: (F.col("_cum") - F.col("_cnt") <= s["k"]) & (s["k"] < F.col("_cum")))).alias("_s"))
+    wide = found.groupBy(*bw).agg(*[F.expr(f"max(CASE WHEN _s.t = {t} THEN _v END) AS _v{t}") for t in range(len(targets))])
+    res = sizes.join(wide, null_safe(by, bw), how="left") if by else sizes.crossJoin(F.broadcast(wide))
+    return _combine(res, specs, combos, by)
 
 
 def _combine(res: DataFrame, specs: list[QSpec], combos, by: list[str]) -> DataFrame:
@@ -245,34 +166,6 @@ def _combine(res: DataFrame, specs: list[QSpec], combos, by: list[str]) -> DataF
     return res.selectExpr(*[f"`{b}`" for b in by], *outs)
 
 
-def _finish_direct(data: DataFrame, state: DataFrame, targets, combos, specs, cols, by, small) -> DataFrame:
-    """Every group has at most ``exact_rows`` values per column: count rows per distinct value
-    (ties collapse map-side), run a cumulative count per (group, column) and let each target
-    pick the value whose count range holds its rank. Rows are never copied per target."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"_x{i}").alias("x"))
-                                for i in range(len(cols))])).alias("_p")
-    cells = (data.select(*by, pairs).select(*by, F.col("_p.c").alias("_c"), F.col("_p.x").alias("_v"))
-             .filter(F.col("_v").isNotNull())
-             .groupBy(*by, "_c", "_v").agg(F.count(F.lit(1)).alias("_cnt")))
-    # bounded: each (group, column) window holds at most exact_rows distinct values
-    w = Window.partitionBy(*by, "_c").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = cells.withColumn("_cum", F.sum("_cnt").over(w)).withColumn("_prev", F.col("_cum") - F.col("_cnt"))
-    structs = ", ".join(f"named_struct('t', {t}, 'c', {c}, 'k', _k{t})" for t, (c, _) in enumerate(targets))
-    tk = state.selectExpr(*[f"`{b}`" for b in by], f"explode(array({structs})) AS _s")
-    # distinct names on the target side: both sides share lineage, so bare names would be ambiguous
-    tk = tk.select(*[F.col(b).alias(f"_tb{i}") for i, b in enumerate(by)], F.col("_s.t").alias("_t"),
-                   F.col("_s.c").alias("_tc"), F.col("_s.k").alias("_k"))
-    cond = ([F.col(b) == F.col(f"_tb{i}") for i, b in enumerate(by)]
-            + [F.col("_c") == F.col("_tc"), F.col("_prev") <= F.col("_k"), F.col("_k") < F.col("_cum")])
-    joined = cum.join(F.broadcast(tk) if small else tk, on=_and(cond), how="inner")
-    hit = joined.select(*by, "_t", "_v")
-    aggs = [F.expr(f"max(CASE WHEN _t = {t} THEN _v END) AS _v{t}") for t in range(len(targets))]
-    wide = hit.groupBy(*by).agg(*aggs) if by else hit.agg(*aggs)
-    res_base = state.select(*by, *[f"_n{i}" for i in range(len(cols))])
-    res = res_base.join(wide, on=by, how="left") if by else res_base.crossJoin(wide)
-    return _combine(res, specs, combos, by)
-
-
 def quantile(df: DataFrame, col: str, q: float | list[float], rule: str = "linear",
              by: list[str] | None = None, prefix: str | None = None) -> DataFrame:
     qs = q if isinstance(q, list) else [q]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.scalar import decade_label, thousands
-from panelspark.operators.quantiles import BROADCAST_STATE_ROWS, EXACT_ROWS, QSpec, quantiles, rank_rows
+from panelspark.operators.quantiles import BROADCAST_STATE_ROWS, QSpec, cell_offsets, quantiles, value_cells
 from panelspark.operators.transforms import qcut
 from panelspark.session import reliable_checkpoint
 
@@ -72,46 +72,26 @@ def _square(one: DataFrame, cols: list[str], names: dict[str, str], key, lower_k
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*").orderBy("_order").drop("_order")
 
 
-def average_ranks(df: DataFrame, col: str, out: str, row_key: list[str]) -> DataFrame:
-    """Average rank of ``col`` (ties share the mean of their positions), 1-based; NULL stays NULL.
+def average_ranks(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Adds ``{c}__rk`` (average rank, 1-based, ties share their mean, NULL stays NULL) for every column.
 
-    Positions come from the distributed ``rank_rows`` (``row_key`` makes the order unique);
-    tie groups are reduced by an aggregate, never by a window over a hot value.
+    Rows are reduced to (column, value, count) by one aggregation (ties collapse map-side) and range
+    partitioned; rank(v) = #(x < v) + (#(x = v) + 1) / 2 comes from the counts of earlier partitions
+    and a running count inside each. The ranks return by value: broadcast where counted to be few,
+    otherwise a shuffle join in which AQE splits a hot value.
     """
-    valid = df.filter(F.col(col).isNotNull())
-    ranked = rank_rows(valid.select(*row_key, col), [col, *row_key], rank="_pos", size="_len")
-    ties = ranked.groupBy(col).agg(((F.min("_pos") + F.max("_pos")) / 2.0).alias(out))
-    n_ties = ties.count()
-    t = F.broadcast(ties) if n_ties <= BROADCAST_STATE_ROWS else ties
-    return df.join(t, on=col, how="left")
-
-
-def average_ranks_many(df: DataFrame, cols: list[str], row_key: list[str],
-                       max_distinct: int = EXACT_ROWS) -> DataFrame:
-    """Adds ``{c}__rk`` (average rank, 1-based, NULL stays NULL) for every column in one pass.
-
-    Rows are reduced to (column, value, count) by one aggregation (ties collapse map-side);
-    a running count over each column's distinct values gives
-    rank(v) = #(x < v) + (#(x = v) + 1) / 2. That window holds at most ``max_distinct``
-    values (checked); a column with more distinct values uses the distributed ``rank_rows``.
-    """
-    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("x"))
-                                for i, c in enumerate(cols)])).alias("_p")
-    cells = (df.select(pairs).select(F.col("_p.c").alias("_c"), F.col("_p.x").alias("_x"))
-             .filter(F.col("_x").isNotNull()).groupBy("_c", "_x").agg(F.count(F.lit(1)).alias("_cnt")))
-    cells = reliable_checkpoint(cells)
-    distinct = {r["_c"]: r["n"] for r in cells.groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
-    w = Window.partitionBy("_c").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    small_cols = [i for i in range(len(cols)) if distinct.get(i, 0) <= max_distinct]
-    ranks = (cells.filter(F.col("_c").isin(small_cols))
-             .withColumn("_rk", F.sum("_cnt").over(w) - F.col("_cnt") + (F.col("_cnt") + 1) / 2.0))
+    cells = value_cells(df, cols, [])
+    offsets = cell_offsets(cells, []).select(F.col("_c").alias("_oc"), F.col("_pid").alias("_op"), "_off")
+    w = Window.partitionBy("_c", "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranks = (cells.filter(F.col("_cnt") > 0)
+             .join(offsets, (F.col("_c") == F.col("_oc")) & (F.col("_pid") == F.col("_op")))
+             .select("_c", "_v", (F.col("_off") + F.sum("_cnt").over(w) - F.col("_cnt") + (F.col("_cnt") + 1) / 2.0)
+                     .alias("_rk")))
     ranks = reliable_checkpoint(ranks)
+    distinct = {r["_c"]: r["n"] for r in ranks.groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
     out = df
     for i, c in enumerate(cols):
-        if i not in small_cols:
-            out = average_ranks(out, c, f"{c}__rk", row_key)
-            continue
-        r = ranks.filter(F.col("_c") == i).select(F.col("_x").alias(f"_x{i}"), F.col("_rk").alias(f"{c}__rk"))
+        r = ranks.filter(F.col("_c") == i).select(F.col("_v").alias(f"_x{i}"), F.col("_rk").alias(f"{c}__rk"))
         r = F.broadcast(r) if distinct.get(i, 0) <= BROADCAST_STATE_ROWS else r
         out = out.join(r, on=F.col(c).cast("double") == F.col(f"_x{i}"), how="left").drop(f"_x{i}")
     return out
@@ -125,7 +105,7 @@ def pearson_spearman(df: DataFrame, cols: list[str], row_key: list[str],
     complete = df
     for c in cols:
         complete = complete.filter(F.col(c).isNotNull())
-    ranked = average_ranks_many(complete.select(*row_key, *cols), cols, row_key)
+    ranked = average_ranks(complete.select(*row_key, *cols), cols)
     pear = {(a, b): safe_corr(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]}
     spear = {(a, b): safe_corr(f"{a}__rk", f"{b}__rk") for i, a in enumerate(cols) for b in cols[i + 1:]}
     p = df.agg(*[c.alias(f"p__{a}__{b}") for (a, b), c in pear.items()])

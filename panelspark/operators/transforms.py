@@ -1,8 +1,7 @@
 """Robust column transforms: winsorize, truncate, standardize, n-tiles and quantile bins.
 
 Statistics come from exact, distributed aggregates (``quantiles``) and return as one
-row per group; they are joined back (broadcast when the group count is small, which
-is checked). No unpartitioned window ever touches the data rows.
+row per group, joined back. No unpartitioned window ever touches the data rows.
 """
 
 from __future__ import annotations
@@ -10,14 +9,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.operators.quantiles import BROADCAST_STATE_ROWS, QSpec, quantiles, rank_rows
+from panelspark.operators.quantiles import QSpec, null_safe, quantiles, rank_rows
 
 
 def _attach(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
+    """``stats`` (one row per group) beside the rows of its group, NULL being a group like any other.
+    Without groups it is one row; with groups AQE picks broadcast or shuffle from the real size."""
     if not by:
         return df.crossJoin(F.broadcast(stats))
-    n = stats.count()  # stats are one row per group: a cheap, bounded action
-    return df.join(F.broadcast(stats) if n <= BROADCAST_STATE_ROWS else stats, on=by, how="left")
+    keys = [f"_by{i}" for i in range(len(by))]
+    stats = stats.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], *[c for c in stats.columns if c not in by])
+    return df.join(stats, null_safe(by, keys), how="left").drop(*keys)
 
 
 def cut_points(df: DataFrame, cols: list[str], lower: float | None, upper: float | None,

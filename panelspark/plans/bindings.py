@@ -1,16 +1,18 @@
 """Roles played by the driver tables (orders, lineitem, part) in the event-study pipeline.
 
-Each binding is a plain DataFrame derivation whose size grows with the input tables.
-``panelspark.plans.oracle`` holds the same derivations as DuckDB SQL; the two must stay
-in step (the correctness gate compares them).
+Each binding is a plain DataFrame derivation of whole tables; the number of entities is half the
+number of suppliers, so every role grows with the input. A trading period is an ISO week, dated by
+its Monday: about 1,200 line items per entity over some 360 weeks keep the series dense at every
+scale factor. ``panelspark.plans.oracle`` holds the same derivations as DuckDB SQL; the two must
+stay in step (the correctness gate compares them).
 
 Role                 source      meaning
-panel_raw            orders      one row per order = a firm-quarter filing with duplicate keys
+panel_raw            orders      filings: orders per firm, quarter and late-filing flag, with duplicate keys
 links                orders      validity-range link gvkey -> permno (overlapping, some open-ended)
-name_history         part        dated SIC codes per permno, contiguous ranges
-daily_returns        lineitem    (permno, trading day, return), weekdays only
-market_index         lineitem    value-weighted market return per trading day
-event_keys           orders      (permno, event date) of urgent orders, for the stand-alone windows
+name_history         part        dated SIC codes per permno, contiguous ranges of whole days
+daily_returns        lineitem    (permno, trading week, return)
+market_index         lineitem    value-weighted market return per trading week
+event_keys           orders      (permno, event date) of all orders, for the stand-alone windows
 reg_panel            lineitem    a large analysis panel for transforms, tables and regressions
 user_returns         events      a second daily series: (user, day, mean value / 1000), a cross-check
 user_events          events      (user, day) of error events, the second set of event dates
@@ -27,44 +29,53 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 # Fixed values of the synthetic roles (must equal the SQL twins in oracle.py)
 NAME_HISTORY_START = "1995-01-01"
 NAME_HISTORY_SPAN_DAYS = 2700
-N_ENTITIES = 20
 LINK_DAYS = 120
+FIRM_CUSTOMERS = 5  # customers whose orders make up one firm's filings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _quarter_end(d: Column, months_ahead: Column) -> Column:
-    return F.last_day(F.add_months(F.trunc(d, "quarter"), months_ahead))
+def _with_entities(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adds ``_ne``, the number of entities: one aggregated row, so the broadcast has a proven bound."""
+    n = table(spark, sf_dir, "supplier").agg(F.greatest(F.expr("count(*) div 2"), F.lit(1)).alias("_ne"))
+    return df.crossJoin(F.broadcast(n))
+
+
+def _firm() -> Column:
+    return F.expr(f"o_custkey div {FIRM_CUSTOMERS}")
 
 
 def panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     d = F.to_date("o_orderdate")
-    # every 11th order closes the previous quarter: a fiscal-year change, so (gvkey, datadate) repeats
-    months = F.when(F.col("o_orderkey") % 11 == 0, F.lit(-1)).otherwise(F.lit(2))
-    datadate = _quarter_end(d, months)
-    return o.select(
-        F.col("o_custkey").cast("string").alias("gvkey"),
+    # every 19th order closes the previous quarter: a fiscal-year change, so (gvkey, datadate) repeats
+    filings = o.groupBy(_firm().cast("string").alias("gvkey"), F.year(d).cast("int").alias("fyearq"),
+                        F.quarter(d).cast("int").alias("fqtr"), F.to_date(F.trunc(d, "quarter")).alias("_q"),
+                        (F.col("o_orderkey") % 19 == 0).alias("_late")).agg(
+        F.min("o_orderkey").alias("_k"), F.max("o_totalprice").alias("_price"))
+    datadate = F.last_day(F.add_months("_q", F.when(F.col("_late"), F.lit(-1)).otherwise(F.lit(2))))
+    return filings.select(
+        "gvkey",
         datadate.alias("datadate"),
-        F.year(d).cast("int").alias("fyearq"),
-        F.quarter(d).cast("int").alias("fqtr"),
-        F.date_add(datadate, (F.lit(20) + F.col("o_orderkey") % 30).cast("int")).alias("rdq"),
-        (F.col("o_totalprice") / 1000).alias("saleq"),
-        # earnings move with sales plus an order-specific part, so their changes can disagree in sign
-        (F.col("o_totalprice") / 1000 - 250 + ((F.col("o_orderkey") % 7) - 3).cast("double") * 20.0).alias("ibq"),
-        (F.lit(1) + F.col("o_orderkey") % 50).cast("double").alias("cshoq"),
-        (F.col("o_totalprice") / 10000).alias("prccq"),
+        "fyearq",
+        "fqtr",
+        F.date_add(datadate, (F.lit(20) + F.col("_k") % 60).cast("int")).alias("rdq"),
+        (F.col("_price") / 1000).alias("saleq"),
+        # earnings move with sales plus a filing-specific part, so their changes can disagree in sign
+        (F.col("_price") / 1000 - 250 + ((F.col("_k") % 7) - 3).cast("double") * 20.0).alias("ibq"),
+        (F.lit(1) + F.col("_k") % 50).cast("double").alias("cshoq"),
+        (F.col("_price") / 10000).alias("prccq"),
     )
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    o = _with_entities(table(spark, sf_dir, "orders"), spark, sf_dir)
     d = F.to_date("o_orderdate")
     return o.select(
-        F.col("o_custkey").cast("string").alias("gvkey"),
-        (F.col("o_custkey") % N_ENTITIES).cast("int").alias("lpermno"),
+        _firm().cast("string").alias("gvkey"),
+        (_firm() % F.col("_ne")).cast("int").alias("lpermno"),
         F.when(F.col("o_orderstatus") == "F", "LC").when(F.col("o_orderstatus") == "O", "LU")
         .otherwise("NR").alias("linktype"),
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM"), "P")
@@ -76,44 +87,40 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def name_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
-    # slots per entity scale with the part table: one scalar aggregate, broadcast as one row
-    nslots = p.agg((F.floor(F.max("p_partkey") / N_ENTITIES) + 1).alias("_nslots"))
-    slot = F.floor(F.col("p_partkey") / N_ENTITIES)
+    p = _with_entities(table(spark, sf_dir, "part"), spark, sf_dir)
+    # parts per entity do not depend on the scale factor: about 40 ranges of some 67 days each
+    slots = p.agg(F.max(F.expr("p_partkey div _ne + 1")).alias("_ns"))
     start = F.lit(NAME_HISTORY_START).cast("date")
-    span = float(NAME_HISTORY_SPAN_DAYS)
-    return p.crossJoin(F.broadcast(nslots)).select(
-        (F.col("p_partkey") % N_ENTITIES).cast("int").alias("permno"),
-        F.date_add(start, F.floor(slot * span / F.col("_nslots")).cast("int")).alias("namedt"),
-        F.date_sub(F.date_add(start, F.floor((slot + 1) * span / F.col("_nslots")).cast("int")), 1)
-        .alias("nameenddt"),
+    first = f"CAST((p_partkey div _ne) * {NAME_HISTORY_SPAN_DAYS} div _ns AS INT)"
+    after = f"CAST((p_partkey div _ne + 1) * {NAME_HISTORY_SPAN_DAYS} div _ns AS INT)"
+    return p.crossJoin(F.broadcast(slots)).select(
+        (F.col("p_partkey") % F.col("_ne")).cast("int").alias("permno"),
+        F.date_add(start, F.expr(first)).alias("namedt"),
+        F.date_add(start, F.expr(after) - 1).alias("nameenddt"),
         (F.lit(100) + (F.col("p_partkey") * 37) % 9900).cast("int").alias("siccd"),
     )
 
 
-def _weekday_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    return li.withColumn("dlycaldt", F.to_date("l_shipdate")).filter(F.weekday("dlycaldt") < 5)
+def _weekly_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").withColumn("dlycaldt", F.trunc(F.to_date("l_shipdate"), "week"))
 
 
 def daily_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (_weekday_lines(spark, sf_dir)
-            .groupBy((F.col("l_suppkey") % N_ENTITIES).cast("int").alias("permno"), "dlycaldt")
+    return (_with_entities(_weekly_lines(spark, sf_dir), spark, sf_dir)
+            .groupBy((F.col("l_suppkey") % F.col("_ne")).cast("int").alias("permno"), "dlycaldt")
             .agg((F.avg("l_discount") - F.avg("l_tax")).alias("dlyret")))
 
 
 def market_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (_weekday_lines(spark, sf_dir).groupBy("dlycaldt")
+    return (_weekly_lines(spark, sf_dir).groupBy("dlycaldt")
             .agg((F.sum(F.col("l_extendedprice") * F.col("l_discount")) / F.sum("l_extendedprice")
                   - F.avg("l_tax")).alias("dlytotret")))
 
 
 def event_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    return (o.filter(F.col("o_orderpriority") == "1-URGENT")
-            .select((F.col("o_custkey") % N_ENTITIES).cast("int").alias("permno"),
-                    F.to_date("o_orderdate").alias("rdq"))
-            .distinct())
+    o = _with_entities(table(spark, sf_dir, "orders"), spark, sf_dir)
+    return o.select((F.col("o_custkey") % F.col("_ne")).cast("int").alias("permno"),
+                    F.to_date("o_orderdate").alias("rdq")).distinct()
 
 
 def reg_panel(spark: SparkSession, sf_dir: str) -> DataFrame:

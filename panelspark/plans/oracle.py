@@ -8,52 +8,46 @@ from __future__ import annotations
 
 import re
 
-from panelspark.plans.bindings import N_ENTITIES
-
 BINDINGS: dict[str, str] = {
+    "entities": """SELECT greatest(count(*) // 2, 1) AS ne FROM supplier""",
     "panel_raw": """
-        SELECT gvkey, datadate, fyearq, fqtr, CAST(datadate + CAST(20 + o_orderkey % 30 AS INTEGER) AS DATE) AS rdq,
-               saleq, ibq, cshoq, prccq
-        FROM (SELECT CAST(o_custkey AS VARCHAR) AS gvkey,
+        SELECT gvkey, datadate, fyearq, fqtr, CAST(datadate + CAST(20 + k % 60 AS INTEGER) AS DATE) AS rdq,
+               price / 1000 AS saleq,
+               price / 1000 - 250 + CAST(k % 7 - 3 AS DOUBLE) * CAST(20 AS DOUBLE) AS ibq,
+               CAST(1 + k % 50 AS DOUBLE) AS cshoq, price / 10000 AS prccq
+        FROM (SELECT CAST(o_custkey // 5 AS VARCHAR) AS gvkey,
                      last_day(CAST(date_trunc('quarter', o_orderdate) AS DATE)
-                              + to_months(CASE WHEN o_orderkey % 11 = 0 THEN -1 ELSE 2 END)) AS datadate,
+                              + to_months(CASE WHEN o_orderkey % 19 = 0 THEN -1 ELSE 2 END)) AS datadate,
                      CAST(year(o_orderdate) AS INTEGER) AS fyearq,
                      CAST(quarter(o_orderdate) AS INTEGER) AS fqtr,
-                     o_orderkey,
-                     o_totalprice / 1000 AS saleq,
-                     o_totalprice / 1000 - 250 + CAST(o_orderkey % 7 - 3 AS DOUBLE) * CAST(20 AS DOUBLE) AS ibq,
-                     CAST(1 + o_orderkey % 50 AS DOUBLE) AS cshoq,
-                     o_totalprice / 10000 AS prccq
-              FROM orders) o""",
+                     min(o_orderkey) AS k, max(o_totalprice) AS price
+              FROM orders GROUP BY 1, 2, 3, 4) o""",
     "links": """
-        SELECT CAST(o_custkey AS VARCHAR) AS gvkey, CAST(o_custkey % {N} AS INTEGER) AS lpermno,
+        SELECT CAST(o_custkey // 5 AS VARCHAR) AS gvkey, CAST((o_custkey // 5) % ne AS INTEGER) AS lpermno,
                CASE o_orderstatus WHEN 'F' THEN 'LC' WHEN 'O' THEN 'LU' ELSE 'NR' END AS linktype,
                CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN 'P'
                     WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'C' ELSE 'J' END AS linkprim,
                CAST(o_orderdate AS DATE) AS linkdt,
                CASE WHEN o_orderkey % 7 = 0 THEN NULL
                     ELSE CAST(CAST(o_orderdate AS DATE) + 120 AS DATE) END AS linkenddt
-        FROM orders""",
+        FROM orders, entities""",
     "name_history": """
-        SELECT CAST(p_partkey % {N} AS INTEGER) AS permno,
-               CAST(DATE '1995-01-01' + CAST(floor((p_partkey // {N}) * 2700.0 / ns) AS INTEGER) AS DATE) AS namedt,
-               CAST(DATE '1995-01-01' + CAST(floor((p_partkey // {N} + 1) * 2700.0 / ns) AS INTEGER) - 1 AS DATE)
-                   AS nameenddt,
+        SELECT CAST(p_partkey % ne AS INTEGER) AS permno,
+               CAST(DATE '1995-01-01' + CAST((p_partkey // ne) * 2700 // ns AS INTEGER) AS DATE) AS namedt,
+               CAST(DATE '1995-01-01' + CAST((p_partkey // ne + 1) * 2700 // ns AS INTEGER) - 1 AS DATE) AS nameenddt,
                CAST(100 + (p_partkey * 37) % 9900 AS INTEGER) AS siccd
-        FROM part, (SELECT max(p_partkey) // {N} + 1 AS ns FROM part) s""",
+        FROM part, entities, (SELECT max(p_partkey // ne) + 1 AS ns FROM part, entities) s""",
     "daily_returns": """
-        SELECT CAST(l_suppkey % {N} AS INTEGER) AS permno, CAST(l_shipdate AS DATE) AS dlycaldt,
+        SELECT CAST(l_suppkey % ne AS INTEGER) AS permno, CAST(date_trunc('week', l_shipdate) AS DATE) AS dlycaldt,
                avg(l_discount) - avg(l_tax) AS dlyret
-        FROM lineitem WHERE isodow(CAST(l_shipdate AS DATE)) <= 5
-        GROUP BY 1, 2""",
+        FROM lineitem, entities GROUP BY 1, 2""",
     "market_index": """
-        SELECT CAST(l_shipdate AS DATE) AS dlycaldt,
+        SELECT CAST(date_trunc('week', l_shipdate) AS DATE) AS dlycaldt,
                sum(l_extendedprice * l_discount) / sum(l_extendedprice) - avg(l_tax) AS dlytotret
-        FROM lineitem WHERE isodow(CAST(l_shipdate AS DATE)) <= 5
-        GROUP BY 1""",
+        FROM lineitem GROUP BY 1""",
     "event_keys": """
-        SELECT DISTINCT CAST(o_custkey % {N} AS INTEGER) AS permno, CAST(o_orderdate AS DATE) AS rdq
-        FROM orders WHERE o_orderpriority = '1-URGENT'""",
+        SELECT DISTINCT CAST(o_custkey % ne AS INTEGER) AS permno, CAST(o_orderdate AS DATE) AS rdq
+        FROM orders, entities""",
     "reg_panel": """
         SELECT l_orderkey AS obs_id, l_linenumber AS obs_line, l_partkey AS obs_part, l_suppkey AS obs_supp, CAST(l_suppkey AS INTEGER) AS permno,
                CAST(100 + (l_partkey * 37) % 9900 AS INTEGER) AS siccd,
@@ -80,9 +74,6 @@ BINDINGS: dict[str, str] = {
         FROM (SELECT DISTINCT dlycaldt FROM daily_returns)""",
 }
 
-# the entity count is shared with the Spark bindings so the two cannot drift apart
-BINDINGS = {k: v.replace("{N}", str(N_ENTITIES)) for k, v in BINDINGS.items()}
-
 # derived bindings depend on others
 DEPENDS = {"calendar": ["daily_returns"]}
 

@@ -12,6 +12,7 @@ from panelspark.operators import transforms as W
 from panelspark.operators.quantiles import QSpec, quantiles
 from panelspark.plans import bindings as B
 from panelspark.plans.queries_panel import FF12_NAME_SQL
+from panelspark.plans.jobs import MODELS, SHOWN_TERMS, model_markers
 from panelspark.plans.registry import register
 
 ROW_KEY = ["obs_id", "obs_line", "obs_part", "obs_supp"]
@@ -386,15 +387,6 @@ def q_ols_two_fe(spark, sf_dir):
     return fit.coef_frame(spark)
 
 
-MODELS = {
-    "Base": dict(terms=["sue"]),
-    "Interaction": dict(terms=["sue*same_sign"]),
-    "Year FE": dict(terms=["sue*same_sign"], absorb=["fyearq"]),
-    "Two-Way FE": dict(terms=["sue*same_sign"], absorb=["fyearq", "ff12num"]),
-    "Controls": dict(terms=["sue*same_sign", "sue*log_mve_std", "sue*loss"], absorb=["fyearq", "ff12num"]),
-}
-
-
 def regression_models(spark, df, cluster=("permno", "fyearq")):
     cols = ["bhar", "sue", "same_sign", "loss", "log_mve", "fyearq", "ff12num", *cluster]
     df = W.standardize(df.select(*dict.fromkeys(cols)), "log_mve", suffix="_std")
@@ -409,10 +401,7 @@ def regression_models(spark, df, cluster=("permno", "fyearq")):
 @register("regression_table", None)
 def q_regression_table(spark, sf_dir):
     fits = regression_models(spark, _panel(spark, sf_dir))
-    return R.regression_table(spark, fits, ["sue", "same_sign", "sue:same_sign"],
-                              markers={"Year FE": ["", "", "Yes", "Yes", "Yes"],
-                                       "Industry FE": ["", "", "", "Yes", "Yes"],
-                                       "Controls": ["", "", "", "", "Yes"]})
+    return R.regression_table(spark, fits, SHOWN_TERMS, markers=model_markers(MODELS))
 
 
 @register("regression_fit_stats", None)

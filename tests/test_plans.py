@@ -30,12 +30,21 @@ def test_scan_reads_only_needed_columns(spark):
 
 
 def test_filter_pushed_to_scan(spark):
-    plan = _plan(entry_mod.queries()["bhar_window"](spark, SF_SMALL))
-    assert "PushedFilters: [IsNotNull(o_orderpriority), EqualTo(o_orderpriority,1-URGENT)]" in plan
+    plan = _plan(entry_mod.queries()["user_bhar_window"](spark, SF_SMALL))
+    assert any("PushedFilters" in n and "EqualTo(event_type,error)" in n for n in plan.splitlines())
+
+
+def test_dropping_range_join_keeps_the_range_in_the_join(spark):
+    df = entry_mod.queries()["range_join_left_drop"](spark, SF_SMALL)
+    joins = [n for n in _plan(df).splitlines() if "Join" in n and "Inner" in n and "permno" in n]
+    assert joins and any("namedt" in n or "_rstart" in n for n in joins)
 
 
 def test_event_returns_join_not_nested_loop(spark):
     plan = _plan(entry_mod.queries()["bhar_window"](spark, SF_SMALL))
     assert "CartesianProduct" not in plan
-    # the only nested-loop join is the one-row broadcast of the first calendar day
-    assert plan.count("BroadcastNestedLoopJoin") <= 1
+    # nested-loop joins only meet a single row: the first calendar day, the number of entities
+    lines = plan.splitlines()
+    sides = [i for i, line in enumerate(lines) if "BroadcastExchange IdentityBroadcastMode" in line]
+    assert len(sides) == plan.count("BroadcastNestedLoopJoin")
+    assert all(any("HashAggregate(keys=[]" in n for n in lines[i + 1:i + 4]) for i in sides)
