@@ -72,9 +72,12 @@ def _hash(batches, hasher):
                 pa.array(np.tile(np.arange(hasher.tables, dtype=np.int32), n)), pa.array(h.reshape(-1))], names=["cls", "t", "bucket"])
 
 
-def _compare(x, buckets, table, size, share, cross, cosine, links, forest, block=1024):
-    """Links inside one task's rows. A pair counts in the first table in which it shares a bucket."""
+def _compare(x, hasher, table, size, share, cross, cosine, links, forest, block=1024):
+    """Links inside one task's rows. A pair counts in the first table in which it shares a bucket;
+    only rows of near pairs are hashed for this."""
     n = len(x)
+    buckets, hashed = np.empty((n, table), np.int64), np.zeros(n, bool)
+    few = max(1, (1 << 22) // max(table, 1))
     for lo in range(0, n, block):
         for lo2 in range(lo, n, block):
             near = x[lo:lo + block] @ x[lo2:lo2 + block].T >= cosine
@@ -84,8 +87,13 @@ def _compare(x, buckets, table, size, share, cross, cosine, links, forest, block
             if cross:
                 ok &= share[i] != share[j]
             i, j = i[ok], j[ok]
-            if table:
-                first = ~(buckets[i, :table] == buckets[j, :table]).any(axis=1)
+            if table and len(i):
+                new = np.unique(np.concatenate([i, j]))
+                new = new[~hashed[new]]
+                for k in range(0, len(new), 1024):
+                    buckets[new[k:k + 1024]] = hasher.buckets(x[new[k:k + 1024]])[:, :table]
+                hashed[new] = True
+                first = np.concatenate([~(buckets[i[k:k + few]] == buckets[j[k:k + few]]).any(axis=1) for k in range(0, len(i), few)])
                 i, j = i[first], j[first]
             np.add.at(links, i, size[j])
             np.add.at(links, j, size[i])
@@ -107,9 +115,7 @@ def _tasks(batches, hasher, cosine):
             if b - a < 2:
                 continue
             links, forest = np.zeros(b - a, np.int64), Forest(b - a)
-            part = x[a:b]
-            bucket = np.concatenate([hasher.buckets(part[k:k + 1024]) for k in range(0, b - a, 1024)])
-            _compare(part, bucket, int(key[0][a]), size[a:b], share[a:b], bool(key[2][a] != key[3][a]), cosine, links, forest)
+            _compare(x[a:b], hasher, int(key[0][a]), size[a:b], share[a:b], bool(key[2][a] != key[3][a]), cosine, links, forest)
             some = np.flatnonzero(links)
             out.append((cls[a:b][some], cls[a:b][forest.label[some]], links[some]))
         cols = [np.concatenate(v) if out else np.zeros(0, np.int64) for v in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
@@ -142,7 +148,7 @@ def sound(v: Column) -> Column:
 
 
 def embedding_dedup(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.95,
-                    recall: float = 0.98, seed: int = 42) -> DataFrame:
+                    recall: float = 0.9999, seed: int = 42) -> DataFrame:
     """One row per input row: ``vec_id, n_links, component_id, kept``.
 
     Equal vectors become one class first, so copies make no pairs; classes are hashed, buckets

@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline
 from edge_rows import SF_SMALL, edge_docs, no_docs  # noqa: F401
-from panelspark.llm import boosting, chat, components, embeddings, extraction, graphsearch, langid, quality, simhash
+from panelspark.llm import boosting, chat, components, embeddings, extraction, graphsearch, langid, quality, queries, simhash
 from panelspark.llm.common import fold, table
 from panelspark.llm.dom import Dom, Forest
 
@@ -120,6 +120,24 @@ def test_embedding_links_equal_brute_force(spark, monkeypatch, hot):
     assert len(got) == df.count() and embeddings.embedding_dedup(df.limit(0)).count() == 0
 
 
+def test_embedding_query_finds_pairs_at_the_threshold(spark, tmp_path):
+    """The registered query, with its own settings, on 1,000 pairs just above cosine 0.95."""
+    rng = np.random.default_rng(3)
+    a, b = (rng.normal(size=(1000, 32)) for _ in range(2))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (a * b).sum(axis=1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    x = np.vstack([a, 0.9501 * a + np.sqrt(1 - 0.9501 ** 2) * b])
+    near = x @ x.T >= 0.95
+    assert near.sum() == 4000  # each with itself and its partner
+    spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").write.parquet(
+        str(tmp_path / "embeddings.parquet"))
+    got = queries.op6_embedding_dedup(spark, str(tmp_path)).collect()
+    linked = [r for r in got if r.n_links]
+    assert all((r.n_links, r.component_id) == (1, r.vec_id % 1000) for r in linked) and len(got) == 2000
+    assert len(linked) / 2000 >= 0.999  # 0.9999 expected, and one pair of chance
+
+
 def test_graph_search_recall_and_order(spark):
     e = table(spark, SF, "embeddings")
     rows = e.collect()
