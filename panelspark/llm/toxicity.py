@@ -57,7 +57,21 @@ def _features(batches, buckets, bits):
         yield pa.RecordBatch.from_arrays([batch.column("pos"), batch.column("unl"), lists], names=["pos", "unl", "features"])
 
 
-def train_nnpu(xp: np.ndarray, xu: np.ndarray, prior: float, rounds: int = 400, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+class Ones:
+    """A sparse matrix of zeros and ones, for products with vectors: the ones are at (row, col)."""
+
+    def __init__(self, row: np.ndarray, col: np.ndarray, shape: tuple[int, int]):
+        self.row, self.col, self.shape = row, col, shape
+
+    @property
+    def T(self) -> Ones:
+        return Ones(self.col, self.row, self.shape[::-1])
+
+    def __matmul__(self, v: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights=v[self.col], minlength=self.shape[0])
+
+
+def train_nnpu(xp: np.ndarray | Ones, xu: np.ndarray | Ones, prior: float, rounds: int = 400, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Logistic classifier under the non-negative risk prior*Rp(+) + max(0, Ru(-) - prior*Rp(-)).
 
     ``xp`` are confirmed positives, ``xu`` unlabelled rows. While the estimate of the negatives'
@@ -82,14 +96,15 @@ def train_nnpu(xp: np.ndarray, xu: np.ndarray, prior: float, rounds: int = 400,
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        use: Column | None = None, max_positive: int = 10_000, max_unlabelled: int = 30_000, max_features: int = 256,
+        use: Column | None = None, max_positive: int = 10_000, max_unlabelled: int = 30_000,
         least_z: float = 5.0, least_positive: int = 5, bits: int = BITS) -> ToxicModel:
     """Train on at most ``max_positive`` rows labelled 1 and ``max_unlabelled`` rows taken without
     regard to labels (both the smallest hashes of the id), where ``use`` allows the id.
 
-    The class prior is the share of 1 among the allowed labels. Token buckets are kept if they
+    The class prior is the share of 1 among the allowed labels. All token buckets are kept that
     occur in ``least_positive`` positives or more and are more frequent among them than among the
-    unlabelled by ``least_z`` standard errors, at most ``max_features``; only these columns of the bounded samples reach the driver.
+    unlabelled by ``least_z`` standard errors; only these columns of the bounded samples reach the
+    driver, as sparse rows.
     """
     marks = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     ids = docs.where(F.col(id_col).isNotNull())
@@ -111,13 +126,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         F.sum("pos").alias("pos"), F.sum("unl").alias("unl"))
     p, u = (F.col("pos") + 0.5) / (n_pos + 1.0), (F.col("unl") + 0.5) / (n_unl + 1.0)
     z = (p - u) / F.sqrt(u * (1 - u) * (1.0 / n_pos + 1.0 / n_unl))
-    top = freq.withColumn("z", z).where((F.col("z") >= least_z) & (F.col("pos") >= least_positive)).orderBy(F.desc("z"), "bucket").limit(max_features)
-    buckets = np.sort(np.array([r.bucket for r in top.select("bucket").collect()], dtype=np.int64))
+    kept = freq.withColumn("z", z).where((F.col("z") >= least_z) & (F.col("pos") >= least_positive))
+    buckets = np.sort(np.array([r.bucket for r in kept.select("bucket").collect()], dtype=np.int64))
     sample = map_rows(rows, partial(_features, buckets=buckets, bits=bits), "pos boolean, unl boolean, features array<int>").toPandas()
-    x = np.zeros((len(sample), len(buckets)), np.float32)
-    sizes = sample.features.map(len).to_numpy()
-    x[np.repeat(np.arange(len(sample)), sizes), np.concatenate([*sample.features, np.zeros(0, int)]).astype(int)] = 1
-    w, b = train_nnpu(x[sample.pos.to_numpy(bool)], x[sample.unl.to_numpy(bool)], prior)
+    row = np.repeat(np.arange(len(sample)), sample.features.map(len).to_numpy())
+    col = np.concatenate([*sample.features, np.zeros(0, int)]).astype(int)
+
+    def part(of):
+        own = of[row]
+        return Ones((np.cumsum(of) - 1)[row[own]], col[own], (int(of.sum()), len(buckets)))
+
+    w, b = train_nnpu(part(sample.pos.to_numpy(bool)), part(sample.unl.to_numpy(bool)), prior)
     return ToxicModel(buckets, w, b, prior)
 
 

@@ -232,6 +232,31 @@ def test_toxicity_held_out(spark, edge_docs, no_docs, edge_labels):
         assert toxicity.score(no_docs, model).count() == 0
 
 
+def test_toxicity_keeps_every_word_that_passes(spark):
+    """400 rare insults pass the two tests; each of them alone raises a text's score."""
+    rng = np.random.default_rng(4)
+    bad, plain = [f"insult{i}" for i in range(400)], [f"word{i}" for i in range(3000)]
+    texts = [" ".join([*rng.choice(plain, 20), *(rng.choice(bad, 14, replace=False) if i < 600 else [])]) for i in range(6600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 600)) for i in range(6600)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert len(model.buckets) >= 395  # a few share a bucket
+    alone = spark.createDataFrame([(-1, "calm"), *enumerate(bad)], "doc_id long, text string")
+    score = {r.id: r.score for r in toxicity.score(alone, model).collect()}
+    assert all(score[i] > score[-1] for i in range(400))
+
+
+def test_sparse_products_equal_dense_ones():
+    rng = np.random.default_rng(5)
+    x = (rng.random((50, 7)) < 0.3).astype(float)
+    ones = toxicity.Ones(*np.nonzero(x), x.shape)
+    assert np.allclose(ones @ np.arange(7.0), x @ np.arange(7.0)) and np.allclose(ones.T @ np.arange(50.0), x.T @ np.arange(50.0))
+    y = x[:, 0] > 0
+    w, b = toxicity.train_nnpu(x[y], x, 0.3)
+    w2, b2 = toxicity.train_nnpu(toxicity.Ones(*np.nonzero(x[y]), x[y].shape), ones, 0.3)
+    assert np.allclose(w, w2) and np.isclose(b, b2)
+
+
 def test_nnpu_recovers_a_separable_rule():
     rng = np.random.default_rng(1)
     x = (rng.random((4000, 6)) < 0.3).astype(float)
