@@ -130,7 +130,7 @@ def _of_rows(p: np.ndarray, n: np.ndarray, at: np.ndarray, rows: np.ndarray) ->
     return p[:, np.repeat(at[rows] - new, n) + np.arange(n.sum())], n, new
 
 
-def infer(ll: np.ndarray, ptr: np.ndarray, rounds: int = 12, most: int = 3, checks: int = 4, block: int = 1 << 16) -> np.ndarray:
+def infer(ll: np.ndarray, ptr: np.ndarray, rounds: int = 12, checks: int = 4, block: int = 1 << 16) -> np.ndarray:
     """Proportions of each row's language set, chosen by penalised likelihood.
 
     ``ll`` holds the log-likelihood of each word (rows end to end, no empty row) in each language.
@@ -140,16 +140,17 @@ def infer(ll: np.ndarray, ptr: np.ndarray, rounds: int = 12, most: int = 3, chec
     mixture m: the likelihood of m, plus the largest sum over the words of a language's
     likelihood over m's, less the number of words. ``checks`` rounds of expectation-maximisation
     from near the best language move m and lower this bound. The others are fitted with all
-    languages, then with their 2 to ``most`` largest. Rows are worked through in runs of about
+    languages, then with their 2, 3, ... largest, until the same bound, at the fit with all, shows
+    that no larger set can beat the best one so far. Rows are worked through in runs of about
     ``block`` words; none is cut.
     """
     group = (ptr[:-1] - ptr[0]) // block
     edges = [*np.flatnonzero(np.diff(group, prepend=-1)).tolist(), len(group)]
     return np.concatenate([np.zeros((0, ll.shape[1])), *(
-        _infer(ll[ptr[a]:ptr[b]].astype(np.float64), ptr[a:b + 1] - ptr[a], rounds, most, checks) for a, b in zip(edges, edges[1:]))])
+        _infer(ll[ptr[a]:ptr[b]].astype(np.float64), ptr[a:b + 1] - ptr[a], rounds, checks) for a, b in zip(edges, edges[1:]))])
 
 
-def _infer(ll, ptr, rounds, most, checks):
+def _infer(ll, ptr, rounds, checks):
     n, at, langs = np.diff(ptr), ptr[:-1], ll.shape[1]
     alone = np.add.reduceat(ll, at, axis=0)
     best = alone.argmax(axis=1)
@@ -173,8 +174,16 @@ def _infer(ll, ptr, rounds, most, checks):
         if not len(open_):
             return share
     full, _ = _fit(p, n, at, np.full((langs, len(open_)), 1 / langs), rounds)
+    ratio, mix = _step(p, n, at, full)
+    bound = np.add.reduceat(np.log(mix), at) + ratio.max(axis=0) - n
     rank = (-full).argsort(axis=0, kind="stable").argsort(axis=0, kind="stable")
-    for s in range(2, min(most, langs) + 1):
+    for s in range(2, langs + 1):
+        left = np.flatnonzero(bound - (s - 1) * penalty[open_] > score[open_])
+        if not len(left):
+            break
+        if len(left) < len(open_):
+            p, n, at = _of_rows(p, n, at, left)
+            open_, full, rank, bound = open_[left], full[:, left], rank[:, left], bound[left]
         start = np.where(rank < s, np.maximum(full, 1e-3), 0)
         fit_, like = _fit(p, n, at, start / start.sum(axis=0), rounds)
         value = like - (s - 1) * penalty[open_]
@@ -183,7 +192,7 @@ def _infer(ll, ptr, rounds, most, checks):
     return share
 
 
-def _predict(batches, model, rounds, most, row_text=None):
+def _predict(batches, model, rounds, row_text=None):
     if model.name not in _SCORES:
         _SCORES.clear()
         _SCORES[model.name] = WordCache("langid")
@@ -208,7 +217,7 @@ def _predict(batches, model, rounds, most, row_text=None):
             ptr = at[chunks.ptr]
             some = np.flatnonzero(np.diff(ptr))
             if len(some):
-                share[some] = infer(ll, np.append(ptr[:-1][some], ptr[-1]), rounds, most)
+                share[some] = infer(ll, np.append(ptr[:-1][some], ptr[-1]), rounds)
         known = share.sum(axis=1) > 0
         top = np.where(known, share.argmax(axis=1) if width else 0, width)
         sets = [[[model.langs[l], float(v[l])] for l in np.argsort(-v, kind="stable") if v[l] > 0] for v in share]
@@ -220,8 +229,7 @@ def _predict(batches, model, rounds, most, row_text=None):
             names=[*keep, "lang_pred", "score", "languages", "shares"])
 
 
-def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", rounds: int = 12,
-             most: int = 3) -> DataFrame:
+def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", rounds: int = 12) -> DataFrame:
     """``id, lang_pred, score, languages, shares`` per row.
 
     ``languages`` is the chosen set with the share of words of each, ``lang_pred`` its largest and
@@ -229,22 +237,21 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     and every text under a model without languages give ``und``, score 0 and an empty set. Null
     and repeated ids and repeated rows are predicted like others; an empty table gives no rows.
     """
-    return _identified(docs, model, id_col, text_col, rounds, most).withColumnRenamed("kept", "id")
+    return _identified(docs, model, id_col, text_col, rounds).withColumnRenamed("kept", "id")
 
 
-def _identified(docs, model, id_col, text_col, rounds, most, whole=False) -> DataFrame:
+def _identified(docs, model, id_col, text_col, rounds, whole=False) -> DataFrame:
     """``kept`` is the id or, with ``whole``, a struct of all columns."""
     if whole:
         rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("kept"))
     else:
         rows = docs.select(F.col(id_col).cast("long").alias("kept"), F.col(text_col).cast("string").alias("text"))
-    return map_rows(rows, partial(_predict, model=model, rounds=rounds, most=most, row_text=text_col if whole else None),
+    return map_rows(rows, partial(_predict, model=model, rounds=rounds, row_text=text_col if whole else None),
                     f"kept {rows.schema['kept'].dataType.simpleString()}, lang_pred string, score double, languages array<string>, shares array<double>")
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text", least_share: float = 0.5, rounds: int = 12,
-                    most: int = 3) -> DataFrame:
+def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text", least_share: float = 0.5, rounds: int = 12) -> DataFrame:
     """The rows, with all their columns, that have a language with at least ``least_share`` of
     their words; ``und`` rows and mixtures without such a language go."""
-    found = _identified(docs, model, None, text_col, rounds, most, whole=True)
+    found = _identified(docs, model, None, text_col, rounds, whole=True)
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= F.lit(least_share))).select("kept.*")

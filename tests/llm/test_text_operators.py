@@ -205,6 +205,25 @@ def test_language_held_out_and_mixture(spark, edge_docs, no_docs):
     assert kept.columns == edge_docs.columns and None not in {r.text for r in kept.collect()}
 
 
+def test_language_set_of_a_text_in_four_languages(spark):
+    docs = table(spark, SF_SMALL.replace("sf0.001", "sf0.01"), "documents")
+    model = langid.fit(docs)
+    by = {r.lang: r.text for r in docs.where("length(text) between 600 and 900").collect()}
+    mixed = spark.createDataFrame([(1, " ".join(by[l] for l in ("en", "fr", "de", "es")))], "doc_id long, text string")
+    row = langid.identify(mixed, model).first()
+    assert set(row.languages) == {"en", "fr", "de", "es"} and abs(sum(row.shares) - 1) < 1e-6 and min(row.shares) > 0.1
+    assert langid.keep_identified(mixed, model).count() == 0
+
+
+def test_language_sets_of_any_size():
+    """A row of five languages among six, and the best size of all when each size is fitted."""
+    rng = np.random.default_rng(6)
+    own = np.repeat(np.arange(5), 40)
+    ll = np.where(own[:, None] == np.arange(6), 0.0, -9.0) + rng.normal(size=(200, 6)) * 0.1
+    share = langid.infer(ll, np.array([0, 200]))
+    assert set(np.flatnonzero(share[0])) == set(range(5)) and np.allclose(share[0, :5], 0.2, atol=0.01)
+
+
 def test_mixture_matches_plain_em():
     rng = np.random.default_rng(0)
     ll = np.log(rng.dirichlet(np.ones(3), 40))
