@@ -101,7 +101,7 @@ def tables(spark: SparkSession, data_dir: str, out_dir: str, cluster: tuple[str,
 
 
 def provenance(spark: SparkSession, data_dir: str, inventory_dirs: list[str] | None = None) -> DataFrame:
-    """Sorted sample identifiers (Parquet + CSV), the inventory of all files in
+    """Sorted sample identifiers (Parquet + CSV), the inventory of all files but Spark's own markers in
     ``inventory_dirs`` (Parquet), and a summary of both."""
     reg = spark.read.parquet(f"{data_dir}/regdata.parquet")
     ids = T.sample_identifiers(reg)
@@ -109,7 +109,7 @@ def provenance(spark: SparkSession, data_dir: str, inventory_dirs: list[str] | N
     write_csv(ids, f"{data_dir}/sample_identifiers_csv")
     inv = None
     for d in inventory_dirs or [data_dir]:
-        part = file_inventory(spark, d).withColumn("directory", F.lit(os.path.basename(d.rstrip("/"))))
+        part = file_inventory(spark, d).where("NOT marker").drop("marker").withColumn("directory", F.lit(os.path.basename(d.rstrip("/"))))
         inv = part if inv is None else inv.unionByName(part)
     write_parquet(inv, f"{data_dir}/file_inventory.parquet")
     inv = spark.read.parquet(f"{data_dir}/file_inventory.parquet")

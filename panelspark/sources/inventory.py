@@ -1,8 +1,8 @@
 """File inventory with SHA-256 for provenance.
 
 The driver only lists names (metadata); executors read and hash the files. Those below 2 GB go
-through the ``binaryFile`` source, which holds one file per record; larger and empty ones are
-streamed in chunks, each inside its own task (``hash_large``).
+through the ``binaryFile`` source, which holds one file per record; larger and empty ones, and
+those whose names Spark's sources pass over (``_`` or ``.`` first), are streamed in chunks, each inside its own task (``hash_large``).
 """
 
 from __future__ import annotations
@@ -11,59 +11,70 @@ import hashlib
 import re
 
 import pandas as pd
+from py4j.java_gateway import is_instance_of
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_BINARY_FILE = 1 << 31
 
 
-def list_files(spark: SparkSession, directory: str | None) -> list[tuple[str, int, int]]:
-    """(path, length, modification time in ms) of the files below ``directory``, sorted; a missing
-    folder -> []. Names that begin with ``_`` or ``.`` are markers and checksums, not data."""
+def list_files(spark: SparkSession, directory: str | None) -> list[tuple[str, int, int, bool]]:
+    """(path, length, modification time in ms, marker) of all regular files below ``directory``,
+    sorted; a missing folder -> []. Markers are Spark's own files: an empty ``_SUCCESS``, and the
+    checksum ``.x.crc`` beside a file x."""
     if not directory:
         return []
     p = spark._jvm.org.apache.hadoop.fs.Path(directory)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(p) or not fs.getFileStatus(p).isDirectory():
         return []
+    if is_instance_of(spark.sparkContext._gateway, fs, "org.apache.hadoop.fs.ChecksumFileSystem"):
+        fs = fs.getRawFileSystem()  # the other one hides checksum files
     found, files = [], fs.listFiles(p, True)
     while files.hasNext():
         st = files.next()
-        if st.getPath().getName()[0] not in "_.":
-            found.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
-    return sorted(found)
+        found.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    paths = {f[0] for f in found}
+
+    def marker(path, size):
+        folder, name = path.rsplit("/", 1)
+        return name == "_SUCCESS" and size == 0 or name[0] == "." and name.endswith(".crc") and f"{folder}/{name[1:-4]}" in paths
+
+    return sorted((*f, marker(f[0], f[1])) for f in found)
 
 
 def file_inventory(spark: SparkSession, directory: str | None) -> DataFrame:
     """name (relative to ``directory``), mtime ("%Y-%m-%d %H:%M" in the session time zone), size_mb
-    (1e6 bytes), sha256: one row per file in the folder or below it, sorted by name."""
+    (1e6 bytes), sha256, marker (one of Spark's own files, see ``list_files``): one row per regular
+    file in the folder or below it, sorted by name."""
     files = list_files(spark, directory)
-    schema = "name string, mtime string, size_mb double, sha256 string"
+    schema = "name string, mtime string, size_mb double, sha256 string, marker boolean"
     if not files:
         return spark.createDataFrame([], schema)
     root = spark._jvm.org.apache.hadoop.fs.Path(directory).toUri().getPath().rstrip("/")
     parts = []
-    small = [path for path, size, _ in files if 0 < size < MAX_BINARY_FILE]  # binaryFile leaves out empty files
-    large = [f for f in files if not 0 < f[1] < MAX_BINARY_FILE]
+    plain = [0 < size < MAX_BINARY_FILE and path.rsplit("/", 1)[1][0] not in "_." for path, size, *_ in files]  # binaryFile leaves out the others
+    small = [f[0] for f, p in zip(files, plain) if p]
+    large = [f for f, p in zip(files, plain) if not p]
     if small:
         b = spark.read.format("binaryFile").load(small)
-        parts.append(b.select("path", F.col("modificationTime").alias("at"), "length", F.sha2("content", 256).alias("sha256")))
+        parts.append(b.select("path", F.col("modificationTime").alias("at"), "length", F.sha2("content", 256).alias("sha256"), F.lit(False).alias("marker")))
     if large:
         parts.append(hash_large(spark, large))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select(F.regexp_replace("path", "^.*?" + re.escape(root) + "/", "").alias("name"),
-                      F.date_format("at", "yyyy-MM-dd HH:mm").alias("mtime"), (F.col("length") / 1e6).alias("size_mb"), "sha256").orderBy("name")
+                      F.date_format("at", "yyyy-MM-dd HH:mm").alias("mtime"), (F.col("length") / 1e6).alias("size_mb"), "sha256", "marker").orderBy("name")
 
 
-def hash_large(spark: SparkSession, files: list[tuple[str, int, int]], chunk: int = 1 << 20) -> DataFrame:
-    """path, at, length, sha256 of big files, read in 1 MB chunks, one task per file (the file
+def hash_large(spark: SparkSession, files: list[tuple[str, int, int, bool]], chunk: int = 1 << 20) -> DataFrame:
+    """path, at, length, sha256, marker of big files, read in 1 MB chunks, one task per file (the file
     systems of ``pyarrow.fs``: local, HDFS and object stores)."""
     from panelspark.session import ship_package
 
     ship_package(spark)
-    df = spark.createDataFrame(files, "path string, length long, ms long").repartition(len(files))
+    df = spark.createDataFrame(files, "path string, length long, ms long, marker boolean").repartition(len(files))
 
     def run(batches):
         from pyarrow import fs
@@ -76,7 +87,7 @@ def hash_large(spark: SparkSession, files: list[tuple[str, int, int]], chunk: in
                     while block := stream.read(chunk):
                         h.update(block)
                 sums.append(h.hexdigest())
-            yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "ms": pdf["ms"], "sha256": sums})
+            yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "ms": pdf["ms"], "sha256": sums, "marker": pdf["marker"]})
 
-    hashed = df.mapInPandas(run, "path string, length long, ms long, sha256 string")
-    return hashed.select("path", F.timestamp_millis("ms").alias("at"), "length", "sha256")
+    hashed = df.mapInPandas(run, "path string, length long, ms long, sha256 string, marker boolean")
+    return hashed.select("path", F.timestamp_millis("ms").alias("at"), "length", "sha256", "marker")

@@ -62,3 +62,13 @@ def test_top_groups_and_group_label(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), ("c",), ("c",), ("c",)], "g string")
     assert [(r.g, r.n) for r in top_groups(df, ["g"], 2).collect()] == [("c", 3), ("a", 2)]
     assert df.select(group_label("g", "g").alias("l")).first().l == "a / a"
+
+
+def test_file_inventory_lists_hidden_names(spark, tmp_path):
+    files = {"_codes.csv": b"a,b", ".notes": b"n", ".own.crc": b"o", "sub/_x": b"", "t/part-0": b"p", "t/.part-0.crc": b"c", "t/_SUCCESS": b""}
+    for name, data in files.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(data)
+    got = file_inventory(spark, str(tmp_path)).collect()
+    assert {r.name: r.sha256 for r in got} == {n: hashlib.sha256(d).hexdigest() for n, d in files.items()}
+    assert {r.name for r in got if r.marker} == {"t/.part-0.crc", "t/_SUCCESS"}
