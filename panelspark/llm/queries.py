@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, chat, embeddings, extraction, graphsearch, langid, packing, quality, simhash, toxicity
+from panelspark.llm import (balltree, bpe, chat, chunkbpe, embeddings, extraction, graphsearch, langid, packing, quality, simhash, toxicity,
+                            wordruns)
 from panelspark.llm.common import fold, table
 
 
@@ -69,6 +70,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), window=4096, end_id=2)
 
 
+def op11_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunkbpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = wordruns.periodic_runs(table(spark, sf_dir, "documents"), planted=True, outputs=False)
+    return out.drop("runs", "collapsed").withColumnRenamed("id", "doc_id")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,6 +91,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_quality_resampling, op3_simhash_dedup, op4_byte_bpe, op5_chat_perspectives, op6_embedding_dedup,
-    op7_toxicity, op8_graph_search, op9_language_id, op10_packing, pipeline)}
+    op7_toxicity, op8_graph_search, op9_language_id, op10_packing, op11_chunk_bpe, op12_periodic_runs, op13_ranked_search, pipeline)}
 
-ORACLES = {"op5_chat_perspectives": chat.ORACLE}
+ORACLES = {"op5_chat_perspectives": chat.ORACLE, "op13_ranked_search": balltree.ORACLE}
