@@ -1,15 +1,13 @@
 """Linear regression with interactions, absorbed fixed effects and clustered errors (ST3-ST11).
 
-Passes over the data (all distributed aggregates):
+Passes over the data for all models of one FE set (distributed aggregates):
 
 1. global means (centring keeps the sums of products accurate at scale);
 2. per fixed-effect cell (one row per combination of FE levels, e.g. year x industry):
-   counts, sums and within-cell cross-products of the centred variables.
-   Frisch-Waugh-Lovell turns the cell table into the FE-demeaned X'X and X'y. Up to
-   ``MAX_CELLS`` cells are solved on the driver (dummies with a pseudo-inverse, so collinear
-   FE sets are fine); a larger table, such as one firm effect with millions of levels, stays
-   distributed and is demeaned by its FEs in turn until nothing moves (``absorb_cells``);
-3. residual scores x~_i e_i summed per intersection of the cluster dimensions (one
+   counts, sums and cross-products of the centred variables of all models. The FEs are absorbed on
+   the cell table by one distributed method at every size (``absorb_cells``);
+   Frisch-Waugh-Lovell turns it into the FE-demeaned Gram matrix, of which each model solves its block;
+3. residual scores x~_i e_i of all models summed per intersection of the cluster dimensions (one
    shuffle); one-way meats are sums over that table, so two-way clustering needs no
    second pass over the rows.
 """
@@ -18,19 +16,17 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.session import reliable_checkpoint
 
-from panelspark.session import ship_package
 
-MAX_CELLS = 500_000          # most FE cells that reach the driver
-MAX_LEVELS = 2_000           # most levels outside the largest FE solved there (dense Schur complement)
-MAX_DENSE = 20_000_000       # most entries of the dense block between the largest FE's levels and the others'
+BROADCAST_CELLS = 100_000    # most rows of the cell table that are sent to every task
 
 
 @dataclass
@@ -148,7 +144,7 @@ def _sel_independent(xtx: np.ndarray, tol: float = 1e-10) -> list[int]:
         if keep:
             a = xtx[np.ix_(keep, keep)]
             b = xtx[np.ix_(keep, [j])]
-            resid = xtx[j, j] - float(b.T @ np.linalg.pinv(a) @ b)
+            resid = xtx[j, j] - (b.T @ np.linalg.pinv(a) @ b).item()
         else:
             resid = xtx[j, j]
         if resid > tol * xtx[j, j]:
@@ -156,72 +152,79 @@ def _sel_independent(xtx: np.ndarray, tol: float = 1e-10) -> list[int]:
     return keep
 
 
-def _solve_fe(idx: list[np.ndarray], offs: np.ndarray, cn: np.ndarray, dv: np.ndarray,
-              sizes: list[int]) -> np.ndarray:
-    """A solution g of (D'D) g = D'v from cell counts, by block elimination.
+# ---- fixed effects ------------------------------------------------------------------------------
 
-    The largest FE's block of D'D is diagonal (its level counts), so only the Schur
-    complement over the other FEs' levels needs a dense solve: one FE costs O(L), and
-    firm x year costs a (years x years) solve however many firms there are. Any solution
-    gives the same projection D g, hence the same slopes, residuals and scores.
-    """
-    big = int(np.argmax(sizes))
-    rest = [a for a in range(len(idx)) if a != big]
-    n1 = np.zeros(sizes[big])
-    np.add.at(n1, idx[big] - offs[big], cn)
-    inv1 = np.divide(1.0, n1, out=np.zeros_like(n1), where=n1 > 0)
-    g = np.zeros_like(dv)
-    d1 = dv[offs[big]:offs[big] + sizes[big]]
-    if not rest:
-        g[offs[big]:offs[big] + sizes[big]] = d1 * inv1[:, None]
-        return g
-    # positions of the other FEs' levels, stacked
-    rest_off = np.cumsum([0] + [sizes[a] for a in rest])
-    L2 = int(rest_off[-1])
-    r_idx = [rest_off[j] + (idx[a] - offs[a]) for j, a in enumerate(rest)]
-    b_idx = idx[big] - offs[big]
-    B = np.zeros((L2, L2))
-    C = np.zeros((sizes[big], L2))
-    for j in range(len(rest)):
-        np.add.at(C, (b_idx, r_idx[j]), cn)
-        for k in range(len(rest)):
-            np.add.at(B, (r_idx[j], r_idx[k]), cn)
-    d2 = np.concatenate([dv[offs[a]:offs[a] + sizes[a]] for a in rest])
-    Cw = C * inv1[:, None]
-    schur = B - C.T @ Cw
-    g2 = np.linalg.pinv(schur) @ (d2 - Cw.T @ d1)
-    g1 = (d1 - C @ g2) * inv1[:, None]
-    g[offs[big]:offs[big] + sizes[big]] = g1
-    for j, a in enumerate(rest):
-        g[offs[a]:offs[a] + sizes[a]] = g2[rest_off[j]:rest_off[j] + sizes[a]]
-    return g
-
-
-def absorb_cells(cells: DataFrame, fes: list[str], p: int, tol: float = 1e-12) -> DataFrame:
-    """The cell table with ``_m0..`` (its means of the p variables) and ``_r0..`` (what is left of
-    them once the FEs are absorbed).
-
-    Each sweep subtracts every FE's weighted level means in turn: a partial aggregate and a join
-    on the level, on a reliable checkpoint per sweep. One FE needs one sweep and is exact; several
-    are swept until a sweep moves no variable by more than ``tol`` of its size (root mean square).
+def absorb_cells(cells: DataFrame, fes: list[str], p: int, tol: float = 1e-10, rounds: int = 2000) -> DataFrame:
+    """The cell table (``fes``, ``_n``, sums ``_s0..``) with ``_g0..``: what the fixed effects explain of each variable.
+
+    One FE explains its level means. Of several, the one with most levels is eliminated and the
+    normal equations of the others' levels are solved by conjugate gradients, preconditioned by
+    their diagonal, for all variables side by side. Vectors over levels and cells stay distributed; the driver
+    sees a few sums per round. A round is a join and a partial aggregate per FE, whatever the size. Ends when every variable's
+    residual has fallen by ``tol``; sums of products of what is left are then exact to ``tol`` squared.
+    Raises if ``rounds`` do not suffice.
     """
-    start = [(F.col(f"_s{i}") / F.col("_n")).alias(f"_m{i}") for i in range(p)]
-    cells = reliable_checkpoint(cells.select("*", *start, *[c.alias(f"_r{i}") for i, c in enumerate(start)]))
-    fixed = [c for c in cells.columns if not c.startswith("_r")]
-    while True:
-        swept = cells.select(*fixed, *[F.col(f"_r{i}") for i in range(p)], *[F.col(f"_r{i}").alias(f"_o{i}") for i in range(p)])
-        for f in fes:
-            level = swept.groupBy(f).agg(*[(F.sum(F.col("_n") * F.col(f"_r{i}")) / F.sum("_n")).alias(f"_l{i}") for i in range(p)])
-            swept = swept.join(level, f).select(*fixed, *[(F.col(f"_r{i}") - F.col(f"_l{i}")).alias(f"_r{i}") for i in range(p)],
-                                                *[f"_o{i}" for i in range(p)])
-        swept = reliable_checkpoint(swept)
-        cells = swept.select(*fixed, *[f"_r{i}" for i in range(p)])
-        if len(fes) == 1:
-            return cells
-        size = swept.agg(*[F.sum(F.col("_n") * (F.col(f"_r{i}") - F.col(f"_o{i}")) ** 2).alias(f"d{i}") for i in range(p)],
-                         *[F.sum(F.col("_n") * F.col(f"_m{i}") ** 2).alias(f"t{i}") for i in range(p)]).first()
-        if all(size[f"d{i}"] <= tol * tol * size[f"t{i}"] for i in range(p)):
-            return cells
+    v = range(p)
+    if len(fes) == 1:
+        return reliable_checkpoint(cells.selectExpr("*", *[f"_s{i} / _n AS _g{i}" for i in v]))
+    cells = reliable_checkpoint(cells)
+    counts = cells.agg(*[F.count_distinct(f).alias(f) for f in fes]).first()
+    big = max(fes, key=lambda f: counts[f])
+    rest = [f for f in fes if f != big]
+    slim = cells.select(*fes, "_n", *[f"_s{i}" for i in v])
+    # means of the eliminated FE's levels, and what they leave to the others
+    mean = slim.groupBy(big).agg(F.expr("sum(_n) AS _m"), *[F.expr(f"sum(_s{i}) / sum(_n) AS _b{i}") for i in v])
+    left = slim.join(mean, big)
+    state = {f: reliable_checkpoint(left.groupBy(f).agg(
+        F.expr("if(sum(_n - _n * _n / _m) > 1e-9 * sum(_n), sum(_n - _n * _n / _m), sum(_n)) AS _w"), *[F.expr(f"sum(_s{i} - _n * _b{i}) AS r{i}") for i in v])
+        .selectExpr("*", *[f"0D AS x{i}" for i in v], *[f"r{i} / _w AS d{i}" for i in v])) for f in rest}
+
+    def on_cells(tables: dict[str, DataFrame], name: str) -> DataFrame:
+        """Cells with ``_q0..``: the sum over the FEs of their levels' values."""
+        out = slim
+        for k, (f, t) in enumerate(tables.items()):
+            out = out.join(t.selectExpr(f, *[f"{name}{i} AS _v{k}_{i}" for i in v]), f)
+        return out.selectExpr(*fes, "_n", *[f"_s{i}" for i in v], *[" + ".join(f"_v{k}_{i}" for k in range(len(tables))) + f" AS _q{i}" for i in v])
+
+    def dots(tables: list[DataFrame], pairs: dict[str, str]) -> dict[str, float]:
+        got: dict[str, float] = dict.fromkeys(pairs, 0.0)
+        union = None
+        for t in tables:
+            part = t.agg(*[F.expr(f"sum({c}) AS {k}") for k, c in pairs.items()])
+            union = part if union is None else union.unionByName(part)
+        for row in union.collect():
+            for k in pairs:
+                got[k] += row[k] or 0.0
+        return got
+
+    first = None
+    for _ in range(rounds):
+        spread = on_cells(state, "d")
+        centre = spread.groupBy(big).agg(*[F.expr(f"sum(_n * _q{i}) / sum(_n) AS _c{i}") for i in v])
+        moved = spread.join(centre, big)
+        state = {f: reliable_checkpoint(t.join(moved.groupBy(f).agg(
+            *[F.expr(f"sum(_n * (_q{i} - _c{i})) AS a{i}") for i in v]), f)) for f, t in state.items()}
+        got = dots(list(state.values()), {f"{k}{i}": e for i in v for k, e in (
+            ("rr", f"r{i} * r{i} / _w"), ("da", f"d{i} * a{i}"), ("ra", f"r{i} * a{i} / _w"), ("aa", f"a{i} * a{i} / _w"))})
+        first = first or [got[f"rr{i}"] for i in v]
+        step = [got[f"rr{i}"] / got[f"da{i}"] if got[f"da{i}"] > 0 and got[f"rr{i}"] > tol * tol * first[i] else 0.0 for i in v]
+        rho = [got[f"rr{i}"] - 2 * step[i] * got[f"ra{i}"] + step[i] ** 2 * got[f"aa{i}"] for i in v]
+        turn = [max(rho[i], 0.0) / got[f"rr{i}"] if step[i] else 0.0 for i in v]
+        state = {f: t.selectExpr(f, "_w", *[f"r{i} - {_number(step[i])} * a{i} AS r{i}" for i in v], *[f"x{i} + {_number(step[i])} * d{i} AS x{i}" for i in v],
+                                 *[f"(r{i} - {_number(step[i])} * a{i}) / _w + {_number(turn[i])} * d{i} AS d{i}" for i in v]) for f, t in state.items()}
+        if all(not step[i] or rho[i] <= tol * tol * first[i] for i in v):
+            break
+    else:
+        raise RuntimeError(f"fixed effects {fes} did not settle in {rounds} rounds")
+    spread = on_cells(state, "x")
+    own = spread.groupBy(big).agg(*[F.expr(f"sum(_s{i} - _n * _q{i}) / sum(_n) AS _c{i}") for i in v])
+    fitted = spread.join(own, big).selectExpr(*fes, *[f"_q{i} + _c{i} AS _g{i}" for i in v])
+    return reliable_checkpoint(cells.join(fitted, fes))
+
+
+def _number(x: float) -> str:
+    """A double literal in SQL."""
+    return f"({float(x)!r}D)"
 
 
 def drop_singletons(df: DataFrame, absorb: list[str]) -> DataFrame:
@@ -242,206 +245,222 @@ def drop_singletons(df: DataFrame, absorb: list[str]) -> DataFrame:
         n = left
 
 
+def nested_effects(df: DataFrame, absorb: list[str], cluster: list[str]) -> list[str]:
+    """The FEs of which every level lies in one value of some cluster dimension."""
+    out = []
+    for f in absorb:
+        levels = df.groupBy(f).agg(*[F.min(c).alias(f"_lo{i}") for i, c in enumerate(cluster)], *[F.max(c).alias(f"_hi{i}") for i, c in enumerate(cluster)])
+        row = levels.agg(*[F.bool_and(F.col(f"_lo{i}") == F.col(f"_hi{i}")).alias(f"_in{i}") for i in range(len(cluster))]).first()
+        if any(row):
+            out.append(f)
+    return out
+
+
+# ---- estimation ---------------------------------------------------------------------------------
+
+def _complete(df: DataFrame, used: list[str]) -> Column:
+    """Rows with a value in every used column; NaN counts as missing, like NULL."""
+    kinds = dict(df.dtypes)
+    ok = F.lit(True)
+    for c in used:
+        ok = ok & F.col(c).isNotNull()
+        if kinds[c] in ("double", "float"):
+            ok = ok & ~F.isnan(c)
+    return ok
+
+
+def _pairs(n: int) -> list[tuple[int, int]]:
+    return [(a, b) for a in range(n) for b in range(a, n)]
+
+
+def _symmetric(row, name: str, n: int) -> np.ndarray:
+    out = np.zeros((n, n))
+    for a, b in _pairs(n):
+        out[a, b] = out[b, a] = row[f"{name}{a}_{b}"] or 0.0
+    return out
+
+
 def ols(df: DataFrame, y: str, terms: list, absorb: list[str] | None = None,
-        cluster: list[str] | None = None, singletons: bool = False, cluster_df: str = "min",
-        fixef_k: str = "none") -> Fit:
-    """OLS of ``y`` on ``terms`` with absorbed ``absorb`` FEs and CRV1 errors by ``cluster``
-    (one or two dimensions: V = V1 + V2 - V12). No cluster: iid errors.
+        cluster: list[str] | None = None, **options) -> Fit:
+    """One model of ``ols_models``."""
+    return ols_models(df, y, {"": {"terms": terms, "absorb": absorb}}, cluster, **options)[""]
+
+
+def ols_models(df: DataFrame, y: str, models: dict[str, dict], cluster: list[str] | None = None, singletons: bool = False,
+               cluster_df: str = "min", fixef_k: str = "none", repair: bool = False) -> dict[str, Fit]:
+    """OLS of ``y`` for several models ``{name: {"terms": [...], "absorb": [...]}}`` with CRV1
+    errors by ``cluster`` (one or two dimensions: V = V1 + V2 - V12). No cluster: iid errors.
+
+    Models that absorb the same FEs share their passes: one Gram matrix over all their terms, of which each
+    model solves its own block, and one aggregate of all their scores. A model whose complete
+    rows differ from those of its companions is fitted by itself. Rows with a NULL or NaN in any used column are
+    dropped first.
 
     Small-sample factor (N-1)/(N-K) * G/(G-1); ``cluster_df="min"`` uses the smallest G
     for every term, ``"conventional"`` each term's own G. ``fixef_k="none"`` counts only the
     slopes in K when FEs are absorbed (the intercept counts when none are); ``"full"`` also
-    counts every FE level less one per extra FE dimension.
-    Rows with a NULL in any used column are dropped first.
+    counts every FE level less one per extra FE dimension; ``"nested"`` is ``"full"`` with an FE whose levels lie each in one
+    cluster counted as one parameter. A two-way covariance can be indefinite: a negative variance gives no
+    standard error, or with ``repair`` the negative eigenvalues are set to zero.
     """
-    absorb = list(absorb or [])
     cluster = list(cluster or [])
-    tt = expand_terms(terms)
-    names = [_name(t) for t in tt]
+    if len(cluster) > 2:
+        raise ValueError("one or two cluster dimensions")
+    if fixef_k not in ("none", "full", "nested"):
+        raise ValueError("fixef_k must be 'none', 'full' or 'nested'")
+    groups: dict[tuple[str, ...], dict[str, list]] = {}
+    for name, spec in models.items():
+        groups.setdefault(tuple(spec.get("absorb") or []), {})[name] = expand_terms(spec["terms"])
+    used = {key: {m: sorted({c for t in tt for c in t} | {y} | set(key) | set(cluster)) for m, tt in group.items()} for key, group in groups.items()}
+    if not singletons and any(len(group) > 1 for group in groups.values()):
+        # models with other complete rows than their group are fitted alone
+        whole = {key: sorted({c for u in own.values() for c in u}) for key, own in used.items()}
+        asked = [(key, m) for key, own in used.items() for m in own]
+        row = df.agg(*[F.count_if(_complete(df, used[key][m])).alias(f"m{i}") for i, (key, m) in enumerate(asked)],
+                     *[F.count_if(_complete(df, u)).alias(f"g{i}") for i, u in enumerate(whole.values())]).first()
+        total = {key: row[f"g{i}"] for i, key in enumerate(whole)}
+        alone = [(key, m) for i, (key, m) in enumerate(asked) if row[f"m{i}"] != total[key]]
+    else:
+        alone = [(key, m) for key, own in used.items() if singletons and len(own) > 1 for m in own]
+    parts = [(key, {m: tt for m, tt in group.items() if (key, m) not in alone}) for key, group in groups.items()]
+    parts += [(key, {m: groups[key][m]}) for key, m in alone]
+    fits = {}
+    for key, group in parts:
+        if group:
+            fits.update(_fit_group(df, y, group, list(key), cluster, singletons, cluster_df, fixef_k, repair))
+    return {name: fits[name] for name in models}
+
+
+def _fit_group(df, y, group, absorb, cluster, singletons, cluster_df, fixef_k, repair) -> dict[str, Fit]:
+    """The models of one FE set over the same rows: means, sums of products by FE cell, scores by cluster."""
+    tt = list(dict.fromkeys(t for terms in group.values() for t in terms))
     xexpr = []
     for t in tt:
         e = F.col(t[0]).cast("double")
-        for p in t[1:]:
-            e = e * F.col(p).cast("double")
+        for c in t[1:]:
+            e = e * F.col(c).cast("double")
         xexpr.append(e)
-    k0 = len(tt)
     used = sorted({c for t in tt for c in t} | {y} | set(absorb) | set(cluster))
     base = df.select(*used)
-    kinds = dict(base.dtypes)
-    for c in used:  # NaN counts as missing, like NULL
-        base = base.filter(F.col(c).isNotNull() & ~F.isnan(c) if kinds[c] in ("double", "float") else F.col(c).isNotNull())
+    base = base.filter(_complete(base, used))
     if singletons and absorb:
         base = drop_singletons(base, absorb)
+    fes, cl = [f"_fe{i}" for i in range(len(absorb))], [f"_cl{i}" for i in range(len(cluster))]
+    vars_ = ["_y", *[f"_x{j}" for j in range(len(tt))]]
+    p = len(vars_)
     data = base.select(F.col(y).cast("double").alias("_y"), *[e.alias(f"_x{j}") for j, e in enumerate(xexpr)],
-                       *[F.col(a).alias(f"_fe{i}") for i, a in enumerate(absorb)],
-                       *[F.col(c).alias(f"_cl{i}") for i, c in enumerate(cluster)])
-    vars_ = ["_y", *[f"_x{j}" for j in range(k0)]]
+                       *[F.col(a).alias(f) for a, f in zip(absorb, fes)], *[F.col(c).alias(f) for c, f in zip(cluster, cl)])
 
-    # pass 1: n and means
+    # pass 1: n and means; centring keeps the sums of products accurate
     m = data.agg(F.count(F.lit(1)).alias("n"), *[F.avg(v).alias(v) for v in vars_]).first()
     n = int(m["n"])
     if n == 0:
         raise ValueError("no complete rows")
     mu = np.array([m[v] for v in vars_], dtype=float)
-    cen = data.select(*[(F.col(v) - F.lit(float(mu[i]))).alias(v) for i, v in enumerate(vars_)],
-                      *[f"_fe{i}" for i in range(len(absorb))], *[f"_cl{i}" for i in range(len(cluster))])
+    cen = data.selectExpr(*[f"{v} - {_number(mu[i])} AS {v}" for i, v in enumerate(vars_)], *fes, *cl)
 
-    # pass 2: cell sums
-    p = len(vars_)
-    prods = [(a, b) for a in range(p) for b in range(a, p)]
-    cell_aggs = [F.count(F.lit(1)).alias("_n"), *[F.sum(v).alias(f"_s{i}") for i, v in enumerate(vars_)],
-                 *[F.sum(F.col(vars_[a]) * F.col(vars_[b])).alias(f"_p{a}_{b}") for a, b in prods]]
-    fes = [f"_fe{i}" for i in range(len(absorb))]
-    cells_df = cen.groupBy(*fes).agg(*cell_aggs) if fes else cen.agg(*cell_aggs)
-    # one action; the limit bounds what the driver sees of the cell table
-    cells = cells_df.limit(MAX_CELLS + 1).toPandas()
-    counts = [cells[f].nunique() for f in fes]
-    rest = sum(counts) - max(counts, default=0)
-    spread = bool(fes) and (len(cells) > MAX_CELLS or rest > MAX_LEVELS or max(counts) * rest > MAX_DENSE)
-    full = np.zeros((p, p))
-    if spread:
-        absorbed = absorb_cells(cells_df, fes, p)
-        got = absorbed.agg(*[F.sum(f"_p{a}_{b}").alias(f"p{a}_{b}") for a, b in prods],
-                           *[F.sum(F.col("_n") * (F.col(f"_r{a}") * F.col(f"_r{b}") - F.col(f"_m{a}") * F.col(f"_m{b}"))).alias(f"w{a}_{b}")
-                             for a, b in prods]).first()
-        within = np.zeros((p, p))
-        for a, b in prods:
-            full[a, b] = full[b, a] = got[f"p{a}_{b}"]
-            within[a, b] = within[b, a] = got[f"p{a}_{b}"] + got[f"w{a}_{b}"]
-        counts = [absorbed.select(f).distinct().count() for f in fes] if fixef_k == "full" else []
-    else:
-        for a, b in prods:
-            full[a, b] = full[b, a] = cells[f"_p{a}_{b}"].sum()
-        within = full.copy()
-    # Frisch-Waugh: project out the FE dummies using cell-level sums
-    levels: list[pd.Index] = []
-    if fes and not spread:
-        levels = [pd.Index(pd.unique(cells[f])) for f in fes]
-        L = sum(len(lv) for lv in levels)
-        offs = np.cumsum([0] + [len(lv) for lv in levels])
-        idx = [offs[i] + lv.get_indexer(cells[f]) for i, (f, lv) in enumerate(zip(fes, levels))]
-        cn = cells["_n"].to_numpy(dtype=float)
-        S = cells[[f"_s{i}" for i in range(p)]].to_numpy(dtype=float)
-        dv = np.zeros((L, p))
-        for a in range(len(fes)):
-            np.add.at(dv, idx[a], S)
-        gam = _solve_fe(idx, offs, cn, dv, [len(lv) for lv in levels])   # L x p FE coefficients
-        within = full - dv.T @ gam
-    wyy, wxy, wxx = within[0, 0], within[1:, 0], within[1:, 1:]
-    keep = _sel_independent(wxx) if k0 else []
-    dropped = [names[j] for j in range(k0) if j not in keep]
-    kx = len(keep)
-    beta_k = np.linalg.solve(wxx[np.ix_(keep, keep)], wxy[keep]) if kx else np.zeros(0)
-    beta = np.zeros(k0)
-    beta[keep] = beta_k
-    sse = float(wyy - beta_k @ wxy[keep]) if kx else float(wyy)
-    sst = float(full[0, 0])
-    r2 = 1.0 - sse / sst if sst > 0 else float("nan")
-    r2_within = 1.0 - sse / wyy if fes and wyy > 0 else float("nan")
-
-    # design in the reported parametrisation
+    # pass 2: sums of products by FE cell, less what the FEs explain (Frisch-Waugh-Lovell)
+    prods = [F.expr(f"sum({vars_[a]} * {vars_[b]}) AS _p{a}_{b}") for a, b in _pairs(p)]
+    counts: list[int] = []
+    nested: list[str] = []
     if fes:
-        bread_in = wxx[np.ix_(keep, keep)]
-        if fixef_k not in ("none", "full"):
-            raise ValueError("fixef_k must be 'none' or 'full'")
-        K = kx if fixef_k == "none" else kx + sum(counts) - (len(counts) - 1)
-        term_names = [names[j] for j in keep]
+        cells = cen.groupBy(*fes).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(v).alias(f"_s{i}") for i, v in enumerate(vars_)], *prods)
+        cells = absorb_cells(cells, fes, p)
+        row = cells.agg(*[F.expr(f"sum(_p{a}_{b}) AS _p{a}_{b}") for a, b in _pairs(p)],
+                        *[F.expr(f"sum(_p{a}_{b} - _s{a} * _g{b} - _g{a} * _s{b} + _n * _g{a} * _g{b}) AS _w{a}_{b}") for a, b in _pairs(p)],
+                        *[F.count_distinct(f).alias(f"_L{f}") for f in fes if fixef_k != "none"]).first()
+        full, within = _symmetric(row, "_p", p), _symmetric(row, "_w", p)
+        if fixef_k != "none":
+            counts = [int(row[f"_L{f}"]) for f in fes]
+        if fixef_k == "nested" and cluster:
+            nested = nested_effects(cen, fes, cl)
+        explained = cells.select(*fes, *[f"_g{i}" for i in range(p)])
+        # few cells mean hot join keys: they go to every task; many are joined by a shuffle, split by AQE where skewed
+        scored = cen.join(F.broadcast(explained) if cells.count() <= BROADCAST_CELLS else explained, fes)
+        tilde = [f"{v} - _g{i} AS _t{i}" for i, v in enumerate(vars_)]
     else:
-        bread_in = np.zeros((kx + 1, kx + 1))
-        bread_in[0, 0] = n
-        bread_in[1:, 1:] = wxx[np.ix_(keep, keep)]
-        K = kx + 1
-        term_names = ["Intercept", *[names[j] for j in keep]]
-    bread = np.linalg.inv(bread_in) if bread_in.size else bread_in
-
-    # pass 3: residual scores (centred coordinates)
-    fe_terms = F.lit(0.0)
-    xt_cols = [F.col(f"_x{j}") for j in keep]
-    scored = cen
-    if spread:
-        moved = absorbed.select(*fes, *[(F.col(f"_m{i}") - F.col(f"_r{i}")).alias(f"_g{i}") for i in range(p)])
-        scored = cen.join(moved, fes)
-        fe_terms = F.col("_g0") - sum((F.col(f"_g{1 + j}") * float(beta[j]) for j in keep), F.lit(0.0))
-        xt_cols = [F.col(f"_x{j}") - F.col(f"_g{1 + j}") for j in keep]
-    elif fes:
-        for i, (f, lv) in enumerate(zip(fes, levels)):
-            off = int(np.cumsum([0] + [len(v) for v in levels])[i])
-            sub = gam[off:off + len(lv)]
-            alpha = sub[:, 0] - sub[:, 1:][:, keep] @ beta_k if kx else sub[:, 0]
-            rows = [(lv[r].item() if hasattr(lv[r], "item") else lv[r], float(alpha[r]),
-                     *[float(sub[r, 1 + j]) for j in keep]) for r in range(len(lv))]
-            spark = df.sparkSession
-            ltab = spark.createDataFrame(rows, [f, f"_a{i}", *[f"_g{i}_{j}" for j in keep]])
-            scored = scored.join(F.broadcast(ltab), on=f, how="left")
-            fe_terms = fe_terms + F.col(f"_a{i}")
-            xt_cols = [xt_cols[q] - F.col(f"_g{i}_{j}") for q, j in enumerate(keep)]
-    fit_expr = sum((F.col(f"_x{j}") * float(beta[j]) for j in keep), F.lit(0.0))
-    resid = F.col("_y") - fit_expr - fe_terms
-    if not fes:
-        xt_cols = [F.lit(1.0), *xt_cols]
-    kk = len(xt_cols)
-    scores = scored.select(*[f"_cl{i}" for i in range(len(cluster))],
-                           *[(xt_cols[q] * resid).alias(f"_sc{q}") for q in range(kk)])
+        full = within = _symmetric(cen.agg(*prods).first(), "_p", p)
+        scored, tilde = cen, [f"{v} AS _t{i}" for i, v in enumerate(vars_)]
+
+    # each model solves its block of the Gram matrix
+    solved = {}
+    for k, (name, terms) in enumerate(group.items()):
+        at = np.array([1 + tt.index(t) for t in terms], dtype=int)
+        keep = at[_sel_independent(within[np.ix_(at, at)])] if len(at) else at
+        beta = np.linalg.solve(within[np.ix_(keep, keep)], within[keep, 0]) if len(keep) else np.zeros(0)
+        sse = float(within[0, 0] - beta @ within[keep, 0])
+        resid = " - ".join(["_t0", *[f"_t{j} * {_number(b)}" for j, b in zip(keep, beta)]]) + f" AS _e{k}"
+        solved[name] = keep, beta, sse, resid, [f"_e{k}"] * (not fes) + [f"_t{j} * _e{k}" for j in keep]
+
+    # pass 3: scores of all models by cluster, their products summed per dimension in one action
+    meats: dict[str, list] = {name: [] for name in group}
+    sizes: list[int] = []
     if cluster:
-        cl = [f"_cl{i}" for i in range(len(cluster))]
-        # one shuffle: the three meats below are one query over this table, and Spark reuses its
-        # exchange (no persist: a cached plan would keep all shuffle partitions, AQE could not coalesce)
-        inter = scores.groupBy(*cl).agg(*[F.sum(f"_sc{q}").alias(f"_sc{q}") for q in range(kk)])
-
-        sc = [f"_sc{q}" for q in range(kk)]
-        prods = [(a, b) for a in range(kk) for b in range(a, kk)]
+        score = [(name, q, c) for name, (*_, columns) in solved.items() for q, c in enumerate(columns)]
+        # one step each for the demeaned variables and the residuals, so that no expression is repeated per score
+        inter = scored.selectExpr(*cl, *tilde).selectExpr("*", *[s[3] for s in solved.values()])
+        inter = inter.groupBy(*cl).agg(*[F.expr(f"sum({c}) AS _sc{i}") for i, (_, _, c) in enumerate(score)])
+        place = {name: [i for i, s in enumerate(score) if s[0] == name] for name in group}
 
         def meat_row(tab: DataFrame, tag: int) -> DataFrame:
             return tab.agg(F.lit(tag).alias("_tag"), F.count(F.lit(1)).alias("_G"),
-                           *[F.sum(F.col(f"_sc{a}") * F.col(f"_sc{b}")).alias(f"_m{a}_{b}") for a, b in prods])
-
-        # the intersection table is summed per dimension; all meats come back in one action
-        tabs = [meat_row(inter, 0)] if len(cl) == 1 else [
-            meat_row(inter.groupBy(cl[0]).agg(*[F.sum(c).alias(c) for c in sc]), 0),
-            meat_row(inter.groupBy(cl[1]).agg(*[F.sum(c).alias(c) for c in sc]), 1),
-            meat_row(inter, 2)]
-        if len(cl) > 2:
-            raise ValueError("one or two cluster dimensions")
-        allm = tabs[0]
-        for t in tabs[1:]:
-            allm = allm.unionByName(t)
-        got = {r["_tag"]: r for r in allm.collect()}
-        parts = []
-        for tag in sorted(got):
-            r = got[tag]
-            mt = np.zeros((kk, kk))
-            for a, b in prods:
-                mt[a, b] = mt[b, a] = r[f"_m{a}_{b}"] or 0.0
-            parts.append((-1.0 if tag == 2 else 1.0, mt, int(r["_G"])))
-        gs = [g for _, _, g in parts[: len(cl)]]
-        gmin = min(gs)
-        adj = (n - 1) / (n - K) if n > K else float("nan")
-        V = np.zeros((kk, kk))
-        for sign, mt, g in parts:
-            G = gmin if cluster_df == "min" else g
-            V += sign * (G / (G - 1) if G > 1 else float("nan")) * adj * (bread @ mt @ bread)
-        df_t = gmin - 1
-        n_clusters = gs
-    else:
-        sigma2 = sse / (n - K) if n > K else float("nan")
-        V = sigma2 * bread
-        df_t = n - K
-        n_clusters = []
-    est = np.array(([float(mu[0] - mu[1:][keep] @ beta_k)] if not fes else []) + list(beta_k))
-    if not fes:
-        # back to the uncentred intercept: a = a_c - mu_x' b  (a_c = 0 in centred data)
-        T = np.eye(kk)
-        T[0, 1:] = -mu[1:][keep]
-        V = T @ V @ T.T
-    # a two-way covariance can be indefinite: a negative variance gives no standard error (NULL)
-    dv = np.diag(V)
-    se = np.where(dv >= 0, np.sqrt(np.abs(dv)), np.nan)
-    tstat = np.divide(est, se, out=np.full_like(est, np.nan), where=se > 0)
-    pval = [t_sf2(float(t), df_t) for t in tstat]
-    coef = pd.DataFrame({"term": term_names, "estimate": est, "std_error": se, "t_stat": tstat, "p_value": pval})
-    stats = {"nobs": n, "r2": r2, "r2_within": r2_within, "k": K, "n_clusters": n_clusters, "df_t": df_t,
-             "sse": sse}
-    return Fit(coef, stats, V, term_names, dropped)
+                           *[F.expr(f"sum(_sc{own[a]} * _sc{own[b]}) AS _m{k}_{a}_{b}") for k, own in enumerate(place.values()) for a, b in _pairs(len(own))])
+
+        tabs = [inter] if len(cl) == 1 else [inter.groupBy(c).agg(*[F.expr(f"sum(_sc{i}) AS _sc{i}") for i in range(len(score))]) for c in cl] + [inter]
+        union = meat_row(tabs[0], 0)
+        for tag, tab in enumerate(tabs[1:], 1):
+            union = union.unionByName(meat_row(tab, tag))
+        rows = sorted(union.collect(), key=lambda r: r["_tag"])
+        sizes = [int(r["_G"]) for r in rows]
+        for k, (name, own) in enumerate(place.items()):
+            meats[name] = [_symmetric(r, f"_m{k}_", len(own)) for r in rows]
+
+    fits = {}
+    for name, terms in group.items():
+        keep, beta, sse, _, _ = solved[name]
+        kx = len(keep)
+        names = [_name(tt[j - 1]) for j in keep]
+        if fes:
+            bread_in = within[np.ix_(keep, keep)]
+            K = kx if fixef_k == "none" else kx + sum(counts) - (len(counts) - 1) - sum(counts[fes.index(f)] - 1 for f in nested)
+            shown = names
+        else:
+            bread_in = np.zeros((kx + 1, kx + 1))
+            bread_in[0, 0] = n
+            bread_in[1:, 1:] = within[np.ix_(keep, keep)]
+            K = kx + 1
+            shown = ["Intercept", *names]
+        bread = np.linalg.inv(bread_in) if bread_in.size else bread_in
+        if cluster:
+            n_clusters = sizes[:len(cluster)]
+            adj = (n - 1) / (n - K) if n > K else float("nan")
+            V = np.zeros_like(bread)
+            for tag, meat in enumerate(meats[name]):
+                G = min(n_clusters) if cluster_df == "min" else sizes[tag]
+                V += (-1.0 if tag == 2 else 1.0) * (G / (G - 1) if G > 1 else float("nan")) * adj * (bread @ meat @ bread)
+            df_t = min(n_clusters) - 1
+        else:
+            V, df_t, n_clusters = (sse / (n - K) if n > K else float("nan")) * bread, n - K, []
+        est = np.concatenate([[] if fes else [mu[0] - mu[keep] @ beta], beta])
+        if not fes:
+            # back to the uncentred intercept: a = a_c - mu_x' b  (a_c = 0 in centred data)
+            T = np.eye(kx + 1)
+            T[0, 1:] = -mu[keep]
+            V = T @ V @ T.T
+        if repair and V.size and np.isfinite(V).all():
+            values, vectors = np.linalg.eigh((V + V.T) / 2)
+            if values.min() < 0:
+                V = (vectors * np.maximum(values, 0)) @ vectors.T
+        dv = np.diag(V)
+        se = np.where(dv >= 0, np.sqrt(np.abs(dv)), np.nan)
+        tstat = np.divide(est, se, out=np.full_like(est, np.nan), where=se > 0)
+        coef = pd.DataFrame({"term": shown, "estimate": est, "std_error": se, "t_stat": tstat, "p_value": [t_sf2(float(t), df_t) for t in tstat]})
+        sst = float(full[0, 0])
+        stats = {"nobs": n, "r2": 1.0 - sse / sst if sst > 0 else float("nan"),
+                 "r2_within": 1.0 - sse / within[0, 0] if fes and within[0, 0] > 0 else float("nan"),
+                 "k": K, "n_clusters": n_clusters, "df_t": df_t, "sse": sse}
+        fits[name] = Fit(coef, stats, V, shown, [_name(t) for t in terms if 1 + tt.index(t) not in keep])
+    return fits
 
 
 def fit_table(spark: SparkSession, fits: dict[str, Fit]) -> DataFrame:
@@ -469,9 +488,9 @@ def regression_table(spark: SparkSession, fits: dict[str, Fit], keep: list[str],
             hit = f.coef[f.coef["term"] == term]
             lab = labels.get(term, term)
             if len(hit):
-                r = hit.iloc[0]
+                r = hit.iloc[0]  # without a standard error the t line stays empty
                 rows.append((model, lab, f"{r.estimate:.3f}{stars(r.p_value)}", order))
-                rows.append((model, f"{lab} (t)", f"({r.t_stat:.2f})", order + 1))
+                rows.append((model, f"{lab} (t)", "" if math.isnan(r.t_stat) else f"({r.t_stat:.2f})", order + 1))
             else:
                 rows.append((model, lab, "", order))
                 rows.append((model, f"{lab} (t)", "", order + 1))
@@ -486,10 +505,36 @@ def regression_table(spark: SparkSession, fits: dict[str, Fit], keep: list[str],
     return spark.createDataFrame(rows, "model string, row string, value string, row_order int")
 
 
+def t_quantile(df: Column, level: float, nodes: int = 32, steps: int = 12) -> Column:
+    """t with P(|T| <= t) = ``level`` for Student's t with ``df`` degrees of freedom, as an expression.
+
+    With t = sqrt(df) tan(a), P is 2 G / sqrt(pi) times the integral of cos^(df-1) from 0 to a,
+    where G = gamma((df+1)/2) / gamma(df/2). The integral is a Gauss-Legendre sum, G an asymptotic series
+    shifted by 16, and a is found by Newton steps from a normal approximation below the root
+    (P is concave in a, so the steps rise to it).
+    """
+    df = df.cast("double")
+    x, w = np.polynomial.legendre.leggauss(nodes)
+    rule = F.array(*[F.struct(F.lit(float((u + 1) / 2)).alias("x"), F.lit(float(v / 2)).alias("w")) for u, v in zip(x, w)])
+    half, shift = df / 2, 16
+    h = half + shift
+    series = F.sqrt(h) * (1 - 1 / (8 * h) + 1 / (128 * h ** 2) + 5 / (1024 * h ** 3) - 21 / (32768 * h ** 4) - 399 / (262144 * h ** 5))
+    g = F.aggregate(F.sequence(F.lit(0), F.lit(shift - 1)), series, lambda acc, j: acc * (half + j) / (half + j + 0.5))
+    scale = 2 * g / math.sqrt(math.pi)
+    z = NormalDist().inv_cdf(0.5 + level / 2)
+    start = F.atan((z + (z ** 3 + z) / (4 * df)) / F.sqrt(df))
+
+    def newton(a: Column, _: Column) -> Column:
+        area = F.aggregate(rule, F.lit(0.0), lambda acc, r: acc + r["w"] * F.pow(F.cos(a * r["x"]), df - 1)) * a
+        return a - (scale * area - level) / (scale * F.pow(F.cos(a), df - 1))
+
+    return F.sqrt(df) * F.tan(F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, newton))
+
+
 def group_slopes(df: DataFrame, y: str, x: str, by: list[str], level: float = 0.95) -> DataFrame:
     """Simple regression of y on x within each group (ST6): slope, intercept, n, std_error
     (iid), and the ``level`` confidence interval with t(n-2). One aggregate with the built-in
-    ``regr_*`` functions; the t quantile is applied to the small per-group result."""
+    ``regr_*`` functions and a column expression for the t quantile."""
     g = (df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
          .groupBy(*by).agg(F.regr_slope(y, x).alias("estimate"), F.regr_intercept(y, x).alias("intercept"),
                            F.regr_count(y, x).alias("n"), F.regr_sxx(y, x).alias("_sxx"),
@@ -498,12 +543,7 @@ def group_slopes(df: DataFrame, y: str, x: str, by: list[str], level: float = 0.
                              (F.col("n") - 2).cast("double") * F.col("_sxx")))
     g = g.withColumn("std_error", F.when(F.col("n") > 2, se)).drop("_sxx", "_syy", "_sxy")
 
-    @F.pandas_udf("double")
-    def tq(n: pd.Series) -> pd.Series:
-        return n.map(lambda v: t_ppf(0.5 + level / 2.0, float(v) - 2.0) if v and v > 2 else float("nan"))
-
-    ship_package(df.sparkSession)
-    g = g.withColumn("_tq", tq(F.col("n")))
+    g = g.withColumn("_tq", F.when(F.col("n") > 2, t_quantile(F.col("n") - 2, level)))
     return (g.withColumn("conf_low", F.col("estimate") - F.col("_tq") * F.col("std_error"))
             .withColumn("conf_high", F.col("estimate") + F.col("_tq") * F.col("std_error")).drop("_tq"))
 

@@ -92,7 +92,7 @@ def tables(spark: SparkSession, data_dir: str, out_dir: str, cluster: tuple[str,
     write_csv(T.pearson_spearman(reg, DESCRIPTIVE_VARS, ["permno", "rdq"], labels), f"{out_dir}/correlations")
     data = standardize(reg, "log_mve", suffix="_std").persist()
     try:
-        fits = {name: R.ols(data, "bhar", cluster=list(cluster), **spec) for name, spec in MODELS.items()}
+        fits = R.ols_models(data, "bhar", MODELS, cluster=list(cluster))
     finally:
         data.unpersist()
     table = R.regression_table(spark, fits, SHOWN_TERMS, markers=model_markers(MODELS))

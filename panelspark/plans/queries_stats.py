@@ -11,6 +11,7 @@ from panelspark.operators import tables as T
 from panelspark.operators import transforms as W
 from panelspark.operators.quantiles import QSpec, quantiles
 from panelspark.plans import bindings as B
+from panelspark.plans.dense_sql import coefficients_sql, dense_ols_sql, fit_stats_sql, t_table_sql, table_sql
 from panelspark.plans.queries_panel import FF12_NAME_SQL
 from panelspark.plans.jobs import MODELS, SHOWN_TERMS, model_markers
 from panelspark.plans.registry import register
@@ -310,7 +311,7 @@ SELECT 'Intercept' AS term, a AS estimate, sqrt(sse / (n - 2) * (1.0 / n + mx *
 UNION ALL SELECT 'sue', b, sqrt(sse / (n - 2) / sxx) FROM s, e"""
 
 
-@register("ols_simple", _SIMPLE_SQL, ["estimate", "std_error"])
+@register("ols_simple", _SIMPLE_SQL, sig=["estimate", "std_error"])
 def q_ols_simple(spark, sf_dir):
     return _coef_frame(spark, R.ols(_panel(spark, sf_dir), "bhar", ["sue"]))
 
@@ -340,7 +341,7 @@ SELECT 'sue' AS term, regr_slope(yd, xd) AS estimate,
        sqrt((regr_syy(yd, xd) - regr_sxy(yd, xd) * regr_sxy(yd, xd) / regr_sxx(yd, xd))
             / (count(*) - 1 - count(DISTINCT obs_part)) / regr_sxx(yd, xd)) AS std_error
 FROM (SELECT obs_part, bhar - avg(bhar) OVER w AS yd, sue - avg(sue) OVER w AS xd FROM reg_panel
-      WINDOW w AS (PARTITION BY obs_part))""", ["estimate", "std_error"])
+      WINDOW w AS (PARTITION BY obs_part))""", sig=["estimate", "std_error"])
 def q_ols_entity_fe(spark, sf_dir):
     return _coef_frame(spark, R.ols(_panel(spark, sf_dir), "bhar", ["sue"], absorb=["obs_part"], fixef_k="full"))
 
@@ -370,17 +371,22 @@ SELECT 'Intercept' AS term, a AS estimate, c * (sxx * sxx * a00 - 2 * sxx * sx *
 UNION ALL SELECT 'sue', b, c * (sx * sx * a00 - 2 * sx * n * a01 + n * n * a11) FROM v)"""
 
 
-@register("cluster_oneway", _cluster_sql(["permno"]), ["estimate", "std_error"])
+@register("cluster_oneway", _cluster_sql(["permno"]), sig=["estimate", "std_error"])
 def q_cluster_oneway(spark, sf_dir):
     return _coef_frame(spark, R.ols(_panel(spark, sf_dir), "bhar", ["sue"], cluster=["permno"]))
 
 
-@register("cluster_twoway", _cluster_sql(["permno", "fyearq"]), ["estimate", "std_error"])
+@register("cluster_twoway", _cluster_sql(["permno", "fyearq"]), sig=["estimate", "std_error"])
 def q_cluster_twoway(spark, sf_dir):
     return _coef_frame(spark, R.ols(_panel(spark, sf_dir), "bhar", ["sue"], cluster=["permno", "fyearq"]))
 
 
-@register("ols_two_fe", None)
+_STD = "(SELECT *, (log_mve - avg(log_mve) OVER ()) / stddev_samp(log_mve) OVER () AS log_mve_std FROM reg_panel)"
+_MODEL_SQL = {name: dense_ols_sql("bhar", [":".join(t) for t in R.expand_terms(m["terms"])], m.get("absorb", []), ["permno", "fyearq"], _STD)
+              for name, m in MODELS.items()}
+
+
+@register("ols_two_fe", coefficients_sql(_MODEL_SQL["Two-Way FE"]), ["p_value"], sig=["estimate", "std_error", "t_stat"])
 def q_ols_two_fe(spark, sf_dir):
     fit = R.ols(_panel(spark, sf_dir), "bhar", ["sue*same_sign"], absorb=["fyearq", "ff12num"],
                 cluster=["permno", "fyearq"])
@@ -393,34 +399,46 @@ def regression_models(spark, df, cluster=("permno", "fyearq")):
     # five models read the same narrow panel: keep it once (recomputed from lineage if lost)
     df = df.persist()
     try:
-        return {name: R.ols(df, "bhar", cluster=list(cluster), **spec) for name, spec in MODELS.items()}
+        return R.ols_models(df, "bhar", MODELS, cluster=list(cluster))
     finally:
         df.unpersist()
 
 
-@register("regression_table", None)
+@register("cluster_nested_fe", "SELECT term, estimate, std_error FROM (" + dense_ols_sql("bhar", ["sue", "same_sign"], ["fyearq"], ["fyearq"], "reg_panel", "nested") + ")",
+          sig=["estimate", "std_error"])
+def q_cluster_nested_fe(spark, sf_dir):
+    """Errors clustered by the absorbed year, whose levels then count as one parameter (ST7)."""
+    return _coef_frame(spark, R.ols(_panel(spark, sf_dir), "bhar", ["sue", "same_sign"], absorb=["fyearq"], cluster=["fyearq"], fixef_k="nested"))
+
+
+@register("regression_table", table_sql(_MODEL_SQL, SHOWN_TERMS, model_markers(MODELS)))
 def q_regression_table(spark, sf_dir):
     fits = regression_models(spark, _panel(spark, sf_dir))
     return R.regression_table(spark, fits, SHOWN_TERMS, markers=model_markers(MODELS))
 
 
-@register("regression_fit_stats", None)
+@register("regression_fit_stats", fit_stats_sql(_MODEL_SQL), sig=["r2", "r2_within"])
 def q_regression_fit_stats(spark, sf_dir):
     return R.fit_table(spark, regression_models(spark, _panel(spark, sf_dir)))
 
 
-@register("erc_by_group", """
+_ERC_SQL = """
 SELECT fyearq, same_sign, regr_slope(bhar, sue) AS estimate, regr_intercept(bhar, sue) AS intercept,
        regr_count(bhar, sue) AS n,
        CASE WHEN regr_count(bhar, sue) > 2 THEN sqrt((regr_syy(bhar, sue) - regr_sxy(bhar, sue) * regr_sxy(bhar, sue)
             / regr_sxx(bhar, sue)) / ((regr_count(bhar, sue) - 2) * regr_sxx(bhar, sue))) END AS std_error
-FROM reg_panel GROUP BY fyearq, same_sign""", ["estimate", "intercept", "std_error"])
+FROM reg_panel GROUP BY fyearq, same_sign"""
+
+
+@register("erc_by_group", _ERC_SQL, ["estimate", "intercept", "std_error"])
 def q_erc_by_group(spark, sf_dir):
     return R.group_slopes(_panel(spark, sf_dir), "bhar", "sue", ["fyearq", "same_sign"]).select(
         "fyearq", "same_sign", "estimate", "intercept", "n", "std_error")
 
 
-@register("erc_ci", None)
+@register("erc_ci", f"""SELECT e.*, estimate - t * std_error AS conf_low, estimate + t * std_error AS conf_high
+FROM ({_ERC_SQL}) e LEFT JOIN ({t_table_sql("SELECT count(*) - 2 AS df FROM reg_panel GROUP BY fyearq, same_sign HAVING count(*) > 2", [0.95])}) q ON q.df = e.n - 2""",
+          sig=["estimate", "intercept", "std_error", "conf_low", "conf_high"])
 def q_erc_ci(spark, sf_dir):
     return R.group_slopes(_panel(spark, sf_dir), "bhar", "sue", ["fyearq", "same_sign"])
 

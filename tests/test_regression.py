@@ -131,20 +131,101 @@ def test_singletons_peel_to_nothing_in_a_chain(spark):
     assert R.drop_singletons(chain, ["a", "b"]).count() == 0
 
 
-@pytest.mark.parametrize("absorb", [["f"], ["f", "g"]])
-def test_spread_fixed_effects_match_driver_solve(spark, monkeypatch, absorb):
-    """Cells beyond the driver's bound are demeaned by Spark, with the same fit."""
+def plain_absorb(groups, values):
+    """Least-squares fit of level effects, by conjugate gradients on the stacked dummies in numpy."""
+    sizes = [g.max() + 1 for g in groups]
+    offs = np.concatenate([[0], np.cumsum(sizes)])
+    count = np.concatenate([np.bincount(g, minlength=s) for g, s in zip(groups, sizes)])
+
+    def down(v):
+        return np.concatenate([np.bincount(g, weights=v, minlength=s) for g, s in zip(groups, sizes)])
+
+    def up(u):
+        return sum(u[o:o + s][g] for g, s, o in zip(groups, sizes, offs))
+
+    u, r = np.zeros(len(count)), down(values)
+    z = r / count
+    d, rho, first = z, r @ z, r @ z
+    while rho > 1e-26 * first:
+        ad = down(up(d))
+        step = rho / (d @ ad)
+        u, r = u + step * d, r - step * ad
+        z = r / count
+        rho, old = r @ z, rho
+        d = z + rho / old * d
+    return up(u)
+
+
+def test_sparsely_connected_fixed_effects(spark, monkeypatch):
+    """Two FEs whose levels meet about twice each: few rounds, slopes and errors as by a plain solve."""
     rng = np.random.default_rng(5)
-    n = 3000
-    pdf = pd.DataFrame({"f": rng.integers(0, 60, n), "g": rng.integers(0, 9, n), "x": rng.normal(size=n), "z": rng.normal(size=n), "c": rng.integers(0, 40, n)})
-    pdf["y"] = 0.7 * pdf.x - 0.2 * pdf.z + 0.1 * pdf.f + rng.normal(size=n) + pdf.g * (pdf.g > 4)
+    n, levels = 27_000, 9_000
+    f, g, c = rng.integers(0, levels, n), rng.integers(0, levels, n), rng.integers(0, 400, n)
+    f, g = np.unique(f, return_inverse=True)[1], np.unique(g, return_inverse=True)[1]
+    x = rng.normal(size=n) + rng.normal(size=levels)[f]
+    y = 0.7 * x + rng.normal(size=levels)[f] - 2 * rng.normal(size=levels)[g] + rng.normal(size=n)
+    df = spark.createDataFrame(pd.DataFrame({"f": f, "g": g, "c": c, "x": x, "y": y})).repartition(4)
+    made = []
+    real = R.reliable_checkpoint
+    monkeypatch.setattr(R, "reliable_checkpoint", lambda d: made.append(1) or real(d))
+    fit = R.ols(df, "y", ["x"], absorb=["f", "g"], cluster=["c"])
+    assert len(made) - 3 < 50  # one per round, and three before and after
+    yt, xt = y - plain_absorb([f, g], y), x - plain_absorb([f, g], x)
+    beta = (xt @ yt) / (xt @ xt)
+    score = np.bincount(c, weights=xt * (yt - beta * xt))
+    want = np.sqrt(400 / 399 * (n - 1) / (n - 1) * (score @ score)) / (xt @ xt)
+    assert fit.coef.estimate[0] == pytest.approx(beta, rel=1e-9)
+    assert fit.coef.std_error[0] == pytest.approx(want, rel=1e-7)
+
+
+def test_models_of_one_fe_set_equal_single_fits(spark):
+    pdf = _data(500, 8)
+    pdf.loc[pdf.index[:7], "x"] = np.nan
+    pdf["w"] = pdf.x * 0 + np.arange(len(pdf)) % 7
+    pdf["v"] = np.where(np.arange(len(pdf)) % 50 == 0, np.nan, pdf.w)
     df = spark.createDataFrame(pdf)
-    plain = R.ols(df, "y", ["x", "z"], absorb=absorb, cluster=["c"], fixef_k="full")
-    monkeypatch.setattr("panelspark.operators.regression.MAX_CELLS", 10)
-    far = R.ols(df, "y", ["x", "z"], absorb=absorb, cluster=["c"], fixef_k="full")
-    assert far.coef.estimate.to_numpy() == pytest.approx(plain.coef.estimate.to_numpy(), rel=1e-9)
-    assert far.coef.std_error.to_numpy() == pytest.approx(plain.coef.std_error.to_numpy(), rel=1e-8)
-    assert far.stats["r2_within"] == pytest.approx(plain.stats["r2_within"], rel=1e-9) and far.stats["k"] == plain.stats["k"]
+    models = {"a": {"terms": ["x"]}, "b": {"terms": ["x*z"], "absorb": ["f1"]}, "c": {"terms": ["x*z", "w"], "absorb": ["f1", "f2"]},
+              "d": {"terms": ["x"], "absorb": ["f1", "f2"]}, "e": {"terms": ["x", "v"], "absorb": ["f1"]}, "f": {"terms": ["x*z"]}}
+    for cluster in (["c1", "f1"],):
+        both = R.ols_models(df, "y", models, cluster=cluster)
+        assert list(both) == list(models)
+        for name, spec in models.items():
+            one = R.ols(df, "y", spec["terms"], absorb=spec.get("absorb"), cluster=cluster)
+            pd.testing.assert_frame_equal(both[name].coef, one.coef, rtol=1e-8)
+            assert both[name].stats["nobs"] == one.stats["nobs"] and both[name].stats["r2"] == pytest.approx(one.stats["r2"], rel=1e-10)
+    assert both["e"].stats["nobs"] < both["b"].stats["nobs"] == 493
+
+
+def test_nested_effects_count_once(spark):
+    """An FE inside the clusters counts as one parameter, others by their levels."""
+    pdf = _data(600, 9)
+    pdf["firm"] = pdf.c1 * 5 + np.arange(len(pdf)) % 5
+    df = spark.createDataFrame(pdf)
+    D = pd.get_dummies(pdf[["firm", "f1"]].astype(str)).to_numpy(float)
+    full = np.column_stack([pdf.x, D])
+    b, *_ = np.linalg.lstsq(full, pdf.y.to_numpy(), rcond=None)
+    e = pdf.y.to_numpy() - full @ b
+    xt = pdf.x.to_numpy() - D @ np.linalg.lstsq(D, pdf.x.to_numpy(), rcond=None)[0]
+    meat = sum((xt[pdf.c1 == g] @ e[pdf.c1 == g]) ** 2 for g in np.unique(pdf.c1))
+    G, n, firms, f1 = pdf.c1.nunique(), len(pdf), pdf.firm.nunique(), pdf.f1.nunique()
+    for kind, k in (("none", 1), ("full", 1 + firms + f1 - 1), ("nested", 1 + 1 + f1 - 1)):
+        fit = R.ols(df, "y", ["x"], absorb=["firm", "f1"], cluster=["c1"], fixef_k=kind)
+        assert fit.stats["k"] == k
+        assert fit.coef.std_error[0] == pytest.approx(np.sqrt(G / (G - 1) * (n - 1) / (n - k) * meat) / (xt @ xt), rel=1e-8)
+    assert R.nested_effects(df, ["firm", "f1"], ["c1", "f2"]) == ["firm"]
+
+
+def test_indefinite_covariance_can_be_repaired(spark):
+    for seed in range(30):
+        pdf = _data(60, 100 + seed)
+        df = spark.createDataFrame(pdf)
+        plain = R.ols(df, "y", ["x*z"], cluster=["f1", "f2"])
+        values, vectors = np.linalg.eigh(plain.vcov)
+        if values.min() < -1e-9:
+            break
+    fixed = R.ols(df, "y", ["x*z"], cluster=["f1", "f2"], repair=True)
+    assert fixed.vcov == pytest.approx((vectors * np.maximum(values, 0)) @ vectors.T, abs=1e-12)
+    assert np.linalg.eigvalsh(fixed.vcov).min() > -1e-12 and fixed.coef.std_error.notna().all()
 
 
 def test_fixed_effect_with_600000_levels(spark):
