@@ -9,7 +9,7 @@ from html.parser import HTMLParser
 import numpy as np
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head script style template noscript title svg iframe object math".split())
+HIDDEN = frozenset("head script style template title svg iframe".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody
 td textarea tfoot th thead tr ul""".split())
@@ -27,17 +27,19 @@ TAGS = {
     "table": ["table", "tbody", "thead", "tfoot", "tr", "td", "th", "caption"], "quote": ["blockquote", "pre", "code", "figure", "figcaption"],
 }
 TAG_GROUP = {t: i for i, ts in enumerate(TAGS.values()) for t in ts}
-#: beginnings of words in class, id and role attributes
+FORM = TAG_GROUP["form"]
+BOND = 1.0  # what a node gains by following its chosen parent
+#: words in class, id and role attributes (an added s counts as the same word)
 ATTRS = {
     "good": "article content post entry story main body text prose page-content markdown read hentry".split(),
-    "menu": "nav menu breadcrumb toc tabs pagination pager skip toolbar".split(),
-    "edge": "foot copyright colophon legal bottom".split(),
-    "top": "header masthead banner logo brand topbar".split(),
-    "side": "side aside rail widget related recommend more promo teaser also popular trending".split(),
-    "ads": "ad ads advert advertisement sponsor sponsored dfp promo outbrain taboola".split(),
+    "menu": "nav navbar navigation menu submenu breadcrumb toc tab pagination pager skip toolbar".split(),
+    "edge": "foot footer copyright colophon legal bottom".split(),
+    "top": "header head masthead banner logo brand topbar".split(),
+    "side": "side sidebar aside rail widget related recommend more promo teaser also popular trending".split(),
+    "ads": "ad advert advertisement advertising sponsor sponsored dfp promo outbrain taboola".split(),
     "notice": "cookie consent gdpr notice alert popup modal overlay newsletter subscribe paywall toast privacy".split(),
-    "talk": "comment comments reply replies disqus discussion respond thread feedback".split(),
-    "share": "share social follow tags meta byline author rating like".split(),
+    "talk": "comment reply replies disqus discussion respond thread feedback".split(),
+    "share": "share sharing social follow tag meta byline author rating like".split(),
     "form": "form search login signup signin register input".split(),
 }
 WORD = re.compile(r"[a-z]+|[0-9]+")
@@ -47,7 +49,7 @@ WORD = re.compile(r"[a-z]+|[0-9]+")
 def word_groups(value: str) -> frozenset[int]:
     words = WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
     return frozenset(i for i, known in enumerate(ATTRS.values())
-                     if any(w in known or (len(k) > 3 and w.startswith(k)) for w in words for k in known))
+                     if any(w in known or (w.endswith("s") and w[:-1] in known) for w in words))
 
 
 def attribute_groups(attrs) -> list[int]:
@@ -164,11 +166,16 @@ class Forest:
 
     def above(self, flags: np.ndarray) -> np.ndarray:
         """Whether a node or one of its ancestors has the flag (columns apart)."""
-        out = flags.copy()
-        for d in range(1, int(self.depth.max(initial=0)) + 1):
-            at = np.flatnonzero(self.depth == d)
-            out[at] |= out[self.parent[at]]
-        return out
+        # a subtree is a range of nodes in page order: count the ranges of flagged nodes that cover each node
+        edge = np.zeros((len(flags) + 1, flags.shape[1]), np.int64)
+        edge[:-1] += flags
+        np.add.at(edge, self.end, -flags.astype(np.int64))
+        return np.cumsum(edge[:-1], axis=0) > 0
+
+    def levels(self) -> list[np.ndarray]:
+        """Nodes by depth, the roots first."""
+        order = self.depth.argsort(kind="stable")
+        return np.split(order, np.searchsorted(self.depth[order], np.arange(1, int(self.depth.max(initial=0)) + 1)))
 
     def features(self) -> np.ndarray:
         """Per node: tag group, attribute groups (own, above, share below), subtree text and link
@@ -214,7 +221,17 @@ class Forest:
             before / total, self.depth, place, many, place / np.maximum(many, 1), np.log1p(prev), np.log1p(after), np.log1p(text[up]),
             dens[up], share[up], np.log1p(paras[up]), many[up]]).astype(np.float32)
 
-    def decode(self, gain: np.ndarray, bond: float = 1.0) -> np.ndarray:
+    def inline(self) -> np.ndarray:
+        """Text and plain inline elements of blocks without blocks in them: what a reader sees as part of that block.
+        Form controls, and elements that class or id name as something else than content, are left out."""
+        block = np.array([t in BLOCK for t in self.tags], bool)
+        own = np.arange(len(self.tags))
+        for at in self.levels()[1:]:
+            own[at] = np.where(block[at], at, own[self.parent[at]])
+        other = np.array([TAG_GROUP.get(t) == FORM or bool(set(g) - {0}) for t, g in zip(self.tags, self.groups)], bool)
+        return ~block & ~other & (self.below(block) == 0) & block[own] & (self.below(block)[own] == 1)
+
+    def decode(self, gain: np.ndarray, bond: float = BOND) -> np.ndarray:
         """The best consistent choice of nodes: a node can be chosen only below a chosen one.
 
         ``gain`` is a node's log-odds, ``bond`` what a node gains by following its chosen parent. From the leaves up, a subtree is worth its node's gain and
@@ -222,13 +239,11 @@ class Forest:
         below chosen nodes are chosen.
         """
         worth = gain.astype(np.float64) + np.where(self.root, 0.0, bond)
-        deepest = int(self.depth.max(initial=0))
-        for d in range(deepest, 0, -1):
-            at = np.flatnonzero(self.depth == d)
+        levels = self.levels()
+        for at in levels[:0:-1]:
             np.add.at(worth, self.parent[at], np.maximum(worth[at], 0))
         chosen = (worth > 0) & self.root
-        for d in range(1, deepest + 1):
-            at = np.flatnonzero(self.depth == d)
+        for at in levels[1:]:
             chosen[at] = (worth[at] > 0) & chosen[self.parent[at]]
         return chosen
 

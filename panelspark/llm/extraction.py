@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from panelspark.llm import boosting
 from panelspark.llm.common import map_rows, slices
-from panelspark.llm.dom import HIDDEN, Dom, Forest
+from panelspark.llm.dom import BOND, HIDDEN, Dom, Forest
 
 GOOD = ["article", "main", 'div class="content"', 'div id="post-body"', 'section class="entry-content"', 'div class="story"', "div",
         'div class="main-text"', 'div role="main"', 'article class="post"']
@@ -53,6 +53,15 @@ def page_lines(html: str) -> list[tuple[str, str]] | None:
     return [x for x in lines if x[1]] or None
 
 
+STAND_IN = [("p", "some words of a line that stand for the main text of a page")] * 4
+
+
+def any_lines(html: str | None) -> list[str]:
+    """The texts of a page's blocks, whatever they are."""
+    forest = Forest([Dom(html)])
+    return [x for x in forest.page_texts(np.ones(len(forest.tags), bool))[0].split("\n") if x]
+
+
 def variant(lines: list[tuple[str, str]], pool: list[str], rng: random.Random) -> str:
     """A page of another make around the given blocks; every added block carries the attribute ``x-bad``."""
     pick = lambda: escape(rng.choice(pool))
@@ -114,8 +123,9 @@ def node_labels(forest: Forest, bad: np.ndarray, core: np.ndarray | None = None)
     return (forest.below(good) > 0) & ~out & ~hidden
 
 
-def train(pages: list[str], variants: int = 2, seed: int = 42, max_nodes: int = 40_000) -> boosting.Boosted:
-    """Fit the node model on pages that name their article or main element.
+def train(pages: list[str], variants: int = 2, seed: int = 42) -> boosting.Boosted:
+    """Fit the node model on pages that name their article or main element. Where none of ``pages`` does, the
+    lines of five words or more of all pages (of none: a stand-in line) take the place of main text, and only remakes train the model.
 
     Each page is used as it is, and in ``variants`` remakes: its blocks in containers of other
     names, among menus, side columns, notices, adverts, forms and comments filled with lines of
@@ -123,13 +133,17 @@ def train(pages: list[str], variants: int = 2, seed: int = 42, max_nodes: int =
     """
     rng = random.Random(seed)
     known = [(p, x) for p in pages if (x := page_lines(p))]
+    bare = not known
+    if bare:
+        known = [(p, [("p", x) for x in any_lines(p) if len(x.split()) > 4] or STAND_IN) for p in pages] or [("", STAND_IN)]
+        known *= -(-50 // len(known))  # enough remakes to learn from
     pool = [line for _, x in known for _, line in x if len(line.split()) > 2] or ["a b c"]
-    xs, ys, count = [], [], 0
+    xs, ys = [], []
     for html, lines in known:
         plain = Forest([Dom(html)])
         core = plain.above(np.array([[t in ("article", "main")] for t in plain.tags], bool).reshape(-1, 1))[:, 0]
         marks = np.array([t in ("nav", "aside", "footer", "form") or bool(set(g) - {0}) for t, g in zip(plain.tags, plain.groups)], bool)
-        made = [(plain, node_labels(plain, marks, core))]
+        made = [] if bare else [(plain, node_labels(plain, marks, core))]
         for _ in range(variants):
             dom = _Marked(variant(lines, pool, rng))
             forest = Forest([dom])
@@ -139,18 +153,13 @@ def train(pages: list[str], variants: int = 2, seed: int = 42, max_nodes: int =
         for forest, y in made:
             xs.append(forest.features())
             ys.append(y)
-            count += len(y)
-        if count > max_nodes:
-            break
-    if not xs:
-        return boosting.Boosted(1.0, np.zeros((0, 15), np.int64), np.zeros((0, 15)), np.zeros((0, 16)))
     return boosting.train(np.vstack(xs), np.concatenate(ys).astype(float))
 
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = 400, max_chars: int = 20_000, seed: int = 42) -> boosting.Boosted:
     """``train`` on at most ``max_pages`` pages of at most ``max_chars`` characters (the smallest
     hashes of id and html, repeated rows once): the bounded sample that reaches the driver. The
-    hashes are chosen first, so no page but these travels."""
+    hashes are chosen first, so no page but these travels. Every sampled page is used."""
     rows = pages.select(F.col(id_col).cast("string").alias("id"), F.col(html_col).cast("string").alias("html"))
     rows = rows.where(F.length("html").between(1, max_chars)).withColumn("h", F.xxhash64("id", "html"))
     last = rows.select("h").distinct().orderBy("h").limit(max_pages).agg(F.max("h")).first()[0]
@@ -164,7 +173,10 @@ def extract_batch(pages: list[str | None], model: boosting.Boosted) -> list[str]
     forest = Forest([Dom(p) for p in pages])
     if not forest.tags:
         return [""] * len(pages)
-    return forest.page_texts(forest.decode(model.log_odds(forest.features())))
+    gain = model.log_odds(forest.features())
+    # inline content stands and falls with its block, and has no say in the choice of it
+    gain = np.where(forest.inline(), np.maximum(gain, 1e-9 - BOND), gain)
+    return forest.page_texts(forest.decode(gain))
 
 
 def _extract(batches, model):
@@ -181,7 +193,7 @@ def extract(pages: DataFrame, model: boosting.Boosted, id_col: str = "page_id",
     joined in page order by line feeds. Null and empty html, and pages of which no node is chosen,
     give an empty text. Null ids and urls are kept, repeated rows give a row each, unclosed and
     wrongly nested tags are closed as browsers do, an empty table gives no rows, and other
-    columns are not read.
+    columns are not read. Work grows linearly with a page's length and depth.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     return map_rows(rows, partial(_extract, model=model), "page_id long, url string, text string, n_chars long")

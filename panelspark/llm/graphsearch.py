@@ -31,9 +31,10 @@ def beam_search(x: np.ndarray, sq: np.ndarray, graph: np.ndarray, entry: np.ndar
     squared distances less the query's own square), nearest first; -1 where fewer were met.
 
     A step expands each query's nearest unexpanded node of the beam; a query ends when its beam
-    holds none.
+    holds none. Of nodes at one distance the beam keeps the smaller numbers.
     """
     m, n = len(q), len(x)
+    tie = 1e-9 * (float(sq.max(initial=0)) + 1e-30) / max(n, 1)  # far below the spacing of distances
     seen = np.zeros((m, n), bool)
     start = np.tile(entry, (m, 1))
     d0 = sq[entry][None, :] - 2 * (q @ x[entry].T)
@@ -63,11 +64,11 @@ def beam_search(x: np.ndarray, sq: np.ndarray, graph: np.ndarray, entry: np.ndar
         alln = np.concatenate([nodes[live], near], axis=1)
         alld = np.concatenate([dist[live], d], axis=1)
         alle = np.concatenate([expanded[live], ~new], axis=1)
-        best = np.argpartition(alld, width - 1, axis=1)[:, :width]
+        best = np.argpartition(alld + tie * alln, width - 1, axis=1)[:, :width]
         nodes[live] = np.take_along_axis(alln, best, 1)
         dist[live] = np.take_along_axis(alld, best, 1)
         expanded[live] = np.take_along_axis(alle, best, 1) | ~np.isfinite(dist[live])
-    order = dist.argsort(axis=1, kind="stable")[:, :beam]
+    order = (dist + tie * nodes).argsort(axis=1, kind="stable")[:, :beam]
     dist = np.take_along_axis(dist, order, 1)
     return np.where(np.isfinite(dist), np.take_along_axis(nodes, order, 1), -1), dist
 
@@ -136,11 +137,11 @@ def _matrix(series: pd.Series) -> np.ndarray:
 
 
 def _build_shard(pdf: pd.DataFrame, longest: float, degree: int, beam: int, alpha: float, seed: int) -> pd.DataFrame:
-    pdf = pdf.sort_values("cls", ignore_index=True)  # one order, whichever task runs this
+    pdf = pdf.sort_values(["low", "cls"], ignore_index=True)  # one order, whichever task runs this
     x = _matrix(pdf.v)
     pad = np.sqrt(np.maximum(longest * longest - (x * x).sum(axis=1), 0))
     graph, entry = build(np.column_stack([x, pad]), degree, beam, alpha, seed)
-    return pdf[["shard", "cls", "v"]].assign(node=np.arange(len(pdf)), links=list(graph), entry=np.isin(np.arange(len(pdf)), entry))
+    return pdf[["shard", "cls", "low", "v"]].assign(node=np.arange(len(pdf)), links=list(graph), entry=np.isin(np.arange(len(pdf)), entry))
 
 
 def _search_shard(index: pd.DataFrame, queries: pd.DataFrame, longest: float, k: int, beam: int) -> pd.DataFrame:
@@ -151,7 +152,7 @@ def _search_shard(index: pd.DataFrame, queries: pd.DataFrame, longest: float, k:
     exact = _matrix(index.v)
     x = np.column_stack([exact, np.sqrt(np.maximum(longest * longest - (exact * exact).sum(axis=1), 0))]).astype(np.float32)
     graph, sq = np.array(index.links.tolist()), (x * x).sum(axis=1)
-    entry, cls = np.flatnonzero(index.entry), index.cls.to_numpy()
+    entry, cls, low = np.flatnonzero(index.entry), index.cls.to_numpy(), index.low.to_numpy()
     q = _matrix(queries.v)
     qx = np.column_stack([q, np.zeros(len(q))]).astype(np.float32)
     out = []
@@ -160,9 +161,9 @@ def _search_shard(index: pd.DataFrame, queries: pd.DataFrame, longest: float, k:
         row, at = np.nonzero(met >= 0)
         node = met[row, at]
         score = np.einsum("ij,ij->i", q[lo + row], exact[node])
-        part = pd.DataFrame({"qcls": queries.qcls.to_numpy()[lo + row], "cls": cls[node], "score": score})
-        out.append(part.sort_values(["qcls", "score", "cls"], ascending=[True, False, True]).groupby("qcls").head(k))
-    return pd.concat([empty, *out], ignore_index=True)
+        part = pd.DataFrame({"qcls": queries.qcls.to_numpy()[lo + row], "cls": cls[node], "low": low[node], "score": score})
+        out.append(part.sort_values(["qcls", "score", "low"], ascending=[True, False, True]).groupby("qcls").head(k))
+    return pd.concat([empty, *out], ignore_index=True)[list(empty.columns)]
 
 
 def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 20, k: int = 20,
@@ -172,7 +173,7 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     row whose id is divisible by ``every``, over all rows but those of the query's own id.
 
     Equal vectors form one class, of which the graph holds one node and the answer the smallest
-    ids (k + 1 at most can matter). All classes are indexed, in shards of about ``shard_rows``; every
+    ids (k + 1 at most can matter); of classes at one score a shard returns those of smallest id. All classes are indexed, in shards of about ``shard_rows``; every
     query block searches every shard; scores are inner products of the original vectors in
     double precision, ties go to the smaller id. Rows repeated with id and vector count once; an id
     with several vectors is several candidates, and as a query gets the k nearest of each vector
@@ -188,16 +189,16 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     slim = rows.select("id", "cls").distinct()
     members = reliable_checkpoint(slim.withColumn("_n", F.row_number().over(W.partitionBy("cls").orderBy("id"))).where(F.col("_n") <= k + 1).drop("_n"))
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, y: a + y * y))
-    classes = reliable_checkpoint(rows.groupBy("cls").agg(F.first("v").alias("v")).select("cls", "v", F.size("v").alias("dim"), norm.alias("norm")))
+    classes = reliable_checkpoint(rows.groupBy("cls").agg(F.first("v").alias("v"), F.min("id").alias("low")).select("cls", "low", "v", F.size("v").alias("dim"), norm.alias("norm")))
     asked = reliable_checkpoint(rows.where(F.col("id") % every == 0).select("id", F.col("cls").alias("qcls")).distinct())
     qvec = classes.join(asked.select(F.col("qcls").alias("cls")).distinct(), "cls", "left_semi").select(F.col("cls").alias("qcls"), F.col("v"), "dim")
     found = None
     for dim, n, longest in sorted(classes.groupBy("dim").agg(F.count("*"), F.max("norm")).collect()):
         shards = max(1, -(-n // shard_rows))
-        own = classes.where(F.col("dim") == dim).select("cls", "v", F.pmod(F.xxhash64("cls", F.lit(seed)), F.lit(shards)).alias("shard"))
+        own = classes.where(F.col("dim") == dim).select("cls", "low", "v", F.pmod(F.xxhash64("cls", F.lit(seed)), F.lit(shards)).alias("shard"))
         make = partial(_build_shard, longest=longest, degree=degree, beam=build_beam, alpha=alpha, seed=seed)
         index = reliable_checkpoint(own.groupBy("shard").applyInPandas(
-            lambda pdf: make(pdf), "shard long, cls long, v array<double>, node long, links array<long>, entry boolean"))
+            lambda pdf: make(pdf), "shard long, cls long, low long, v array<double>, node long, links array<long>, entry boolean"))
         ask = qvec.where(F.col("dim") == dim)
         blocks = max(1, -(-ask.count() // query_block))
         ask = ask.withColumn("block", F.pmod(F.xxhash64("qcls", F.lit(seed)), F.lit(blocks)))

@@ -191,12 +191,16 @@ def simhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """One row of each class of ``simhash_dedup``, with all its columns: one with the smallest id.
+    """One row of each class of ``simhash_dedup``, with all its columns: the first by id, then by a hash of its columns.
 
-    Rows with a null id stand after all others, in the order of a hash of their columns. Of
-    several rows with the kept id, one stays.
+    Rows with a null id stand after all others. Each row belongs to the class of its own text, so rows of one id with
+    unlike texts are kept or dropped apart; of rows equal in all columns one stays.
     """
-    stand_in = F.shiftrightunsigned(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), 2) + F.lit(1 << 62)
-    rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("_row"), F.coalesce(df[id_col].cast("long"), stand_in).alias("_id"), df[text_col].alias("_text"))
-    kept = simhash_dedup(rows, "_id", "_text", shingle, max_bits).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return rows.select("_id", "_row").join(kept, "_id", "left_semi").dropDuplicates(["_id"]).select("_row.*")
+    mark = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("_row"), df[id_col].cast("long").alias("_id"), mark.alias("_mark"), df[text_col].alias("_text"))
+    docs = reliable_checkpoint(fingerprints(rows, "_mark", "_text", shingle).distinct().join(
+        rows.select(F.col("_mark").alias("id"), "_id").distinct(), "id"))
+    roots = connected_components(hamming_links(docs.select("fp").distinct(), max_bits)).withColumnRenamed("node", "fp")
+    first = docs.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(
+        F.min(F.struct(F.col("_id").isNull().alias("last"), "_id", "id")).alias("first"))
+    return rows.select("_mark", "_row").join(first.select(F.col("first.id").alias("_mark")), "_mark", "left_semi").dropDuplicates(["_mark"]).select("_row.*")

@@ -61,12 +61,52 @@ def test_boosting_learns_a_rule():
     assert ((model.log_odds(x[2000:]) > 0) == y[2000:]).mean() > 0.95
 
 
+#: pages written by hand, and the text that a reader would call their main text
+HAND = [
+    ("""<html><head><title>T</title><script>var a = 1;</script></head><body><nav><ul><li><a href=/>Home</a><li><a href=/b>News</a></ul></nav>
+     <article><h1>A walk</h1><p class="formatted">We left at <b>dawn</b> and saw&nbsp;the sea, then went on to the village by the bay.</p>
+     <p id="morella">Let <math><mi>x</mi></math> be the number of birds that we counted on the long way home that day.</p></article>
+     <footer>&copy; 2020 Somebody. All rights reserved.</footer></body></html>""",
+     "A walk\nWe left at dawn and saw the sea, then went on to the village by the bay.\nLet x be the number of birds that we counted on the long way home that day."),
+    ("""<body><header><a href="/">Site</a></header><div class="menu"><a href=1>One</a> <a href=2>Two</a> <a href=3>Three</a></div>
+     <article><p>The first paragraph is long enough to be read as the text of an article on this page.</p><ul><li>An item of a list that belongs to it</li></ul>
+     <object><p>Words that stand inside an object element of the article and belong to its text.</p></object></article>
+     <div class="comments"><p>First!</p><p>I disagree with all of this.</p></div><form><label>Search</label><input name=q><button>Go</button></form></body>""",
+     "The first paragraph is long enough to be read as the text of an article on this page.\nAn item of a list that belongs to it\n"
+     "Words that stand inside an object element of the article and belong to its text."),
+]
+
+
+def test_extraction_of_hand_written_pages(spark):
+    """Expected texts that no labeller made; the model learns from the given pages."""
+    model = extraction.fit(table(spark, SF, "pages"))
+    assert extraction.extract_batch([h for h, _ in HAND], model) == [t for _, t in HAND]
+
+
+def test_extraction_without_a_labelled_page():
+    """No page names its article: remakes of the pages' lines teach the model what menus and footers are."""
+    page = "<nav><a href=/>Home</a> <a href=/x>More</a></nav><div><p>Hello world, this is a line of text that one may read.</p></div><footer>c 2020</footer>"
+    for pages in ([page], [page] * 60, []):
+        assert extraction.extract_batch([page], extraction.train(pages)) == ["Hello world, this is a line of text that one may read."]
+
+
+def test_extraction_of_a_deep_page_is_linear():
+    import time
+
+    deep = "<div>" * 40_000 + "<p>the bottom</p>" + "</div>" * 40_000
+    t0 = time.perf_counter()
+    forest = extraction.Forest([extraction.Dom(deep)])
+    forest.features()
+    chosen = forest.decode(np.ones(len(forest.tags)))
+    assert forest.page_texts(chosen) == ["the bottom"] and time.perf_counter() - t0 < 10
+
+
 def test_chat_perspectives(spark):
     rows = [(1, 0, "system", "rules"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 3, "ann", "é💩"), (1, 3, "ann", "é💩"), (None, 0, "ann", "x"),
             (2, None, "ann", "late"), (2, 5000, None, "who"), (2, 1, "bob", ""), (3, 0, "system", "alone")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, part string")
     got = {(r.conv_id, r.part, r.speaker): r for r in chat.perspectives(df).collect()}
-    assert set(got) == {(1, 0, "ann"), (1, 0, "bob")} | {(2, p, s) for p in (-1, 0, 1) for s in ("ann", "bob")}
+    assert set(got) == {(c, 0, s) for c in (1, 2) for s in ("ann", "bob")}
     one = got[1, 0, "ann"]
     assert one.text.startswith("<|im_start|>system\nrules<|im_end|>\n<|im_start|>assistant\nhi<|im_end|>\n<|im_start|>user name=bob\n<|im_end|>\n")
     assert [one.text[s.start:s.stop] for s in one.spans] == ["hi<|im_end|>", "é💩<|im_end|>", "é💩<|im_end|>"]
@@ -79,6 +119,24 @@ def test_chat_perspectives(spark):
     assert "Python" not in chat.perspectives(df)._jdf.queryExecution().toString() and "Arrow" not in chat.perspectives(df)._jdf.queryExecution().toString()
 
 
+def test_long_dialogues_are_parted_by_place(spark):
+    """Time-stamped turns stay together; a long dialogue is cut by the places of its turns, whatever their numbers."""
+    rng = np.random.default_rng(4)
+    rows = [(1, 3000 * k, ["ann", "bob"][k % 2], f"m{k}") for k in range(6)]
+    rows += [(2, int(rng.integers(0, 40)) if k % 3 else None, ["ann", "bob", "cy", None][k % 4], f"t{k % 11}") for k in range(500)]
+    rows += [(3, None, "ann", "same")] * 130 + [(4, k, "dan", "x") for k in range(64)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    got = chat.perspectives(df, part_turns=64).collect()
+    texts = {(r.conv_id, r.part, r.speaker): r.text for r in got}
+    assert {k for k in texts if k[0] != 2} == {(1, 0, "ann"), (1, 0, "bob"), (3, 0, "ann"), (3, 1, "ann"), (3, 2, "ann"), (4, 0, "dan")}
+    order = lambda r: tuple((x is not None, x if x is not None else 0) for x in r[1:])
+    for speaker in ("ann", "bob", "cy"):
+        turns = sorted((r for r in rows if r[0] == 2), key=order)
+        whole = "".join("<|im_start|>" + ("assistant" if role == speaker else "user" if role is None else f"user name={role}") + f"\n{text}<|im_end|>\n" for _, _, role, text in turns)
+        assert "".join(texts[2, p, speaker] for p in range(8)) == whole
+    assert all(r.n_turns <= 64 for r in got) and sum(r.n_turns for r in got if r.speaker == "ann") == 6 + 500 + 130
+
+
 def vectors(n=300, dim=16, seed=0):
     rng = np.random.default_rng(seed)
     x = rng.normal(size=(n, dim))
@@ -159,6 +217,21 @@ def test_graph_search_recall_and_order(spark):
     assert hits / total >= 0.9
 
 
+def test_graph_search_ties_go_to_smaller_ids(spark):
+    rng = np.random.default_rng(12)
+    x = rng.choice([-1.0, 1.0], size=(2000, 16))
+    x = x[np.sort(np.unique(x, axis=0, return_index=True)[1])]
+    got = graphsearch.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
+    mine: dict = {}
+    for r in sorted(got, key=lambda r: r.rank):
+        mine.setdefault(r.query_id, []).append(r.vec_id)
+    hits = 0
+    for q, ids in mine.items():
+        s = x @ x[q]
+        hits += len(set(ids) & {j for _, j in sorted((-s[j], j) for j in range(len(x)) if j != q)[:20]})
+    assert hits / (20 * len(mine)) >= 0.95
+
+
 def test_graph_search_edges(spark):
     x = vectors(40)
     df = frame(spark, x * np.linspace(0.1, 9, 40)[:, None])
