@@ -4,6 +4,8 @@ import hashlib
 import os
 import tempfile
 
+import numpy as np
+import pytest
 from conftest import SF_SMALL
 from panelspark.operators.quality import encode_alphabetical
 from panelspark.plans import bindings as B
@@ -30,6 +32,23 @@ def test_jobs_end_to_end(spark):
             content = fh.read()
         assert row.sha256 == hashlib.sha256(content).hexdigest() and row.size_mb == len(content) / 1e6 and len(row.mtime) == 16
 
+    reg = spark.read.parquet(f"{data}/regdata.parquet").toPandas()
+    jobs.figures(spark, data, out)
+    rates = spark.read.parquet(f"{out}/fig_industry.parquet").toPandas()
+    assert rates.n.sum() == len(reg) and rates.set_index("FF12").pct_same_sign.to_dict() == pytest.approx(reg.groupby("FF12").same_sign.mean().to_dict())
+    slopes = {(r.fyearq, r.same_sign): r for r in spark.read.parquet(f"{out}/fig_erc.parquet").collect()}
+    for key, part in reg.groupby(["fyearq", "same_sign"]):
+        assert slopes[key].n == len(part)
+        if len(part) > 2:
+            assert slopes[key].estimate == pytest.approx(np.polyfit(part.sue, part.bhar, 1)[0], rel=1e-6, abs=1e-9)
+    jobs.tables(spark, data, out)
+    table = {(r["model"], r["row"]): r["value"] for r in spark.read.option("header", True).csv(f"{out}/regression_long").collect()}
+    assert {table[m, "N"] for m in jobs.MODELS} == {f"{len(reg):,}"}
+    x = np.column_stack([np.ones(len(reg)), reg.sue])
+    beta, *_ = np.linalg.lstsq(x, reg.bhar, rcond=None)
+    assert table["Base", "sue"].rstrip("*") == f"{beta[1]:.3f}"
+    assert spark.read.option("header", True).csv(f"{out}/selection").count() == 9
+
 
 def test_large_files_are_streamed(spark, tmp_path, monkeypatch):
     from panelspark.sources import inventory
