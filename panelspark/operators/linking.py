@@ -1,8 +1,8 @@
 """Validity-range joins (SCD-2 style links): J1, J2, J2b.
 
 The join is an equi join on the entity key with the date range as a residual
-condition, so Spark plans it as a hash or sort-merge join on the key (never a nested
-loop). A link table is usually small; Catalyst broadcasts it when its statistics are
+condition, or (``bucket_days``) on the key and bins of several resolutions, so Spark plans it as a
+hash or sort-merge join (never a nested loop). A link table is usually small; Catalyst broadcasts it when its statistics are
 under the broadcast threshold, and AQE re-plans from runtime sizes and splits a skewed
 entity on the panel side.
 """
@@ -29,30 +29,34 @@ def range_join(left: DataFrame, right: DataFrame, keys: list[str] | dict[str, st
     - ``how="left"`` keeps unmatched rows with NULLs; ``unmatched="drop"`` instead joins on
       the key and then filters, so a key present but out of range is dropped (J2b, R).
     - several matching ranges fan out (kept, as in the reference).
-    - ``bucket_days``: when keys carry many ranges, explode each range into the time buckets
-      it overlaps and join on (keys, bucket) with the exact range as residual, so a row is
-      compared only with ranges near its date (a binned range join). Each row has exactly one
-      bucket, so inner and left results are identical to the unbucketed join; NULL dates have a
-      bucket of their own. The buckets span the dates the ranges name (one scalar aggregate over
-      the ranges); the left side is read once.
+    - ``bucket_days``: when keys carry many ranges, or one key many rows. The distinct (keys, date)
+      of the left side, a narrow table that collapses before it is shuffled, look up the ranges by
+      (keys, level, bin) with the exact range as residual; a range of any length is in at most two
+      bins (``range_bins``), so open ends cost no more than short ones. Their hits join the left
+      rows on (keys, date), which spreads a hot key over its dates. Rows equal the plain join's.
     """
     pairs = keys.items() if isinstance(keys, dict) else [(k, k) for k in keys]
     r_keep = right_cols if right_cols is not None else [c for c in right.columns
                                                         if c not in {rk for _, rk in pairs}]
     r = right.select(*[F.col(rk).alias(f"_rk{i}") for i, (_, rk) in enumerate(pairs)],
                      F.col(start).alias("_rstart"), F.col(end).alias("_rend"), *r_keep)
-    if bucket_days is not None:
-        return _bucketed(left, r, pairs, date, how, open_end, null_start_matches, unmatched, bucket_days)
     key = _keys_equal(left, r, pairs)
     on = key & _in_range(left[date], r["_rstart"], r["_rend"], open_end, null_start_matches)
+
     helpers = [*[f"_rk{i}" for i in range(len(pairs))], "_rstart", "_rend"]
+
+    def matched(how: str) -> DataFrame:
+        if bucket_days is not None:
+            return _binned(left, r, pairs, date, how, open_end, null_start_matches, bucket_days)
+        return left.join(r, on=on, how=how).drop(*helpers)
+
     if how == "left" and unmatched == "drop":
         # rows in range, and rows whose key has no range at all: no (row, range) pair of a key is
         # emitted only to be filtered
         present = r.select(*[f"_rk{i}" for i in range(len(pairs))]).distinct()
         alone = left.join(present, _keys_equal(left, present, pairs), "left_anti")
-        return left.join(r, on, "inner").drop(*helpers).unionByName(alone, allowMissingColumns=True)
-    return left.join(r, on=on, how=how).drop(*helpers)
+        return matched("inner").unionByName(alone, allowMissingColumns=True)
+    return matched(how)
 
 
 def _keys_equal(left: DataFrame, r: DataFrame, pairs) -> Column:
@@ -69,36 +73,45 @@ def _in_range(d: Column, start: Column, end: Column, open_end, null_start_matche
 
 
 _EPOCH = _dt.date(1970, 1, 1)
-_NULL_BUCKET = -(1 << 30)
+_ANY_DAY = -1  # level of the ranges without a start, which hold on every day and on no day
 
 
 def _bucket(c, days: int):
     return F.floor(F.datediff(c, F.lit(_EPOCH)) / days).cast("long")
 
 
-def _bucketed(left: DataFrame, r: DataFrame, pairs, date: str, how: str, open_end, null_start_matches: bool,
-              unmatched: str, days: int) -> DataFrame:
-    if how == "left" and unmatched == "drop":
-        raise ValueError("bucket_days supports the J1/J2 forms (inner or left keeping unmatched rows)")
-    # buckets run from the first to the last date that any range names; earlier and later rows share
-    # the end buckets, so open ends need no date of the left side
-    span = r.agg(F.coalesce(_bucket(F.min(F.least("_rstart", "_rend")), days), F.lit(0)).alias("_b0"),
-                 F.coalesce(_bucket(F.max(F.greatest("_rstart", "_rend")), days), F.lit(0)).alias("_b1"))
-    one = F.broadcast(span)  # a single row
-
-    def clamp(c: Column) -> Column:
-        return F.least(F.greatest(c, F.col("_b0")), F.col("_b1"))
-
+def range_bins(r: DataFrame, days: int, open_end, null_start_matches: bool) -> DataFrame:
+    """``r`` (with _rstart, _rend) once per bin of its range, as _level and _bin: at level l a bin is
+    2^l buckets of ``days`` days. A range takes the first level at which a bin is as long as itself,
+    so it lies in one or two bins however long it is, and no bin is over twice as long as its ranges
+    (or one bucket)."""
     end = F.coalesce(F.col("_rend"), F.lit(open_end)) if open_end is not None else F.col("_rend")
-    none = F.array().cast("array<bigint>")
-    # a NULL start matches every date: all buckets, and that of rows without a date
-    anywhere = F.concat(F.sequence(F.col("_b0"), F.col("_b1")), F.array(F.lit(_NULL_BUCKET).cast("bigint"))) \
-        if null_start_matches else none
-    buckets = F.when(F.col("_rstart").isNull(), anywhere).when(
-        end >= F.col("_rstart"), F.sequence(clamp(_bucket(F.col("_rstart"), days)), clamp(_bucket(end, days)))).otherwise(none)
-    rb = r.crossJoin(one).withColumn("_rb", F.explode(buckets)).drop("_b0", "_b1")
-    lb = left.crossJoin(one).withColumn("_lb", F.when(F.col(date).isNull(), F.lit(_NULL_BUCKET)).otherwise(
-        clamp(_bucket(F.col(date), days)))).drop("_b0", "_b1")
-    on = _keys_equal(lb, rb, pairs) & (lb["_lb"] == rb["_rb"]) & _in_range(lb[date], rb["_rstart"], rb["_rend"], open_end,
-                                                                          null_start_matches)
-    return lb.join(rb, on=on, how=how).drop(*[f"_rk{i}" for i in range(len(pairs))], "_rstart", "_rend", "_lb", "_rb")
+    r = r.withColumns({"_b0": _bucket(F.col("_rstart"), days), "_b1": _bucket(end, days)})
+    # number of binary digits of last - first: 2^level is at least the number of buckets
+    r = r.withColumn("_level", F.when(F.col("_b1") > F.col("_b0"), F.length(F.bin(F.col("_b1") - F.col("_b0")))).otherwise(0))
+    none = F.array().cast("array<struct<l:int,b:bigint>>")
+    anywhere = F.array(F.struct(F.lit(_ANY_DAY).alias("l"), F.lit(0).cast("long").alias("b"))) if null_start_matches else none
+    own = F.expr("array_distinct(array(named_struct('l', _level, 'b', shiftright(_b0, _level)),"
+                 " named_struct('l', _level, 'b', shiftright(_b1, _level))))")
+    bins = F.when(F.col("_rstart").isNull(), anywhere).when(end >= F.col("_rstart"), own).otherwise(none)
+    return r.withColumn("_x", F.explode(bins)).withColumns({"_level": F.col("_x.l"), "_bin": F.col("_x.b")}).drop("_x", "_b0", "_b1")
+
+
+def _binned(left: DataFrame, r: DataFrame, pairs, date: str, how: str, open_end, null_start_matches: bool, days: int) -> DataFrame:
+    n = len(pairs)
+    rb = range_bins(r, days, open_end, null_start_matches)
+    levels = rb.agg(F.collect_set("_level").alias("_levels"))  # a single row of at most some twenty numbers
+    points = left.select(*[F.col(lk).alias(f"_pk{i}") for i, (lk, _) in enumerate(pairs)], F.col(date).alias("_pd")).distinct()
+    points = points.crossJoin(F.broadcast(levels)).withColumn("_pl", F.explode("_levels")).drop("_levels")
+    place = F.when(F.col("_pl") == _ANY_DAY, F.lit(0).cast("long")).otherwise(F.expr("shiftright(_pb, greatest(_pl, 0))"))
+    points = points.withColumn("_pb", _bucket(F.col("_pd"), days)).withColumn("_pb", place)
+    keys = F.lit(True)
+    for i in range(n):
+        keys = keys & (points[f"_pk{i}"] == rb[f"_rk{i}"])
+    hits = points.join(rb, keys & (points["_pl"] == rb["_level"]) & (points["_pb"] == rb["_bin"])
+                       & _in_range(points["_pd"], rb["_rstart"], rb["_rend"], open_end, null_start_matches))
+    hits = hits.drop(*[f"_rk{i}" for i in range(n)], "_rstart", "_rend", "_level", "_bin", "_pl", "_pb")
+    on = left[date].eqNullSafe(hits["_pd"])
+    for i, (lk, _) in enumerate(pairs):
+        on = on & (left[lk] == hits[f"_pk{i}"])
+    return left.join(hits, on, how).drop(*[f"_pk{i}" for i in range(n)], "_pd")

@@ -3,6 +3,7 @@ the driver tables have no NULLs in orders, lineitem or events)."""
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -182,6 +183,37 @@ def test_w9_standardize(spark):
     assert got[:3] == pytest.approx([-1.0, 0.0, 1.0]) and got[3] is None
 
 
+def test_long_ranges_take_two_bins(spark):
+    from panelspark.operators.linking import range_bins
+    rnd = np.random.default_rng(3)
+    starts = rnd.integers(-4000, 20000, 500)
+    spans = (2.0 ** rnd.uniform(0, 15, 500)).astype(int)
+    day = lambda n: D(1970, 1, 1) + dt.timedelta(days=int(n))
+    rows = [(i, day(a), day(a + b) if i % 5 else None) for i, (a, b) in enumerate(zip(starts, spans))]
+    r = spark.createDataFrame(rows + [(900, None, None), (901, day(9), day(3))], "rid int, _rstart date, _rend date")
+    bins = range_bins(r, 30, linking_far(), True).collect()
+    per = {}
+    for b in bins:
+        per.setdefault(b.rid, []).append(b)
+    assert set(per) == {*range(500), 900} and max(map(len, per.values())) == 2 and len(per[900]) == 1
+    for i, a, b in rows:
+        first, last = ((d - D(1970, 1, 1)).days // 30 for d in (a, b or linking_far()))
+        wide = 1 << per[i][0]._level
+        assert last - first + 1 <= wide < max(2 * (last - first + 1), 2)
+        assert {x._bin for x in per[i]} == {first // wide, last // wide}
+
+
+def test_open_ended_ranges_and_a_hot_key(spark):
+    """A third of the rows on one key whose ranges never end; nothing but the join's rows comes out."""
+    left = spark.range(3000).selectExpr("id", "if(id % 3 = 0, 7, id) AS k", "date_add(DATE'1990-01-01', cast(id % 900 AS int)) AS d")
+    right = spark.range(40).selectExpr("7L AS k", "date_add(DATE'1990-01-01', cast(id * 25 AS int)) AS s", "CAST(NULL AS date) AS e", "id AS rid")
+    for how, unmatched in (("inner", "keep"), ("left", "keep"), ("left", "drop")):
+        got = [range_join(left, right, ["k"], "d", "s", "e", how=how, unmatched=unmatched, right_cols=["rid"], bucket_days=b)
+               for b in (None, 30)]
+        assert got[0].columns == got[1].columns and got[0].exceptAll(got[1]).count() == got[1].exceptAll(got[0]).count() == 0
+        assert got[1].count() > 3000
+
+
 def test_bucketed_range_join_equals_plain(spark):
     import random
     rnd = random.Random(5)
