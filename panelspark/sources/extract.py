@@ -3,12 +3,17 @@ DECIMAL widening, batch sizing, CSV output (S1-S12, S14).
 
 An extract is a Spark job: the JDBC relation is read by ``numPartitions`` parallel
 range queries (projection and filters pushed to the database), widened, and written by
-the executors. Completion is marked by the ``_SUCCESS`` file, so a broken partial write
-is never mistaken for a finished one.
+the executors into a staging folder that takes the place of the output when it is complete.
+Completion is marked by the ``_SUCCESS`` file, so a broken partial write is never mistaken for a
+finished one.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -67,28 +72,94 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+MANIFEST = "_manifest.json"  # Spark's readers pass over names that begin with "_"
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """A finished Spark write: the folder holds ``_SUCCESS``."""
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
+def schema_hash(df: DataFrame) -> str:
+    """SHA-256 of the column names and types, without metadata and nullability."""
+    return hashlib.sha256(json.dumps([[f.name, f.dataType.simpleString()] for f in df.schema.fields]).encode()).hexdigest()
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict | None:
+    """What ``extract`` noted beside its output (rows, columns, schema_sha256); None without a note."""
+    name = f"{path.rstrip('/')}/{MANIFEST}"
+    if not path_exists(spark, name):
+        return None
+    fs, hadoop_path = _file_system(spark, name)
+    note = fs.open(hadoop_path(name))
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(note, "UTF-8"))
+    finally:
+        note.close()
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    return hadoop_path(path).getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the folder ``staged`` in the place of ``path`` by renaming. The folder that was there is
+    renamed first and deleted last; if the second rename fails, it is put back. On object stores,
+    where a rename copies, readers may meet the moment between the two."""
+    fs, hadoop_path = _file_system(spark, path)
+    target, old = hadoop_path(path), hadoop_path(f"{staged}.replaced")
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    try:
+        if not fs.rename(hadoop_path(staged), target):  # some file systems answer, others raise
+            raise OSError(f"cannot move {staged} to {path}")
+    except BaseException:
+        if had:
+            fs.rename(old, target)
+        raise
+    if had:
+        fs.delete(old, True)
+
+
 def extract(df: DataFrame, path: str, compression: str = "zstd", skip_if_exists: bool = True,
             max_records_per_file: int | None = None, partition_by: list[str] | None = None) -> int:
     """Write ``df`` (DECIMALs widened) to Parquet at ``path``; returns rows written, 0 when
-    skipped because a complete output exists (S3, S4, S9). The row count comes from an
-    ``Observation`` on the write itself, not from a second pass."""
+    skipped because a complete output exists (S3, S4, S9).
+
+    The job writes to a staging folder beside ``path`` (a hidden name, so no reader of the parent
+    takes it for data), notes rows and schema in a manifest there, and only then takes the place of
+    ``path`` (``publish``): a job that is killed leaves the old output as it was. The row count comes
+    from an ``Observation`` on the write itself, whose tasks count once each however often they run.
+    """
     spark = df.sparkSession
+    path = path.rstrip("/")
     if skip_if_exists and is_complete(spark, path):
         return 0
+    parent, _, name = path.rpartition("/")
+    staged = f"{parent + '/' if parent else ''}.{name}.{uuid.uuid4().hex}"
     obs = Observation("extract")
-    out = widen_decimals(df).observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = out.write.mode("overwrite").option("compression", compression)
+    out = widen_decimals(df)
+    w = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.option("compression", compression)
     if max_records_per_file is not None:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return int(obs.get.get("rows", 0))
+    fs, hadoop_path = _file_system(spark, path)
+    try:
+        w.parquet(staged)
+        rows = int(obs.get.get("rows", 0))
+        note = fs.create(hadoop_path(f"{staged}/{MANIFEST}"))
+        try:
+            note.write(json.dumps({"rows": rows, "columns": out.columns, "schema_sha256": schema_hash(out)}).encode())
+        finally:
+            note.close()
+        publish(spark, staged, path)
+    except BaseException:
+        fs.delete(hadoop_path(staged), True)
+        raise
+    return rows
 
 
 def write_parquet(df: DataFrame, path: str, compression: str | None = None, mode: str = "overwrite") -> None:

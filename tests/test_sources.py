@@ -4,6 +4,7 @@ import hashlib
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from panelspark.functions.industry import assign_ff49, ff12
@@ -26,6 +27,42 @@ def test_extract_skip_existing_and_decimals(spark):
     assert widen_decimals(df).schema["d"].dataType.typeName() == "double"
 
 
+def test_a_failed_extract_leaves_the_old_output(spark, tmp_path, monkeypatch):
+    from panelspark.sources import extract as E
+
+    out = str(tmp_path / "t.parquet")
+    assert extract(spark.range(10), out) == 10
+    assert E.read_manifest(spark, out) == {"rows": 10, "columns": ["id"], "schema_sha256": E.schema_hash(spark.range(1))}
+
+    def old_stays():
+        assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(10))
+        assert E.is_complete(spark, out) and os.listdir(tmp_path) == ["t.parquet"]
+
+    broken = spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        extract(broken, out, skip_if_exists=False)
+    old_stays()
+    with monkeypatch.context() as m:
+        m.setattr(E, "publish", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            extract(spark.range(3), out, skip_if_exists=False)
+    old_stays()
+    assert extract(spark.range(3).selectExpr("id AS other"), out, skip_if_exists=False) == 3
+    assert spark.read.parquet(out).columns == ["other"] and E.read_manifest(spark, out)["rows"] == 3
+    os.remove(os.path.join(out, "_SUCCESS"))             # an output of unknown state is written anew
+    assert extract(spark.range(4), out) == 4 and spark.read.parquet(out).count() == 4
+
+
+def test_publish_puts_the_old_folder_back(spark, tmp_path):
+    from panelspark.sources import extract as E
+
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "old").write_text("x")
+    with pytest.raises(Exception):
+        E.publish(spark, str(tmp_path / "nothing"), str(tmp_path / "t"))
+    assert os.listdir(tmp_path / "t") == ["old"]
+
+
 def test_ff12_ff49(spark):
     df = spark.createDataFrame([(2834,), (4911,), (6021,), (3571,), (9999,), (None,)], "sic int")
     got = {r.sic: (r.FF12, r.ff12num) for r in df.select("sic", *ff12("sic")).collect()}
