@@ -15,6 +15,7 @@ Passes over the data for all models of one FE set (distributed aggregates):
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from statistics import NormalDist
 
@@ -476,10 +477,20 @@ def stars(p: float, levels: tuple[float, float, float] = (0.01, 0.05, 0.1)) -> s
     return "***" if p < levels[0] else "**" if p < levels[1] else "*" if p < levels[2] else ""
 
 
+def _share(x: float) -> str:
+    return "" if math.isnan(x) else f"{x:.3f}"
+
+
+FIT_ROWS = {"N": lambda f: f"{int(f.stats['nobs']):,}", "R2": lambda f: _share(f.stats["r2"]),
+            "R2 Within": lambda f: _share(f.stats["r2_within"])}
+
+
 def regression_table(spark: SparkSession, fits: dict[str, Fit], keep: list[str],
-                     markers: dict[str, list[str]] | None = None, labels: dict[str, str] | None = None) -> DataFrame:
+                     markers: dict[str, list[str]] | None = None, labels: dict[str, str] | None = None,
+                     fit_rows: dict[str, Callable[[Fit], str]] | None = None) -> DataFrame:
     """Long table (model, row, value, row_order): coefficient with stars, "(t)" below it,
-    marker rows (FE / Controls), N, R2, R2 within (ST10). Pivot on model to typeset."""
+    marker rows (FE / Controls), then the fit rows (ST10): ``fit_rows`` names them and says how a fit
+    is written in each (U4), by default N, R2 and R2 within. Pivot on model to typeset."""
     labels = labels or {}
     rows = []
     for mi, (model, f) in enumerate(fits.items()):
@@ -498,10 +509,9 @@ def regression_table(spark: SparkSession, fits: dict[str, Fit], keep: list[str],
         for name, vals in (markers or {}).items():
             rows.append((model, name, vals[mi] if mi < len(vals) else "", order))
             order += 1
-        rows.append((model, "N", f"{int(f.stats['nobs']):,}", order))
-        rows.append((model, "R2", f"{f.stats['r2']:.3f}", order + 1))
-        rw = f.stats["r2_within"]
-        rows.append((model, "R2 Within", "" if math.isnan(rw) else f"{rw:.3f}", order + 2))
+        for name, text in (FIT_ROWS if fit_rows is None else fit_rows).items():
+            rows.append((model, name, text(f), order))
+            order += 1
     return spark.createDataFrame(rows, "model string, row string, value string, row_order int")
 
 

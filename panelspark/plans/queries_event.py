@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from panelspark.operators import calendar as cal
 from panelspark.operators import event_study as es
+from panelspark.operators.quality import sort_all
 from panelspark.plans import bindings as B
 from panelspark.plans.registry import register
 
@@ -152,3 +153,16 @@ def q_user_bhar_window(spark, sf_dir):
     returns = B.user_returns(spark, sf_dir)
     return es.event_bhar(B.user_events(spark, sf_dir), cal.trading_calendar(returns), returns,
                          B.user_market(spark, sf_dir), "permno", "rdq", window=(-1, 1), expand=(-5, 5))
+
+
+@register("event_window_guarded", """WITH mapped AS (SELECT e.permno, e.rdq, c.td
+  FROM (SELECT *, greatest(rdq, (SELECT min(date) FROM calendar)) AS key FROM event_keys
+        WHERE rdq <= (SELECT max(date) - 5 FROM calendar)) e ASOF JOIN calendar c ON c.date >= e.key),
+days AS (SELECT *, td + "offset" AS rel_td FROM mapped, (SELECT unnest(range(-5, 6)) AS "offset"))
+SELECT permno, rdq, days.td, "offset", rel_td, date FROM days LEFT JOIN calendar c ON c.td = rel_td
+WHERE (permno, days.td) IN (SELECT permno, td FROM mapped GROUP BY ALL HAVING count(*) = 1)""")
+def q_event_window_guarded(spark, sf_dir):
+    """Windows of the events at least five calendar days before the end, days beyond the calendar kept
+    without a date, sorted by every column (F9, O2)."""
+    _, calendar, events = _std_events(spark, sf_dir)
+    return sort_all(cal.event_windows(events, calendar, "permno", "rdq", how="left", guard_calendar_days=True))

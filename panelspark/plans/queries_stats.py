@@ -450,3 +450,16 @@ SELECT same_sign, avg(b) AS mean, stddev_samp(b) / sqrt(count(b)) AS std_error,
 def q_fama_macbeth(spark, sf_dir):
     slopes = R.group_slopes(_panel(spark, sf_dir), "bhar", "sue", ["fyearq", "same_sign"])
     return R.fama_macbeth(slopes, by=["same_sign"])
+
+
+@register("singletons_dropped", """SELECT * EXCLUDE (i, n, before) FROM (WITH RECURSIVE core AS (
+  SELECT 0 AS i, o_orderkey AS id, o_custkey AS entity, o_orderdate::DATE AS day, count(*) OVER () AS n, NULL::BIGINT AS before FROM orders
+  UNION ALL
+  SELECT i + 1, id, entity, day, count(*) OVER (), n
+  FROM (SELECT *, count(*) OVER (PARTITION BY entity) AS a, count(*) OVER (PARTITION BY day) AS b FROM core)
+  WHERE a > 1 AND b > 1 AND n IS DISTINCT FROM before)
+SELECT * FROM core WHERE i = (SELECT max(i) FROM core))""")
+def q_singletons_dropped(spark, sf_dir):
+    """Orders left when customers and days with a single order go, again and again until none is left (ST8)."""
+    orders = B.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("entity"), F.to_date("o_orderdate").alias("day"))
+    return R.drop_singletons(orders, ["entity", "day"]).select("id", "entity", "day")

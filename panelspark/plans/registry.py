@@ -67,5 +67,5 @@ def register(name: str, sql: str | None, floats: list[str] | None = None, sig: l
 
 def load_all() -> dict[str, Query]:
     # importing the query modules fills REGISTRY
-    from panelspark.plans import queries_event, queries_io, queries_panel, queries_stats  # noqa: F401
+    from panelspark.plans import queries_event, queries_io, queries_panel, queries_reports, queries_stats  # noqa: F401
     return REGISTRY

@@ -234,3 +234,13 @@ def test_fixed_effect_with_600000_levels(spark):
     df = df.withColumn("y", 2 * F.col("x") + F.col("firm") % 97 + F.col("e"))
     fit = R.ols(df, "y", ["x"], absorb=["firm"])
     assert fit.stats["nobs"] == 1_200_000 and fit.coef.estimate[0] == pytest.approx(2.0, abs=0.01)
+
+
+def test_fit_rows_are_the_callers(spark):
+    from panelspark.operators.regression import ols_models, regression_table
+    df = spark.range(200).selectExpr("cast(id AS double) AS x", "id % 7 + 2.0D * id AS y", "id % 5 AS g")
+    fits = ols_models(df, "y", {"a": dict(terms=["x"]), "b": dict(terms=["x"], absorb=["g"])}, cluster=[])
+    rows = {"cases": lambda f: f"n={int(f.stats['nobs'])}", "within": lambda f: "-" if np.isnan(f.stats["r2_within"]) else "yes"}
+    got = {(r["model"], r["row"]): r["value"] for r in regression_table(spark, fits, ["x"], fit_rows=rows).collect()}
+    assert got["a", "cases"] == "n=200" and (got["a", "within"], got["b", "within"]) == ("-", "yes") and ("a", "N") not in got
+    assert ("a", "N") in {(r["model"], r["row"]) for r in regression_table(spark, fits, ["x"]).collect()}
