@@ -164,7 +164,11 @@ def embedding_dedup(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     """
     from pyspark.sql import types as T
 
-    rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
+    # single-precision components stay as they are while they move; tasks compute in double precision
+    kind = df.schema[vector_col].dataType
+    single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    vector = F.col(vector_col).cast("array<float>" if single else "array<double>")
+    rows = df.select(F.col(id_col).cast("long").alias("vec_id"), vector.alias("v"))
     rows = rows.withColumn("cls", F.when(sound(F.col("v")), F.xxhash64("v")))
     classes = reliable_checkpoint(rows.where("cls IS NOT NULL").groupBy("cls").agg(
         F.first("v").alias("v"), F.min("vec_id").alias("low"), F.count("*").alias("size")))
@@ -177,9 +181,10 @@ def embedding_dedup(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
         hasher = Hasher(dim, k, tables, width, seed)
         keys = reliable_checkpoint(map_rows(own.select("cls", "v"), partial(_hash, hasher=hasher), "cls long, t int, bucket long"))
         shared = keys.groupBy("t", "bucket").count().where("count > 1").select("t", "bucket")
-        members = keys.join(shared, ["t", "bucket"]).join(own.select("cls", "v", "size"), "cls")
+        # hot buckets are found and divided by ids alone; a vector joins its tasks just before they are dealt out
+        members = keys.join(shared, ["t", "bucket"])
         tasks = split_hot(reliable_checkpoint(members), ["t", "bucket"], F.xxhash64("cls"))
-        tasks = tasks.select("t", "bucket", "_i", "_j", "_s", "cls", "size", "v")
+        tasks = tasks.join(own.select("cls", "v", "size"), "cls").select("t", "bucket", "_i", "_j", "_s", "cls", "size", "v")
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         tasks = tasks.repartition(parts, "t", "bucket", "_i", "_j").sortWithinPartitions("t", "bucket", "_i", "_j")
         found = reliable_checkpoint(map_rows(tasks, partial(_tasks, hasher=hasher, cosine=cosine), "cls long, root long, links long"))
