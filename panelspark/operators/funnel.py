@@ -1,7 +1,7 @@
 """Selection funnel: counts after each filter step (A2) and the (Diff) table.
 
-``funnel`` stays lazy (a union of one-row counts) so it can be returned as a DataFrame;
-Spark reuses the exchanges the stages share.
+``funnel`` stays lazy (a union of one-row tables) so it can be returned as a DataFrame. Steps
+that one aggregation can count together share a part, so a pass over the data serves several steps.
 """
 
 from __future__ import annotations
@@ -12,14 +12,22 @@ from pyspark.sql import functions as F
 from panelspark.functions.scalar import paren_thousands, thousands
 
 
-def funnel(steps: list[tuple[int, str, DataFrame]]) -> DataFrame:
-    """(step, description, obs) for each (step, description, stage DataFrame)."""
-    parts = [df.agg(F.count(F.lit(1)).alias("obs")).select(
-        F.lit(step).cast("int").alias("step"), F.lit(desc).alias("description"), "obs")
-        for step, desc, df in steps]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+def count_rows(df: DataFrame) -> DataFrame:
+    """A one-row table with the number of rows of ``df``."""
+    return df.agg(F.count(F.lit(1)).alias("obs"))
+
+
+def funnel(parts: list[tuple[list[tuple[int, str]], DataFrame]]) -> DataFrame:
+    """(step, description, obs) from parts ``([(step, description), ...], counts)``: ``counts`` is a
+    one-row table whose columns hold the counts of the steps, in their order."""
+    rows = []
+    for steps, counts in parts:
+        cells = [F.struct(F.lit(step).cast("int").alias("step"), F.lit(desc).alias("description"),
+                          F.col(c).cast("long").alias("obs")) for (step, desc), c in zip(steps, counts.columns, strict=True)]
+        rows.append(counts.select(F.inline(F.array(*cells))))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
     # fresh attribute ids: the stages share lineage, so the union's names would be ambiguous
     return out.toDF("step", "description", "obs")
 

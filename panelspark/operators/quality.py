@@ -31,6 +31,27 @@ def drop_duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return agg.filter(F.col("_grp_n") == 1).select(*df.columns)
 
 
+def successive_drop_counts(df: DataFrame, steps: list[list[str]]) -> DataFrame:
+    """One row ``_c0 .. _ck``: the rows of ``df``, and those left after ``drop_duplicate_keys`` by the
+    first, the first two, ... key lists of ``steps``.
+
+    One chain of aggregations over the key columns alone. A dropped group travels on as a count
+    under the all-NULL dead key, which collapses map-side, so no step is computed twice and neither
+    a hot key nor the dropped rows gather in a task. An empty table counts 0 everywhere.
+    """
+    cols = list(dict.fromkeys(c for keys in steps for c in keys))
+    state = df.select(F.lit(True).alias("_live"), *cols, F.lit(1).cast("long").alias("_c0"))
+    for i, keys in enumerate(steps, 1):
+        later = list(dict.fromkeys(c for ks in steps[i:] for c in ks if c not in keys))
+        done = [f"_c{j}" for j in range(i)]
+        groups = state.groupBy("_live", *keys).agg(
+            *[F.sum(c).alias(c) for c in done], F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in later])
+        alive = F.col("_live") & (F.col("_n") == 1)
+        state = groups.select(alive.alias("_live"), *[F.when(alive, F.col(c)).alias(c) for c in [*keys, *later]],
+                              *done, alive.cast("long").alias(f"_c{i}"))
+    return state.agg(*[F.coalesce(F.sum(f"_c{j}"), F.lit(0).cast("long")).alias(f"_c{j}") for j in range(len(steps) + 1)])
+
+
 def keep_latest(df: DataFrame, keys: list[str], latest: str, tiebreak: list[str] | None = None) -> DataFrame:
     """One row per key: the largest ``latest``, then the largest tie-breakers.
 

@@ -2,6 +2,7 @@
 the driver tables have no NULLs in orders, lineitem or events)."""
 
 import datetime as dt
+import random
 
 import numpy as np
 import pytest
@@ -240,3 +241,21 @@ def test_bucketed_range_join_equals_plain(spark):
 def linking_far():
     from panelspark.operators.linking import FAR_FUTURE
     return FAR_FUTURE
+
+
+def test_counts_of_successive_key_drops(spark):
+    """One chain of aggregations counts what dropping key by key leaves; NULL keys form a group, a hot key is one."""
+    from panelspark.operators.quality import drop_duplicate_keys, successive_drop_counts
+
+    rnd = random.Random(5)
+    rows = [(rnd.choice([None, *range(40)]), rnd.choice([None, 1, 2, 3]), rnd.choice([None, *range(60)])) for _ in range(200)]
+    rows += [(7, 1, 7)] * 100 + [(None, None, None)] * 2 + [(1000 + i, 1, 2000) for i in range(3)] + [(5000, 1, 5000), (8000, 1, 1), (8000, 2, 1)]
+    df = spark.createDataFrame(rows, "a int, b int, c int")
+    steps = [["a", "b"], ["a", "c"], ["c"]]
+    want, left = [df.count()], df
+    for keys in steps:
+        left = drop_duplicate_keys(left, keys)
+        want.append(left.count())
+    assert all(x > y for x, y in zip(want, want[1:])), want
+    assert list(successive_drop_counts(df, steps).first()) == want
+    assert list(successive_drop_counts(df.limit(0), steps).first()) == [0, 0, 0, 0]
