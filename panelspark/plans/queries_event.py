@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelspark.operators import calendar as cal
@@ -9,6 +11,8 @@ from panelspark.operators import event_study as es
 from panelspark.operators.quality import sort_all
 from panelspark.plans import bindings as B
 from panelspark.plans.registry import register
+from panelspark.session import ensure_checkpoint_dir
+from panelspark.sources.layout import open_bucketed, write_bucketed
 
 # The stand-alone event study: urgent-order dates per entity, [-5, +5] windows, BHAR on [-1, +1].
 
@@ -94,6 +98,18 @@ def q_bhar_window(spark, sf_dir):
     return es.bhar(rets, "permno", "rdq")
 
 
+@register("bhar_bucketed", f"""WITH {_EVENTS_SQL.strip()}
+SELECT permno, rdq, product(1 + ret) - product(1 + vwretd) AS bhar, count(*) AS n_days
+FROM window_rets WHERE "offset" BETWEEN -1 AND 1 GROUP BY permno, rdq""", floats=["bhar"])
+def q_bhar_bucketed(spark, sf_dir):
+    """BHAR over returns stored by (entity, date) in the shared folder."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/layout-{uuid.uuid4().hex}/returns"
+    write_bucketed(B.daily_returns(spark, sf_dir), path, ["permno", "dlycaldt"])
+    returns = open_bucketed(spark, path)
+    days = cal.event_windows(B.event_keys(spark, sf_dir), cal.trading_calendar(returns), "permno", "rdq", lo=-5, hi=5)
+    return es.bhar(es.window_returns(days, returns, B.market_index(spark, sf_dir), "permno", "rdq", lo=-1, hi=1), "permno", "rdq")
+
+
 @register("bhar_complete", f"""WITH {_EVENTS_SQL.strip()}
 SELECT * FROM (
   SELECT permno, rdq, product(1 + ret) - product(1 + vwretd) AS bhar, count(*) AS n_days

@@ -98,6 +98,15 @@ def read_manifest(spark: SparkSession, path: str) -> dict | None:
         note.close()
 
 
+def write_manifest(spark: SparkSession, path: str, note: dict) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    out = fs.create(hadoop_path(f"{path.rstrip('/')}/{MANIFEST}"))
+    try:
+        out.write(json.dumps(note).encode())
+    finally:
+        out.close()
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
     return hadoop_path(path).getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -150,11 +159,7 @@ def extract(df: DataFrame, path: str, compression: str = "zstd", skip_if_exists:
     try:
         w.parquet(staged)
         rows = int(obs.get.get("rows", 0))
-        note = fs.create(hadoop_path(f"{staged}/{MANIFEST}"))
-        try:
-            note.write(json.dumps({"rows": rows, "columns": out.columns, "schema_sha256": schema_hash(out)}).encode())
-        finally:
-            note.close()
+        write_manifest(spark, staged, {"rows": rows, "columns": out.columns, "schema_sha256": schema_hash(out)})
         publish(spark, staged, path)
     except BaseException:
         fs.delete(hadoop_path(staged), True)
