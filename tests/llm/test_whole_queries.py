@@ -1,4 +1,4 @@
-"""op2 and op7 as wholes, on all rows of a table and on edge rows, against plain Python from the definitions."""
+"""op2, op7 and op9 as wholes, on all rows of a table and on edge rows, against plain Python from the definitions."""
 
 import math
 import re
@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import regex
 import xxhash
 
 from edge_rows import SF_SMALL, edge_docs  # noqa: F401
@@ -101,3 +102,65 @@ def test_toxicity_query_equals_plain_scoring(spark):
         f = bias + sum(x for b, x in zip(kept, w) if b in docs[r.doc_id])
         assert abs(r.score - 1 / (1 + math.exp(-f))) < 1e-6, r
         assert r.held_out == (not learnable(r.doc_id)) and r.predicted == (r.score >= 0.5)
+
+
+MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD)  # fixed values of the trigram buckets
+
+
+def trigram_words(text):
+    """Trigram buckets of each word that has a letter."""
+    words = []
+    for word in re.split(r"[\t-\r ]+|(?<=[A-Za-z])(?=[!-@\[-`{-~])", text or ""):
+        out = []
+        for run in regex.findall(r"\p{L}[\p{L}\p{M}]*", word.lower()):
+            padded = f" {run} "
+            out += [sum(ord(c) * m for c, m in zip(padded[i:i + 3], MIX)) % WRAP >> 48 for i in range(len(run))]
+        if out:
+            words.append(out)
+    return words
+
+
+def plain_shares(ll, rounds=12):
+    """The language set of best penalised likelihood: every size is fitted."""
+    def fit(pi):
+        for _ in range(rounds):
+            r = like * pi
+            pi = (r / r.sum(axis=1, keepdims=True)).mean(axis=0)
+            pi[pi < 1e-6] = 0
+            pi = pi / pi.sum()
+        return pi, np.log((like * pi).sum(axis=1)).sum()
+
+    like = np.exp(np.maximum(ll - ll.max(axis=1, keepdims=True), -600))
+    n, langs = ll.shape
+    alone = np.log(like).sum(axis=0)
+    best, score = np.eye(langs)[ll.sum(axis=0).argmax()], alone.max()
+    full, _ = fit(np.full(langs, 1 / langs))
+    order = np.argsort(-full, kind="stable")
+    for s in range(2, langs + 1):
+        start = np.zeros(langs)
+        start[order[:s]] = np.maximum(full[order[:s]], 1e-3)
+        share, value = fit(start / start.sum())
+        if value - (s - 1) * math.log(n + 1) > score:
+            best, score = share, value - (s - 1) * math.log(n + 1)
+    return best
+
+
+def test_language_query_equals_plain_inference(spark):
+    docs = table(spark, SF_SMALL, "documents").collect()
+    words = {r.doc_id: trigram_words(r.text) for r in docs}
+    langs = sorted({r.lang for r in docs if r.lang is not None})
+    counts = np.zeros((1 << 16, len(langs)))
+    for r in docs:
+        if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            np.add.at(counts[:, langs.index(r.lang)], [b for w in words[r.doc_id] for b in w], 1)
+    logp = (np.log(counts + 0.5) - np.log(counts.sum(axis=0) + 0.5 * len(counts))).astype(np.float32)
+    got = queries.op9_language_id(spark, SF_SMALL).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        if not words[r.doc_id]:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        want = plain_shares(np.array([logp[w].astype(float).sum(axis=0) for w in words[r.doc_id]]))
+        shares = dict(zip(r.languages, r.shares))
+        assert np.allclose([shares.get(x, 0.0) for x in langs], want, atol=1e-3), (r.doc_id, shares, want)
+        assert abs(r.score - want.max()) < 1e-3 and want[langs.index(r.lang_pred)] > want.max() - 1e-3
