@@ -1,21 +1,25 @@
 """File inventory with SHA-256 for provenance.
 
-The driver only lists names (metadata); executors read and hash the files. Those below 2 GB go
+The driver only lists names (metadata); executors read and hash the files. Those below 128 MB go
 through the ``binaryFile`` source, which holds one file per record; larger and empty ones, and
-those whose names Spark's sources pass over (``_`` or ``.`` first), are streamed in chunks, each inside its own task (``hash_large``).
+those whose names Spark's sources pass over (``_`` or ``.`` first), are streamed in chunks, at most 256 MB of a file in a task (``hash_large``).
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 
-import pandas as pd
 from py4j.java_gateway import is_instance_of
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_BINARY_FILE = 1 << 31
+from panelspark.sources.sha256 import open_store, read_segment
+
+MAX_BINARY_FILE = 1 << 27
+#: most that the ``binaryFile`` source can hold in a record; for file systems that only Spark reads
+MAX_RECORD = 1 << 31
+#: bytes of a streamed file that one task reads
+SEGMENT = 1 << 28
 
 
 def list_files(spark: SparkSession, directory: str | None) -> list[tuple[str, int, int, bool]]:
@@ -53,7 +57,8 @@ def file_inventory(spark: SparkSession, directory: str | None) -> DataFrame:
         return spark.createDataFrame([], schema)
     root = spark._jvm.org.apache.hadoop.fs.Path(directory).toUri().getPath().rstrip("/")
     parts = []
-    plain = [0 < size < MAX_BINARY_FILE and path.rsplit("/", 1)[1][0] not in "_." for path, size, *_ in files]  # binaryFile leaves out the others
+    limit = MAX_BINARY_FILE if _streamable(files[0][0]) else MAX_RECORD
+    plain = [0 < size < limit and path.rsplit("/", 1)[1][0] not in "_." for path, size, *_ in files]  # binaryFile leaves out the others
     small = [f[0] for f, p in zip(files, plain) if p]
     large = [f for f, p in zip(files, plain) if not p]
     if small:
@@ -68,26 +73,26 @@ def file_inventory(spark: SparkSession, directory: str | None) -> DataFrame:
                       F.date_format("at", "yyyy-MM-dd HH:mm").alias("mtime"), (F.col("length") / 1e6).alias("size_mb"), "sha256", "marker").orderBy("name")
 
 
+def _streamable(path: str) -> bool:
+    try:
+        open_store(path)
+    except (ValueError, OSError, NotImplementedError):
+        return False
+    return True
+
+
 def hash_large(spark: SparkSession, files: list[tuple[str, int, int, bool]], chunk: int = 1 << 20) -> DataFrame:
-    """path, at, length, sha256, marker of big files, read in 1 MB chunks, one task per file (the file
-    systems of ``pyarrow.fs``: local, HDFS and object stores)."""
+    """path, at, length, sha256, marker of files streamed in 1 MB chunks (the file systems of
+    ``pyarrow.fs``: local, HDFS and object stores). In each round one task per unfinished file reads its next
+    ``SEGMENT`` bytes and hands on the state of its hash, so rounds grow with the largest file and tasks do not."""
     from panelspark.session import ship_package
 
     ship_package(spark)
-    df = spark.createDataFrame(files, "path string, length long, ms long, marker boolean").repartition(len(files))
-
-    def run(batches):
-        from pyarrow import fs
-        for pdf in batches:
-            sums = []
-            for path in pdf["path"]:
-                h = hashlib.sha256()
-                store, inner = fs.FileSystem.from_uri(path)
-                with store.open_input_stream(inner) as stream:
-                    while block := stream.read(chunk):
-                        h.update(block)
-                sums.append(h.hexdigest())
-            yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "ms": pdf["ms"], "sha256": sums, "marker": pdf["marker"]})
-
-    hashed = df.mapInPandas(run, "path string, length long, ms long, sha256 string, marker boolean")
+    segment, sums = SEGMENT, {}
+    todo = [(path, size, 0, None) for path, size, *_ in files]
+    while todo:
+        read = spark.sparkContext.parallelize(todo, len(todo)).map(lambda f: (*f[:2], *read_segment(*f, segment, chunk))).collect()
+        sums |= {path: digest for path, *_, digest in read if digest}
+        todo = [(path, size, done, words) for path, size, done, words, digest in read if not digest]
+    hashed = spark.createDataFrame([(*f, sums[f[0]]) for f in files], "path string, length long, ms long, marker boolean, sha256 string")
     return hashed.select("path", F.timestamp_millis("ms").alias("at"), "length", "sha256", "marker")
